@@ -126,7 +126,7 @@ SELECT CASE WHEN k % 61 <> 0 THEN {_SYMBOL.format(u='(asset_id - 1)')} END AS sy
        END AS close_str,
        CASE WHEN k % 47 = 0 THEN '0' WHEN k % 53 = 0 THEN 'x1' ELSE volume || '.7' END AS volume_str,
        COALESCE(a, 'null') AS adj_close_str,
-       '/incoming/' || source_name || '_' || CAST(price_date AS VARCHAR) || '.csv' AS source_file,
+       '/incoming/' || source_name || '_w' || ((day(price_date) - 1) // 7) || '.csv' AS source_file,
        k * 2 + copy + 1 AS row_number
 FROM (
     SELECT p.*, p.price_id AS k, s.source_name, u.copy,

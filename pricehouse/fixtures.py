@@ -224,8 +224,8 @@ class Warehouse:
             F.when(k % 47 == 0, F.lit("0")).when(k % 53 == 0, F.lit("x1"))
             .otherwise(F.concat(F.col("volume").cast("string"), F.lit(".7"))).alias("volume_str"),
             F.coalesce(text("adj_close_price"), F.lit("null")).alias("adj_close_str"),
-            F.concat(F.lit("/incoming/"), F.col("source_name"), F.lit("_"),
-                     F.col("price_date").cast("string"), F.lit(".csv")).alias("source_file"),
+            F.concat(F.lit("/incoming/"), F.col("source_name"), F.lit("_w"),
+                     F.floor((F.dayofmonth("price_date") - 1) / 7).cast("string"), F.lit(".csv")).alias("source_file"),
             k.alias("_k"),
             F.explode(F.when(k % 23 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
         )

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime, timezone
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricehouse import schemas as S
@@ -29,7 +26,7 @@ def current_prices(price_raw: DataFrame) -> DataFrame:
     """
     return _newest(
         price_raw, S.PRICE_KEY,
-        [F.desc("load_seq"), F.desc("row_number"), F.desc("price_id")],
+        [F.desc("load_seq"), F.desc("batch_id"), F.desc("row_number"), F.desc("price_id")],
     )
 
 
@@ -60,72 +57,3 @@ def build_gold(
         [F.desc("start_time"), F.desc("created_at"), F.desc("price_id")],
     )
     return best.join(names, "asset_id").select(*S.GOLD_COLUMNS)
-
-
-# --- snapshots ----------------------------------------------------------------
-
-
-def refresh_gold(
-    spark: SparkSession, path: str, gold: DataFrame, created: datetime | None = None
-) -> str:
-    """Publish ``gold`` under ``path`` without disturbing readers.
-
-    The rows go to a folder of their own, partitioned by year and clustered by
-    symbol and date for file pruning. Only then a one-row pointer naming the
-    folder is appended; readers follow the newest pointer, so a half-written or
-    failed refresh is never seen.
-    """
-    created = created or datetime.now(timezone.utc)
-    folder = f"{path}/snapshots/{created:%Y%m%dT%H%M%S%f}"
-    (
-        gold.withColumn("price_year", F.year("price_date"))
-        .repartitionByRange("price_year", "symbol", "price_date")
-        .sortWithinPartitions("price_year", "symbol", "price_date")
-        .write.partitionBy("price_year").parquet(folder)
-    )
-    spark.createDataFrame([(folder, created)], "folder STRING, created_at TIMESTAMP").coalesce(
-        1
-    ).write.mode("append").parquet(f"{path}/pointer")
-    return folder
-
-
-def current_snapshot(spark: SparkSession, path: str) -> str:
-    """Folder of the newest published snapshot."""
-    row = spark.read.parquet(f"{path}/pointer").agg(
-        F.max_by("folder", F.struct("created_at", "folder")).alias("folder")
-    ).first()
-    return row["folder"]
-
-
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_snapshot(spark, path))
-
-
-def refresh_all(
-    spark: SparkSession, builders: dict[str, tuple[str, Callable[[], DataFrame]]]
-) -> DataFrame:
-    """Publish several marts; a failing one is reported and the rest go on.
-
-    ``builders`` maps a mart name to (path, function returning its rows).
-    """
-    outcomes = []
-    for name, (path, build) in builders.items():
-        try:
-            publish(spark, path, build())
-            outcomes.append((name, True, None))
-        except Exception as problem:  # one mart must not stop the others
-            outcomes.append((name, False, str(problem)[:500]))
-    return spark.createDataFrame(outcomes, "mart STRING, refreshed BOOLEAN, error STRING")
-
-
-def publish(spark: SparkSession, path: str, rows: DataFrame) -> str:
-    """Publish any mart as a snapshot with a pointer, as :func:`refresh_gold`."""
-    if {"price_date", "symbol"} <= set(rows.columns):
-        return refresh_gold(spark, path, rows)
-    created = datetime.now(timezone.utc)
-    folder = f"{path}/snapshots/{created:%Y%m%dT%H%M%S%f}"
-    rows.write.parquet(folder)
-    spark.createDataFrame([(folder, created)], "folder STRING, created_at TIMESTAMP").coalesce(
-        1
-    ).write.mode("append").parquet(f"{path}/pointer")
-    return folder
