@@ -162,7 +162,7 @@ FROM stage""",
 SELECT DISTINCT CASE event_type WHEN 'signup' THEN 'NYSE' WHEN 'purchase' THEN 'NASDAQ'
        WHEN 'view' THEN 'AMEX' WHEN 'click' THEN 'TSX' END AS exchange,
        {_SYMBOL.format(u='user_id')} AS symbol
-FROM events WHERE event_type <> 'error' AND value > 120""",
+FROM events WHERE event_type <> 'error' AND value > 180""",
     "mapping": """
 SELECT symbol, CASE min(CASE exchange WHEN 'NYSE' THEN 0 WHEN 'NASDAQ' THEN 1 WHEN 'AMEX' THEN 2
        ELSE 3 END) WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' WHEN 2 THEN 'AMEX' ELSE 'TSX' END AS exchange

@@ -238,7 +238,7 @@ class Warehouse:
             {"signup": "NYSE", "purchase": "NASDAQ", "view": "AMEX", "click": "TSX"},
         )
         symbol = self.symbol(F.col("user_id"))
-        listed = self.table("events").where("event_type <> 'error' and value > 120")
+        listed = self.table("events").where("event_type <> 'error' and value > 180")
         return listed.select(exchange.alias("exchange"), symbol.alias("symbol")).distinct()
 
     # --- longer history: suppliers as assets, line items as trades ----------

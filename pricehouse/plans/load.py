@@ -158,15 +158,19 @@ def bulk_load(
     only: DataFrame | None = None,
     loaded: DataFrame | None = None,
     asset_type: str | Column = "STOCK",
+    symbol: Column | None = None,
     **options,
 ) -> DataFrame:
     """Load a folder of one-ticker files named after their ticker.
 
+    ``symbol`` replaces the file stem as ticker, for other folder layouts.
+
     Files whose ticker already has bars from ``source`` (or is in ``loaded``)
     are skipped. All remaining files go through one job and one gold refresh.
     """
     spark = store.spark
-    files = list_files(spark, folder).withColumn("symbol", P.symbol_from_stem("source_file", strip_usd))
+    ticker = symbol if symbol is not None else P.symbol_from_stem("source_file", strip_usd)
+    files = list_files(spark, folder).withColumn("symbol", ticker)
     if only is not None:
         files = L.only_listed(files, only)
     if skip_existing:
@@ -186,8 +190,7 @@ def bulk_load(
     skipped = materialize(skipped, "skipped")
     if not paths:
         return skipped
-    symbol = P.symbol_from_stem("source_file", strip_usd)
-    results = load(store, paths, source, symbol=symbol, asset_type=asset_type, **options)
+    results = load(store, paths, source, symbol=ticker, asset_type=asset_type, **options)
     return results.select(*RESULT_COLUMNS).unionByName(skipped)
 
 

@@ -44,8 +44,10 @@ def publish(spark: SparkSession, path: str, rows: DataFrame) -> str:
     else:
         writer = rows.write
     writer.parquet(folder)
-    pointer = spark.createDataFrame([(folder, created)], "folder STRING, created_at TIMESTAMP")
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+    pointer = spark.range(0, 1, 1, 1).select(
+        F.lit(folder).alias("folder"), F.lit(created).alias("created_at")
+    )
+    pointer.write.mode("append").parquet(f"{path}/pointer")
     return folder
 
 

@@ -25,6 +25,7 @@ def build_session(app: str = "pricehouse", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)
