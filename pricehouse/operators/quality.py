@@ -76,17 +76,16 @@ def _partial(df: DataFrame, by: Sequence[str], extra: Sequence[Column] = ()) ->
         F.sum("_priced").alias("_priced"),
         F.sum("_consistent").alias("_consistent"),
         *extra,
-    )
+    ).withColumn("_repeated", F.when(F.col("_rows") > 1, F.col("_rows")).otherwise(0))
 
 
 def _score_columns() -> dict[str, Column]:
     rows = F.sum("_rows")
-    duplicated = F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0))
     share = {
         "completeness": F.try_divide(rows * 3 - F.sum("_missing"), rows * 3),
         "validity": F.try_divide(F.sum("_valid"), rows),
         "consistency": F.try_divide(F.sum("_consistent"), F.sum("_priced")),
-        "uniqueness": F.try_divide(rows - duplicated, rows),
+        "uniqueness": F.try_divide(rows - F.sum("_repeated"), rows),
     }
     return {name: F.coalesce(part * 100, F.lit(0.0)) for name, part in share.items()}
 
@@ -107,6 +106,29 @@ def score_quality(df: DataFrame, by: Sequence[str] | str | None = None) -> DataF
     return out.withColumn("quality_score", _total())
 
 
+def score_files(stage: DataFrame) -> DataFrame:
+    """Scores per file together with its symbols, from one scan.
+
+    ``symbol_count`` counts NULL as a symbol; ``file_symbol`` is the only symbol
+    of a file that has one.
+    """
+    sums = ["_rows", "_missing", "_valid", "_priced", "_consistent", "_repeated"]
+    per_symbol = _partial(stage, ["source_file"]).groupBy("source_file", "symbol").agg(
+        *[F.sum(c).alias(c) for c in sums]
+    )
+    scores = _score_columns()
+    return (
+        per_symbol.groupBy("source_file")
+        .agg(
+            F.sum("_rows").alias("row_count"),
+            *[c.alias(n) for n, c in scores.items()],
+            F.count("*").alias("symbol_count"),
+            F.max("symbol").alias("file_symbol"),
+        )
+        .withColumn("quality_score", _total())
+    )
+
+
 def _total() -> Column:
     parts = F.col("completeness") + F.col("validity") + F.col("consistency") + F.col("uniqueness")
     return F.bround(parts / 4, 2)
@@ -175,7 +197,7 @@ def quality_report(stage: DataFrame, by: str = "source_file") -> DataFrame:
         F.sum("_rows").alias("row_count"),
         F.lit(len(stage.columns)).alias("column_count"),
         *[c.alias(n) for n, c in scores.items()],
-        F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0)).alias("duplicate_count"),
+        F.sum("_repeated").alias("duplicate_count"),
         F.sum("_negative").alias("negative_prices"),
         F.sum("_zero").alias("zero_volumes"),
         F.countDistinct("symbol").alias("unique_symbols"),

@@ -20,14 +20,6 @@ from pricehouse.sources.csv_staging import list_files, stage_csv
 RESULT_COLUMNS = ["source_file", "symbol", "outcome", "message", "records_loaded", "quality_score"]
 
 
-def _file_symbols(stage: DataFrame) -> DataFrame:
-    """Distinct symbols per file (NULL counts as one) and the single one."""
-    seen = stage.groupBy("source_file", "symbol").agg(F.count("*").alias("n"))
-    return seen.groupBy("source_file").agg(
-        F.count("*").alias("symbol_count"), F.max("symbol").alias("file_symbol")
-    )
-
-
 def validate_only(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """Quality report per file with ``passed``; nothing is loaded."""
     report = Q.quality_report(stage_csv(spark, paths))
@@ -65,7 +57,7 @@ def load(
     files = list_files(spark, paths, pattern).select("source_file", "file_size_bytes")
     stage = stage_csv(spark, paths, pattern)
 
-    scores = Q.score_quality(stage, "source_file").join(_file_symbols(stage), "source_file")
+    scores = Q.score_files(stage)
     if isinstance(symbol, str):
         chosen = F.lit(symbol)
     elif symbol is not None:
@@ -98,9 +90,11 @@ def load(
     rows = stage.join(accepted.select("source_file", F.col("symbol").alias("_symbol")), "source_file")
     rows = rows.withColumn("symbol", F.col("symbol") if own_rows else F.col("_symbol")).drop("_symbol")
     good, _ = L.prepare_prices(rows)
-    wanted = (good if own_rows else accepted).select("symbol").distinct().select(
-        "symbol", kind.alias("asset_type"),
-        F.lit(exchange).alias("exchange"), F.lit(company_name).alias("company_name"), F.lit(sector).alias("sector"),
+    # The symbols are few and used several times; the staged rows are not read again.
+    symbols = materialize(good.select("symbol").distinct(), "symbols") if own_rows else accepted.select("symbol").distinct()
+    wanted = symbols.select(
+        "symbol", kind.alias("asset_type"), F.lit(exchange).alias("exchange"),
+        F.lit(company_name).alias("company_name"), F.lit(sector).alias("sector"),
     )
     store.write("asset", L.upsert_assets(store.read("asset"), wanted, stamp))
 
