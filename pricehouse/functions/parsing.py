@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricehouse import schemas as S
@@ -14,6 +14,17 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    A filter on an ordinary computed column is pushed below the projection with
+    its expression copied into every use; for costly parsing that multiplies the
+    work. Columns that come out of a generator stay put.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def nullify_token(c: Column | str) -> Column:
     """NULL where the text is one of the missing-value tokens."""
     c = _col(c)
@@ -45,8 +56,7 @@ def to_number(c: Column | str) -> Column:
 
 def to_finite(c: Column | str) -> Column:
     """As :func:`to_number`, with NaN turned into NULL."""
-    n = to_number(c)
-    return F.when(~F.isnan(n), n)
+    return F.nanvl(to_number(c), F.lit(None).cast("double"))
 
 
 def to_price(c: Column | str) -> Column:

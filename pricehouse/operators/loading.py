@@ -18,16 +18,15 @@ def parse_prices(stage: DataFrame) -> DataFrame:
     A row is accepted when symbol, ISO date and four prices parse and the prices
     obey the OHLC rule. Bad volumes and adjusted closes only become NULL.
     """
-    typed = stage.select(
-        "*",
-        P.iso_date("date_str").alias("price_date"),
-        P.to_price("open_str").alias("open_price"),
-        P.to_price("high_str").alias("high_price"),
-        P.to_price("low_str").alias("low_price"),
-        P.to_price("close_str").alias("close_price"),
-        P.to_volume("volume_str").alias("volume"),
-        P.to_price("adj_close_str").alias("adj_close_price"),
-    )
+    typed = P.compute_once(stage, {
+        "price_date": P.iso_date("date_str"),
+        "open_price": P.to_price("open_str"),
+        "high_price": P.to_price("high_str"),
+        "low_price": P.to_price("low_str"),
+        "close_price": P.to_price("close_str"),
+        "volume": P.to_volume("volume_str"),
+        "adj_close_price": P.to_price("adj_close_str"),
+    })
     ordered = P.is_consistent_ohlc(*[F.col(f"{n}_price") for n in ("open", "high", "low", "close")])
     good = F.col("symbol").isNotNull() & F.col("price_date").isNotNull() & ordered
     return typed.withColumn("accepted", F.coalesce(good, F.lit(False)))

@@ -49,20 +49,28 @@ def _present(df: DataFrame, name: str) -> Column:
 
 def row_checks(df: DataFrame) -> DataFrame:
     """Add per-row flags used by the scores."""
-    date_str = _present(df, "date_str")
-    valid = date_str.isNull() | P.iso_date(date_str).isNotNull()
-    for name in [*S.PRICE_STRINGS, "volume_str"]:
-        text = _present(df, name)
-        valid = valid & (text.isNull() | P.to_number(text).isNotNull())
-    o, h, lo, c = [P.to_finite(_present(df, n)) for n in S.PRICE_STRINGS]
-    priced = o.isNotNull() & h.isNotNull() & lo.isNotNull() & c.isNotNull()
+    names = [*S.PRICE_STRINGS, "volume_str"]
+    parsed = P.compute_once(df, {
+        "_date": P.iso_date(_present(df, "date_str")),
+        **{f"_n_{c}": P.to_number(_present(df, c)) for c in names},
+    })
+    valid = _present(df, "date_str").isNull() | F.col("_date").isNotNull()
+    for c in names:
+        valid = valid & (_present(df, c).isNull() | F.col(f"_n_{c}").isNotNull())
+    finite = [F.nanvl(f"_n_{c}", F.lit(None).cast("double")) for c in S.PRICE_STRINGS]
+    priced = F.lit(True)
+    for number in finite:
+        priced = priced & number.isNotNull()
     empty = [F.when(_present(df, n).isNull(), 1).otherwise(0) for n in ("symbol", "date_str", "close_str")]
-    return df.select(
-        "*",
+    negatives = [F.when(number < 0, 1).otherwise(0) for number in finite]
+    return parsed.select(
+        *df.columns,
         (empty[0] + empty[1] + empty[2]).alias("_missing"),
         F.when(valid, 1).otherwise(0).alias("_valid"),
         F.when(priced, 1).otherwise(0).alias("_priced"),
-        F.when(priced & P.is_consistent_ohlc(o, h, lo, c), 1).otherwise(0).alias("_consistent"),
+        F.when(priced & P.is_consistent_ohlc(*finite), 1).otherwise(0).alias("_consistent"),
+        (negatives[0] + negatives[1] + negatives[2] + negatives[3]).alias("_negative"),
+        F.when(F.col("_n_volume_str") == 0, 1).otherwise(0).alias("_zero"),
     )
 
 
@@ -177,14 +185,9 @@ def price_findings(stage: DataFrame) -> DataFrame:
 def quality_report(stage: DataFrame, by: str = "source_file") -> DataFrame:
     """One report row per file: scores, counts, findings and missing cells."""
     columns = [c for c in stage.columns if c not in (by, "row_number")]
-    volume = P.to_finite("volume_str")
-    negatives = sum(
-        (F.when(P.to_finite(c) < 0, 1).otherwise(0) for c in S.PRICE_STRINGS[1:]),
-        F.when(P.to_finite(S.PRICE_STRINGS[0]) < 0, 1).otherwise(0),
-    )
     extra = [
-        F.sum(negatives).alias("_negative"),
-        F.sum(F.when(volume == 0, 1).otherwise(0)).alias("_zero"),
+        F.sum("_negative").alias("_negative"),
+        F.sum("_zero").alias("_zero"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns if c not in KEY],
     ]
     partial = _partial(stage, [by], extra)

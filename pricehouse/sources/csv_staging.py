@@ -71,9 +71,11 @@ def read_lines(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv"
     return lines.where(F.trim("value") != "").withColumn("position", F.monotonically_increasing_id())
 
 
-def _fields(line: Column, width: int) -> Column:
-    parsed = F.from_csv(line, ", ".join(f"c{i} STRING" for i in range(width)))
-    return F.array(*[parsed[f"c{i}"] for i in range(width)])
+def _with_fields(df: DataFrame, line: Column, width: int, name: str) -> DataFrame:
+    """Add ``name``: the fields of a CSV line as an array; the line is parsed once."""
+    fields = [f"c{i}" for i in range(width)]
+    parsed = P.compute_once(df, {"_parsed": F.from_csv(line, ", ".join(f"{f} STRING" for f in fields))})
+    return P.compute_once(parsed, {name: F.array(*[F.col(f"_parsed.{f}") for f in fields])}).drop("_parsed")
 
 
 def stage_lines(lines: DataFrame) -> DataFrame:
@@ -95,15 +97,13 @@ def stage_lines(lines: DataFrame) -> DataFrame:
         empty = ", ".join(f"{c} STRING" for c in [*S.STAGE_COLUMNS, "source_file"])
         return lines.sparkSession.createDataFrame([], f"{empty}, row_number BIGINT")
 
-    titles = F.transform(
-        _fields(F.regexp_replace("value", "^﻿", ""), width), lambda t: F.lower(F.trim(t))
-    )
-
     def index_of(target: str) -> Column:
         places = [F.nullif(F.array_position("titles", a), F.lit(0)) for a in S.COLUMN_ALIASES[target]]
         return (F.coalesce(*places) - 1).cast("int").alias(f"i_{target}")
 
-    layout = headers.withColumn("titles", titles).select(
+    titled = _with_fields(headers, F.regexp_replace("value", "^\ufeff", ""), width, "_titles")
+    titled = titled.withColumn("titles", F.transform("_titles", lambda t: F.lower(F.trim(t))))
+    layout = titled.select(
         "header_file", *[index_of(c) for c in S.STAGE_COLUMNS]
     )
     lookup = splits.join(layout, F.col("source_file") == F.col("header_file")).select(
@@ -114,13 +114,14 @@ def stage_lines(lines: DataFrame) -> DataFrame:
     rows = lines.join(
         lookup, (F.col("source_file") == F.col("_file")) & (F.col("block") == F.col("_block"))
     ).withColumn("row_number", F.col("before") + F.col("position") - F.col("first"))
-    cells = rows.where("row_number > 0").withColumn("cells", _fields(F.col("value"), width))
-    picks = {c: F.get("cells", F.col(f"i_{c}")) for c in S.STAGE_COLUMNS}
-    picks["symbol"] = F.when(F.col("i_symbol").isNull(), P.symbol_from_path("source_file")).otherwise(
-        P.nullify_token(picks["symbol"])
+    cells = _with_fields(rows.where("row_number > 0"), F.col("value"), width, "cells")
+    picked = P.compute_once(cells, {f"v_{c}": F.get("cells", F.col(f"i_{c}")) for c in S.STAGE_COLUMNS})
+    values = {c: P.nullify_token(f"v_{c}") for c in S.STAGE_COLUMNS}
+    values["symbol"] = F.when(F.col("i_symbol").isNull(), P.symbol_from_path("source_file")).otherwise(
+        values["symbol"]
     )
-    return cells.select(
-        *[(picks[c] if c == "symbol" else P.nullify_token(picks[c])).alias(c) for c in S.STAGE_COLUMNS],
+    return picked.select(
+        *[values[c].alias(c) for c in S.STAGE_COLUMNS],
         "source_file",
         F.col("row_number").cast("bigint").alias("row_number"),
     )
