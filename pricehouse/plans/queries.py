@@ -97,13 +97,9 @@ LATEST_COLUMNS = ["symbol", "price_date", "close_price", "volume", "asset_type",
 def latest_prices(
     gold: DataFrame, symbols: Sequence[str] | None = None, limit: int | None = 100, by: str = "symbol"
 ) -> DataFrame:
-    """The newest bar per symbol (or per ``asset_id``), one row each.
-
-    An aggregate with map-side combining, so no key is ever gathered whole.
-    """
-    kept = gold.where(_in_symbols(symbols)) if symbols else gold
+    """The newest bar per symbol (or per ``asset_id``), one row each."""
     bar = F.struct("price_date", "asset_id", *[c for c in LATEST_COLUMNS if c != "price_date"])
-    newest = kept.groupBy(by).agg(F.max(bar).alias("bar"))
+    newest = _on_latest_day(gold, symbols, by).groupBy(by).agg(F.max(bar).alias("bar"))
     rows = newest.select(*[F.col(f"bar.{c}").alias(c) for c in LATEST_COLUMNS]).orderBy("symbol")
     return rows.limit(limit) if limit is not None else rows
 
@@ -112,13 +108,22 @@ def latest_prices_join(
     gold: DataFrame, symbols: Sequence[str] | None = None, limit: int | None = 100
 ) -> DataFrame:
     """All bars on each symbol's newest date; assets sharing a symbol all show."""
-    kept = gold.where(_in_symbols(symbols)) if symbols else gold
-    newest = kept.groupBy("symbol").agg(F.max("price_date").alias("price_date"))
-    rows = kept.join(newest, ["symbol", "price_date"], "left_semi").select("asset_id", *LATEST_COLUMNS)
+    rows = _on_latest_day(gold, symbols, "symbol").select("asset_id", *LATEST_COLUMNS)
     rows = rows.orderBy("symbol", "asset_id")
     return (rows.limit(limit) if limit is not None else rows).drop("asset_id")
 
 
+def _on_latest_day(gold: DataFrame, symbols: Sequence[str] | None, by: str) -> DataFrame:
+    """Bars of each key's newest date.
+
+    The dates come from a hash aggregate over two columns; the wide rows are then
+    filtered by them instead of being sorted or shuffled as a whole.
+    """
+    kept = gold.where(_in_symbols(symbols)) if symbols else gold
+    newest = kept.groupBy(by).agg(F.max("price_date").alias("price_date"))
+    return kept.join(newest, [by, "price_date"], "left_semi")
+
+
 def top_latest(
     gold: DataFrame, n: int, exchange: str | None = None, symbol: str | None = None
 ) -> DataFrame:

@@ -88,10 +88,10 @@ def stage_lines(lines: DataFrame) -> DataFrame:
         by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
     # The first line of the first split of a file is its header.
-    heads = splits.where("before = 0").select(
-        F.col("source_file").alias("header_file"), F.col("first").alias("position")
+    heads = splits.where("before = 0").select(F.col("first").alias("position"))
+    headers = lines.join(heads, "position", "left_semi").select(
+        F.col("source_file").alias("header_file"), "value"
     )
-    headers = lines.select("position", "value").join(heads, "position").select("header_file", "value")
     width = headers.agg(F.max(F.size(F.split("value", ",")))).first()[0]
     if width is None:
         empty = ", ".join(f"{c} STRING" for c in [*S.STAGE_COLUMNS, "source_file"])
