@@ -17,6 +17,8 @@ from pricehouse.operators import exchanges as E
 from pricehouse.operators import quality as Qc
 from pricehouse.sources.csv_staging import nullify_na
 
+# A ticker per part size (1 to 50): the crypto tickers first, then some that are not.
+_TICKERS = [*S.KNOWN_CRYPTO, "AAPL", "MSFT", "btc", "BTC-USD", "IBM", "", "SPY", "QQQ", "X", "GE", "T", "V"]
 NEW_STAMP = "2024-02-01 00:00:00"
 
 
@@ -91,8 +93,7 @@ QUERIES = {
     # F14
     "classify_asset": _q(
         lambda w: w.table("part").select(
-            "p_partkey",
-            P.classify_asset(F.upper(F.substring("p_name", 1, 3))).alias("asset_type"),
+            "p_partkey", P.classify_asset(F.get(F.array(*[F.lit(t) for t in _TICKERS]), F.col("p_size") - 1)).alias("asset_type")
         )
     ),
     # F12, L2
@@ -309,10 +310,8 @@ FROM (SELECT *, CASE layout WHEN '1' THEN month(dt) || '/' || day(dt) || '/' ||
                   WHEN '4' THEN strftime(dt, '%m-%d-%Y')
                   ELSE year(dt) || '-' || month(dt) || '-' || day(dt) END AS text
       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt, substr(o_orderpriority, 1, 1) AS layout FROM orders) x) y"""),
-    "classify_asset": oracle("p_partkey:i asset_type:s", """
-SELECT p_partkey, CASE WHEN upper(substr(p_name, 1, 3)) IN ('BTC', 'ETH', 'XRP', 'LTC', 'BCH', 'ADA', 'DOT',
-    'XLM', 'UNI', 'SOL', 'ETC', 'FIL', 'TRX', 'XMR', 'XTZ', 'EOS', 'MKR', 'SNX', 'YFI', 'ZRX', 'FLR', 'DAI',
-    'ZEC', 'BAT') THEN 'CRYPTO' ELSE 'STOCK' END AS asset_type FROM part"""),
+    "classify_asset": oracle("p_partkey:i asset_type:s", f"""
+SELECT p_partkey, CASE WHEN p_size <= {len(S.KNOWN_CRYPTO)} THEN 'CRYPTO' ELSE 'STOCK' END AS asset_type FROM part"""),
     "valid_ohlc": oracle(
         "source_file:s row_number:i symbol:s price_date:d open_price:f high_price:f low_price:f close_price:f "
         "volume:i adj_close_price:f", f"SELECT * FROM ({_ACCEPTED}) z WHERE good"),

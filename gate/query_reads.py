@@ -71,6 +71,10 @@ QUERIES = {
     "asset_info_typed": _q(lambda w: Q.asset_info(w.asset(), "U000000004-USD", "CRYPTO")),
     # F6, F7
     "active_sources": _q(lambda w: Q.active_sources(w.data_source())),
+    "source_id": _q(
+        lambda w: w.price_raw().where(F.col("source_id") == Q.source_id(w.data_source(), "PURCHASE"))
+        .groupBy("source_id").agg(F.count("*").alias("bars"))
+    ),
     "list_sources": _q(lambda w: Q.list_sources(w.data_source())),
     # F16
     "recent_batches": _q(lambda w: Q.recent_batches(w.batch_meta(), 20)),
@@ -191,6 +195,9 @@ SELECT DISTINCT symbol FROM asset WHERE is_active AND asset_type = 'STOCK' AND e
         "asset_id:i symbol:s asset_type:s currency:s exchange:s company_name:s sector:s is_active:b",
         "SELECT * FROM asset WHERE symbol = 'U000000004-USD' AND asset_type = 'CRYPTO'"),
     "active_sources": oracle("source_name:s source_id:i", "SELECT * FROM data_source WHERE is_active"),
+    "source_id": oracle("source_id:i bars:i", """
+SELECT p.source_id, count(*) AS bars FROM price_raw p JOIN data_source s ON p.source_id = s.source_id
+WHERE s.source_name = 'PURCHASE' AND s.is_active GROUP BY p.source_id"""),
     "list_sources": oracle(
         "source_name:s source_type:s is_active:b rate_limit_per_minute:i api_key_required:b",
         "SELECT * FROM data_source"),

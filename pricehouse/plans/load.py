@@ -54,6 +54,7 @@ def load(
     spark = store.spark
     moment = now or datetime.now(timezone.utc)
     stamp = F.lit(moment)
+    sequence = int(moment.timestamp() * 1_000_000)
     files = list_files(spark, paths, pattern).select("source_file", "file_size_bytes")
     stage = stage_csv(spark, paths, pattern)
 
@@ -114,14 +115,16 @@ def load(
             "source_id": F.lit(sid).cast("int"),
             "granularity": F.lit("DAILY"),
             "created_at": stamp,
-            "load_seq": F.lit(int(moment.timestamp() * 1_000_000)),
+            "load_seq": F.lit(sequence),
         })
         .withColumn("price_id", L.price_id())
     )
     raw_columns = store.read("price_raw").columns
     store.append_raw(bars.select(*raw_columns))
 
-    loaded = store.read("price_raw").join(running, "batch_id").groupBy("batch_id").agg(F.count("*").alias("n"))
+    # Only this run's files match its sequence number; the rest of the table is skipped.
+    written = store.read("price_raw").where(F.col("load_seq") == sequence)
+    loaded = written.groupBy("batch_id").agg(F.count("*").alias("n"))
     results = running.join(loaded, "batch_id", "left").select(
         "batch_id", "source_file", F.lit("SUCCESS").alias("status"),
         F.lit(None).cast("string").alias("error_message"),

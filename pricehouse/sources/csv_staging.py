@@ -92,6 +92,7 @@ def stage_lines(lines: DataFrame) -> DataFrame:
     headers = lines.join(heads, "position", "left_semi").select(
         F.col("source_file").alias("header_file"), "value"
     )
+    headers = materialize(headers, "headers")
     width = headers.agg(F.max(F.size(F.split("value", ",")))).first()[0]
     if width is None:
         empty = ", ".join(f"{c} STRING" for c in [*S.STAGE_COLUMNS, "source_file"])
@@ -110,6 +111,7 @@ def stage_lines(lines: DataFrame) -> DataFrame:
         F.col("source_file").alias("_file"), F.col("block").alias("_block"), "first", "before",
         *[f"i_{c}" for c in S.STAGE_COLUMNS],
     )
+    lookup = materialize(lookup, "splits")  # one row per split; used by every later pass
 
     rows = lines.join(
         lookup, (F.col("source_file") == F.col("_file")) & (F.col("block") == F.col("_block"))
