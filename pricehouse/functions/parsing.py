@@ -34,7 +34,7 @@ def nullify_token(c: Column | str) -> Column:
 def iso_date(c: Column | str) -> Column:
     """``yyyy-M-d`` text as a date, anything else as NULL."""
     c = _col(c)
-    return F.when(c.rlike(S.ISO_DATE), F.try_to_date(c, "yyyy-M-d"))
+    return F.when(c.rlike(S.ISO_DATE) & (c >= "0001"), c.try_cast("date"))
 
 
 def parse_date(c: Column | str) -> Column:
@@ -48,10 +48,12 @@ def parse_date(c: Column | str) -> Column:
 def to_number(c: Column | str) -> Column:
     """Text as a double; text that is not a number becomes NULL.
 
-    The shape is checked first because the cast alone takes ``1d`` or ``0x1p3``.
+    The cast alone takes ``1d`` or ``0x1p3``; texts with such letters have their
+    shape checked, the usual ones are spared the pattern.
     """
     c = _col(c)
-    return F.when(c.rlike(S.NUMBER), c.try_cast("double"))
+    letters = reduce(lambda a, b: a | b, [F.contains(c, F.lit(x)) for x in "dDfFxX"])
+    return F.when(~letters | c.rlike(S.NUMBER), c.try_cast("double"))
 
 
 def to_finite(c: Column | str) -> Column:

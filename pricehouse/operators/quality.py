@@ -16,8 +16,8 @@ from pricehouse import schemas as S
 from pricehouse.functions import parsing as P
 from pricehouse.operators.carry import previous_value
 from pricehouse.operators.joins import null_safe_join
+from pricehouse.operators.skew import HOT_ROWS
 
-ROWS_PER_CHUNK = 1_000_000
 KEY = ["symbol", "date_str"]
 
 
@@ -143,7 +143,7 @@ def _total() -> Column:
 
 
 def extreme_moves(
-    stage: DataFrame, threshold: float = S.EXTREME_MOVE_PCT, rows_per_chunk: int = ROWS_PER_CHUNK
+    stage: DataFrame, threshold: float = S.EXTREME_MOVE_PCT, rows_per_chunk: int = HOT_ROWS
 ) -> DataFrame:
     """Rows whose close moves more than ``threshold`` percent from the row before.
 
@@ -153,7 +153,7 @@ def extreme_moves(
     rows = stage.where("symbol is not null").withColumn("_close", P.to_finite("close_str"))
     seen = previous_value(
         rows, ["source_file", "symbol"], ["row_number"], "_close",
-        F.floor((F.col("row_number") - 1) / rows_per_chunk), "_prev",
+        F.floor((F.col("row_number") - 1) / rows_per_chunk), "_prev", hot_rows=rows_per_chunk,
     )
     prev, now = F.col("_prev"), F.col("_close")
     pct = (now - prev) / F.when(prev != 0, prev) * 100

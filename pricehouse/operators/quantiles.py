@@ -8,24 +8,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricehouse.operators.joins import null_safe_join
+from pricehouse.operators.skew import HOT_ROWS, split_hot
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 10000
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    hot_rows: int = HOT_ROWS,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles, one column each.
 
-    ``percentile`` keeps every distinct value of a group in one task's memory.
-    Here a mergeable sketch brackets each wanted rank (its rank error is at most
-    ``1/accuracy``), values are counted per (group, value) in parallel, and only
-    the distinct values inside the bracket are ranked. Groups small enough for
-    the error bound to be less than a few rows are bracketed by their range.
+    The built-in ``percentile`` keeps the distinct values of a group in one task's
+    memory, which is fine up to ``hot_rows`` rows. Larger groups are bracketed.
     """
     by = list(by)
-    slack = 2.0 / accuracy
     clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
         *by, F.col(value).cast("double").alias("_v")
     )
+    ordinary, hot = split_hot(clean, by, hot_rows)
+    held = ordinary.groupBy(*by).agg(
+        F.count("*").alias("_n"), *[F.percentile("_v", q).alias(n) for n, q in probs.items()]
+    )
+    # an ungrouped aggregate gives a row even for no input
+    return held.where("_n > 0").drop("_n").unionByName(_bracketed(hot, by, probs, accuracy))
+
+
+def _bracketed(clean: DataFrame, by: list[str], probs: dict[str, float], accuracy: int) -> DataFrame:
+    """Exact quantiles of ``_v`` in bounded memory.
+
+    A mergeable sketch brackets each wanted rank (its rank error is at most
+    ``1/accuracy``), values are counted per (group, value) in parallel, and only
+    the distinct values inside the bracket are ranked. Groups so small that the
+    error bound is less than a few rows are bracketed by their range.
+    """
+    slack = 2.0 / accuracy
     names = list(probs)
     low = F.percentile_approx("_v", [max(0.0, probs[n] - slack) for n in names], accuracy)
     high = F.percentile_approx("_v", [min(1.0, probs[n] + slack) for n in names], accuracy)
@@ -67,6 +86,6 @@ def exact_quantiles(
         at.alias("_a"), after.alias("_b")
     )
     quantile = F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * (F.col("_rank") - F.floor("_rank"))
-    return found.groupBy(*by).agg(
+    return found.where("_rank is not null").groupBy(*by, F.lit(0).alias("_all")).agg(
         *[F.max(F.when(F.col("_name") == n, quantile)).alias(n) for n in names]
-    )
+    ).drop("_all")

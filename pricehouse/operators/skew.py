@@ -1,0 +1,26 @@
+"""Telling very large groups from the rest."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pricehouse.operators.joins import null_safe_join
+
+# A group up to this size is safe to sort or hold in one task.
+HOT_ROWS = 1_000_000
+
+
+def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary groups, and rows of groups with more than ``hot_rows`` rows.
+
+    There are fewer than (all rows / ``hot_rows``) hot keys, a millionth of the
+    rows by default, so their list is broadcast and the rows stay where they are.
+    Without hot groups adaptive execution drops the second branch unread.
+    """
+    by = list(by)
+    hot = df.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*by)
+    hot = F.broadcast(hot)
+    return null_safe_join(df, hot, by, "left_anti"), null_safe_join(df, hot, by, "left_semi")
