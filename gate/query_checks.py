@@ -199,7 +199,8 @@ QUERIES = {
 
 def _stage_numbers(w: Warehouse):
     names = {"open_price": "open_str", "high_price": "high_str", "low_price": "low_str", "close_price": "close_str"}
-    return stage_of(w).select("source_file", "row_number", *[P.to_price(c).alias(n) for n, c in names.items()])
+    typed = P.compute_once(stage_of(w), {n: P.to_price(c) for n, c in names.items()})
+    return typed.select("source_file", "row_number", *names)
 
 
 def _prepared(w: Warehouse, accepted: bool):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricehouse import schemas as S
-from pricehouse.functions.parsing import to_finite, to_price
+from pricehouse.functions.parsing import compute_once, to_finite, to_price
 
 
 def violations(df: DataFrame, rule: Column) -> DataFrame:
@@ -74,8 +74,8 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def check_limits(stage: DataFrame, max_length: int = S.MAX_SYMBOL_LENGTH) -> DataFrame:
     """Staged rows with text over the column width, or prices over decimal(15,6)."""
-    short = [F.length(c) <= max_length for c in S.STAGE_COLUMNS]
-    fits = [
-        to_finite(c).isNull() | to_price(c).isNotNull() for c in [*S.PRICE_STRINGS, "adj_close_str"]
-    ]
-    return violations(stage, reduce(lambda a, b: a & b, [F.coalesce(x, F.lit(True)) for x in [*short, *fits]]))
+    texts = [*S.PRICE_STRINGS, "adj_close_str"]
+    fits = {f"_fits_{c}": to_finite(c).isNull() | to_price(c).isNotNull() for c in texts}
+    short = [F.coalesce(F.length(c) <= max_length, F.lit(True)) for c in S.STAGE_COLUMNS]
+    rule = reduce(lambda a, b: a & b, [*short, *[F.coalesce(name, F.lit(True)) for name in fits]])
+    return violations(compute_once(stage, fits), rule).select(*stage.columns)

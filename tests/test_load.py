@@ -3,6 +3,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from pricehouse.client import PriceClient
 from pricehouse.plans.exchange_update import update_exchanges
 from pricehouse.plans.load import bulk_load, load, load_folder, retry_failed, validate_only
 from pricehouse.plans.store import Store, publish, read_published, refresh_all, seed
@@ -54,6 +55,21 @@ def test_load_one_file_end_to_end(spark, store, tmp_path):
     gold = read_published(spark, store.path("price_gold"))
     assert gold.count() == 10
     assert gold.where("symbol = 'AAPL' and exchange = 'NASDAQ' and asset_type = 'STOCK'").count() == 10
+    client = PriceClient(store)
+    assert client.prices(["aapl"], "2024-01-03", "2024-01-05").count() == 3
+    assert client.prices([], "2024-01-03", "2024-01-05").count() == 0
+    assert tuple(client.health().first()) == (15, 10, 1, date(2024, 1, 10))
+    assert client.status().first()["row_count"] == 10
+    assert [r["price_date"] for r in client.latest_prices().collect()] == [date(2024, 1, 10)]
+    summary = client.price_summary("AAPL", 3, "2024-01-10").first()
+    assert (summary["trading_days"], summary["latest_price"], summary["avg_volume"]) == (4, 110.0, 1007)
+    assert client.price_summary("NONE").count() == 0
+    with pytest.raises(ValueError):
+        client.price_summary("AAPL", 400)
+    assert client.freshness().first()["is_fresh"]
+    assert client.recent_price_changes("2024-01-10", 5).count() == 5
+    assert client.available_symbols("CRYPTO", "CRYPTO").count() == 4
+    assert client.sources().count() == 12 and client.recent_batches().count() == 1
     # a second load of changed bars replaces the old ones, raw keeps both
     (folder / "AAPL_test.csv").write_text(HEAD + bars(5, 3, 200.0) + bars(5, 1, 300.0))
     load(store, str(folder), "MANUAL_CSV", min_score=0, now=T2)
