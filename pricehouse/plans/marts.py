@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricehouse.plans.queries import in_years
+
 
 def price_total_return(
     gold: DataFrame, corporate_action: DataFrame, dividend_cash: DataFrame, stock_split: DataFrame
@@ -101,7 +103,7 @@ def recent_price_changes(gold: DataFrame, as_of: date | str, days: int = 30) ->
     """
     start = F.date_sub(F.lit(str(as_of)).cast("date"), days)
     by_asset = Window.partitionBy("asset_id").orderBy("price_date")
-    kept = gold.where(F.col("price_date") >= start).select(
+    kept = gold.where((F.col("price_date") >= start) & in_years(gold, start)).select(
         "asset_id", "symbol", "asset_type", "price_date", "close_price",
         F.lag("close_price").over(by_asset).alias("prev_close"),
     )

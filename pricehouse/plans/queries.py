@@ -24,12 +24,21 @@ def _in_symbols(symbols: Sequence[str]) -> Column:
     return F.col("symbol").isin([s.upper() for s in symbols])
 
 
+def in_years(table: DataFrame, start: Column, end: Column | None = None) -> Column:
+    """The years a date range touches, where the table is split by year."""
+    if "price_year" not in table.columns:
+        return F.lit(True)
+    late_enough = F.col("price_year") >= F.year(start)
+    return late_enough if end is None else late_enough & (F.col("price_year") <= F.year(end))
+
+
 def prices(gold: DataFrame, tickers: Sequence[str], start: date | str, end: date | str) -> DataFrame:
     """Daily bars of some tickers in a closed date range, by ticker and date."""
     if not tickers:
         return gold.select(*PRICE_COLUMNS).limit(0)
+    first, last = _day(start), _day(end)
     return (
-        gold.where(_in_symbols(tickers) & F.col("price_date").between(_day(start), _day(end)))
+        gold.where(_in_symbols(tickers) & F.col("price_date").between(first, last) & in_years(gold, first, last))
         .select(*PRICE_COLUMNS)
         .orderBy("symbol", "price_date")
     )

@@ -93,7 +93,11 @@ class Store:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        """A table; a dimension or raw table not written yet is empty."""
+        """A table; a dimension or raw table not written yet is empty.
+
+        Published price tables keep ``price_year``, which lets queries with a date
+        range skip whole years.
+        """
         if name == "price_raw":
             try:
                 raw = self.spark.read.parquet(self.path(name))
@@ -105,7 +109,7 @@ class Store:
             return self.spark.createDataFrame([], SCHEMAS[name])
         if folder is None:
             raise ValueError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(folder).drop("price_year")
+        return self.spark.read.parquet(folder)
 
     def write(self, name: str, rows: DataFrame) -> None:
         publish(self.spark, self.path(name), rows)

@@ -48,6 +48,7 @@ def test_gold_keeps_the_best_row_before_the_shuffle(plans):
 
 def test_point_queries_push_their_filter_and_prune_columns(spark, tmp_path):
     from pricehouse.fixtures import Warehouse
+    from pricehouse.plans.marts import recent_price_changes
     from pricehouse.plans.queries import latest_prices, prices
     from pricehouse.plans.store import publish, read_published
 
@@ -56,6 +57,9 @@ def test_point_queries_push_their_filter_and_prune_columns(spark, tmp_path):
     gold = read_published(spark, path)
     plan = prices(gold, ["U000000001"], "2024-01-05", "2024-01-06")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*price_date[^\]]*symbol", plan)
+    assert re.search(r"PartitionFilters: \[[^\]]*price_year[^\]]*2024", plan)
+    plan = recent_price_changes(gold, "2024-01-20", 5)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*price_year[^\]]*2024", plan)
     plan = latest_prices(gold)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<symbol:string,price_date:date>" in plan
 
