@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricehouse.llm import mixing, quality_rules
+from pricehouse.llm import mixing, piece_encoding, quality_rules, secret_scans, simhash, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,32 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.filter_urls(table(spark, folder, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict", "component"
+    )
+
+
+def piece_model() -> str:
+    """The vocabulary file; every machine has it under the path its own package names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op5_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_encoding.digests(table(spark, folder, "documents"), piece_model())
+
+
+def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scans.find_secrets(table(spark, folder, "documents"))
+    return found.withColumn("spans", secret_scans.listed(F.col("spans")))
+
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, folder, "documents"))
     return plan.select(
@@ -104,6 +130,13 @@ SELECT doc_id, size, source_size, target,
 FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source
 """
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op8_mixing": op8_mixing}
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_url_filters": op3_url_filters,
+    "op5_piece_encoding": op5_piece_encoding,
+    "op6_secret_scans": op6_secret_scans,
+    "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
+}
 
 ORACLES = {"op2_quality_rules": _OP2, "op8_mixing": _OP8}

@@ -31,3 +31,20 @@ def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.select(*columns)
+
+
+def slices(batch, column: str, most: int = 8 << 20):
+    """Cut an Arrow batch so that each part has about ``most`` bytes in a text column.
+
+    A single longer text is a part of its own: texts are never cut.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if batch.num_rows == 0:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes.astype("int64")) // most
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(starts, starts[1:]):
+        yield batch.slice(i, j - i)
