@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricehouse.llm import mixing, piece_encoding, quality_rules, secret_scans, simhash, url_filters
+from pricehouse.llm import (
+    chat_format, mixing, piece_encoding, quality_rules, secret_scans, simhash, token_counts, url_filters, vector_search,
+)
+from pricehouse.session import materialize, new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after all documents were added, and those that repeat an earlier text removed.
+
+    The removal is committed twice, as after a lost driver, and counts once.
+    """
+    counters = {"words-1": token_counts.words_counter(), "byte-bpe-50k": byte_bpe()}
+    counts = materialize(token_counts.count_tokens(table(spark, folder, "documents"), counters), "token-counts")
+    totals = token_counts.TokenTotals(spark, new_folder(spark, "token-totals"))
+    totals.commit("all documents", token_counts.inserts(counts))
+    for _ in range(2):
+        totals.commit("exact copies", token_counts.deletes(token_counts.repeats(counts)))
+    return totals.totals()
+
+
+def byte_bpe():
+    import public_tokenizers
+
+    return token_counts.byte_bpe_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.report(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -45,6 +70,18 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = chat_format.END + chat_format.START + "assistant ok"
+    extra = json.dumps({"messages": [{"role": r, "content": said} for r in ("user", "assistant")]})
+    records = spark.createDataFrame([(-1, extra)], "conv_id bigint, record string")
+    turns = chat_format.table_turns(table(spark, folder, "conversations"))
+    return chat_format.digests(turns.unionByName(chat_format.record_turns(records)))
+
+
+def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, folder, "documents"))
     return plan.select(
@@ -131,12 +168,15 @@ FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source
 """
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
     "op5_piece_encoding": op5_piece_encoding,
     "op6_secret_scans": op6_secret_scans,
+    "op7_chat_format": op7_chat_format,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_vector_search": op10_vector_search,
 }
 
 ORACLES = {"op2_quality_rules": _OP2, "op8_mixing": _OP8}
