@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricehouse.llm import (
-    chat_format, mixing, piece_encoding, quality_rules, secret_scans, simhash, token_counts, url_filters, vector_search,
+    chat_format, mixing, piece_encoding, quality_rules, secret_scans, simhash, substring_dedup, token_counts, url_filters, vector_search,
 )
+from pricehouse.llm.text import let_workers_import
 from pricehouse.session import materialize, new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -31,6 +33,12 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return totals.totals()
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder).withColumn("ids", F.concat_ws(" ", F.col("ids").cast("array<string>")))
+
+
 def byte_bpe():
     import public_tokenizers
 
@@ -50,6 +58,10 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, folder, "documents"), digest=True)
+
+
 def piece_model() -> str:
     """The vocabulary file; every machine has it under the path its own package names."""
     import public_tokenizers
@@ -171,12 +183,14 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_piece_encoding": op5_piece_encoding,
     "op6_secret_scans": op6_secret_scans,
     "op7_chat_format": op7_chat_format,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_vector_search": op10_vector_search,
+    "pipeline": pipeline,
 }
 
 ORACLES = {"op2_quality_rules": _OP2, "op8_mixing": _OP8}

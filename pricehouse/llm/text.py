@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of anything but these six ASCII white-space characters.
@@ -25,6 +27,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder of this package on the workers' module path.
+
+    Workers started from another folder find the package so where they share the
+    driver's disk; elsewhere it is shipped like any Python package (``--py-files``).
+    """
+    folder = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if folder not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
+
+
 def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the named columns; whatever else a table carries cannot clash later."""
     missing = [c for c in columns if c not in df.columns]
