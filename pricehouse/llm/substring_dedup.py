@@ -5,7 +5,7 @@ smaller doc_id. Any window of 13 words holds one whole block of 7 at a position
 a multiple of 7 in its own document. So it is enough to index those blocks
 (non-overlapping), to probe the index with every rolling window of 7 words, and to
 extend the hits: only windows of 13 around a hit can be repeats, and those are
-compared by a 128-bit hash. The union of the repeated windows is the maximal repeats.
+compared by 96 bits of hash. The union of the repeated windows is the maximal repeats.
 
 Documents are dealt by hash into cells of about ``CELL_BYTES`` of text; all three
 reads of a text share one shuffle of it. Between cells go packed, sorted hashes:
@@ -49,6 +49,9 @@ CELL_BYTES, PART_HASHES = 12 << 20, 4 << 20
 #: Bytes of a probe hash that are sent, beside the bits that name its part.
 PROBE_BYTES = 5
 
+#: Windows hashed at once.
+_STRIDE = 1 << 14
+
 _LAST = np.iinfo("int64").max  # in place of a NULL doc_id
 
 
@@ -69,15 +72,19 @@ _HASHES = _WordHashes()
 
 def _rolled(words: np.ndarray, width: int, base: int) -> np.ndarray:
     """Hashes of all windows of ``width`` words."""
-    n = max(0, len(words) - width + 1)
-    total = np.zeros(n, "u8")
-    for k in range(width):
-        total = total * np.uint64(base) + words[k : k + n]
-    total ^= total >> np.uint64(30)
-    total *= np.uint64(0xBF58476D1CE4E5B9)
-    total ^= total >> np.uint64(27)
-    total *= np.uint64(0x94D049BB133111EB)
-    return total ^ (total >> np.uint64(31))
+    out = np.empty(max(0, len(words) - width + 1), "u8")
+    for at in range(0, len(out), _STRIDE):
+        total = out[at : at + _STRIDE]  # a view small enough for the processor's cache
+        total[:] = 0
+        for k in range(width):
+            total *= np.uint64(base)
+            total += words[at + k : at + k + len(total)]
+        total ^= total >> np.uint64(30)
+        total *= np.uint64(0xBF58476D1CE4E5B9)
+        total ^= total >> np.uint64(27)
+        total *= np.uint64(0x94D049BB133111EB)
+        total ^= total >> np.uint64(31)
+    return out
 
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -92,35 +99,65 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 
 
 class Cell:
-    """The documents of a cell as arrays over all their positions."""
+    """The documents of a cell: their words as one array of hashes."""
 
     def __init__(self, table: pa.Table, window: int):
         self.window, self.block = window, (window + 1) // 2
-        self.ids = [_LAST if x is None else x for x in table.column("doc_id").to_pylist()]
+        self.ids = np.array([_LAST if x is None else x for x in table.column("doc_id").to_pylist()], "i8")
         self.texts = table.column("text")
-
-    def word_hashes(self) -> Iterator[np.ndarray]:
-        for text in self.texts:
-            yield hash_words(split_words(text.as_py()))
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
-        """(block-sized window hashes, doc_id of each, whether it is an indexed block, positions in each document)."""
-        rolled = [_rolled(w, self.block, _BASES[0]) for w in self.word_hashes()]
-        sizes = [len(r) for r in rolled]
-        docs = np.repeat(np.array(self.ids, "i8"), sizes)
-        aligned = [np.arange(n) % self.block == 0 for n in sizes]
-        return _joined(rolled, "u8"), docs, _joined(aligned, bool), sizes
-
-    def windows(self, of: int) -> np.ndarray:
-        """Two hashes of every full window of the document at place ``of``, as rows."""
-        words = hash_words(split_words(self.texts[of].as_py()))
-        return np.stack([_rolled(words, self.window, b) for b in _BASES], axis=1)
+        hashed = [hash_words(split_words(text.as_py())) for text in self.texts]
+        self.sizes = np.array([len(h) for h in hashed], "i8")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate(hashed) if hashed else np.empty(0, "u8")
+
+    def places(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first words, documents by number) of all windows that lie inside one document."""
+        counts = np.maximum(self.sizes - width + 1, 0)
+        docs = np.repeat(np.arange(len(counts)), counts)
+        first = np.arange(len(docs)) + np.repeat(self.starts - (np.cumsum(counts) - counts), counts)
+        return first, docs
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first words, documents, block-sized window hashes, whether each is an indexed block)."""
+        first, docs = self.places(self.block)
+        return first, docs, _rolled(self.words, self.block, _BASES[0])[first], (first - self.starts[docs]) % self.block == 0
+
+
+class Groups:
+    """Equal values of an array, which need not be sorted."""
+
+    def __init__(self, *columns: np.ndarray):
+        self.order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0])
+        ranked = [c[self.order] for c in columns]
+        new = np.ones(len(self.order), bool)
+        if len(new):
+            new[1:] = np.logical_or.reduce([r[1:] != r[:-1] for r in ranked])
+        self.first = np.flatnonzero(new)
+        self.values = [r[self.first] for r in ranked]
+        self.counts = np.diff(np.append(self.first, len(self.order)))
+
+    def of(self, function: np.ufunc, values: np.ndarray) -> np.ndarray:
+        """``function`` reduced over the values of each group."""
+        return function.reduceat(values[self.order], self.first) if len(self.first) else values[:0]
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """A value of each group, at all places of the group."""
+        out = np.empty(len(self.order), values.dtype)
+        out[self.order] = np.repeat(values, self.counts)
+        return out
 
 
 def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
+def _found(sought: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the sorted values ``sought`` are among the sorted values ``known``."""
+    if not len(known):
+        return np.zeros(len(sought), bool)
+    return known[np.minimum(np.searchsorted(known, sought), len(known) - 1)] == sought
+
+
 def _short(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(part, the next ``PROBE_BYTES`` bytes) of 64-bit hashes."""
     part = hashes >> np.uint64(64 - bits) if bits else np.zeros(len(hashes), "u8")
@@ -151,9 +188,10 @@ _PROBES = "part bigint, cell bigint, blocks binary, others binary"
 
 def send_probes(key: tuple, table: pa.Table, window: int, bits: int) -> pa.Table:
     """The distinct anchor hashes of a cell, by part: indexed blocks, and all others."""
-    hashes, _, aligned, _ = Cell(table, window).anchors()
-    blocks = np.unique(hashes[aligned])
-    others = np.setdiff1d(hashes[~aligned], blocks)
+    _, _, hashes, aligned = Cell(table, window).anchors()
+    groups = Groups(hashes)
+    indexed = groups.of(np.logical_or, aligned)
+    blocks, others = groups.values[0][indexed], groups.values[0][~indexed]
     rows: dict[int, list[bytes]] = {}
     for place, sent in enumerate((blocks, others)):
         part, short = _short(sent, bits)  # sorted by hash, so by part
@@ -177,10 +215,14 @@ def answer_probes(key: tuple, table: pa.Table) -> pa.Table:
     cells = table.column("cell").to_pylist()
     blocks = [_unpack(x) for x in table.column("blocks").to_pylist()]
     others = [_unpack(x) for x in table.column("others").to_pylist()]
-    held = [np.unique(np.concatenate(x)) for x in zip(blocks, others)]
-    everywhere, found = np.unique(np.concatenate(held), return_counts=True)
-    wanted = np.intersect1d(everywhere[found > 1], np.concatenate(blocks))
-    shared = [h[np.isin(h, wanted, assume_unique=True)] for h in held]
+    held = [x for pair in zip(blocks, others) for x in pair]
+    groups = Groups(_joined(held, "u8"))  # a hash is sent once by each cell
+    is_block = np.repeat([True, False] * len(cells), [len(x) for x in held])
+    wanted = groups.spread((groups.counts > 1) & groups.of(np.logical_or, is_block))
+    ends = np.cumsum([len(b) + len(o) for b, o in zip(blocks, others)])
+    shared = [
+        np.concatenate([b, o])[wanted[end - len(b) - len(o) : end]] for b, o, end in zip(blocks, others, ends)
+    ]
     return _answers(cells, key[0].as_py(), shared, _pack)
 
 
@@ -195,136 +237,100 @@ def _answers(cells: list[int], part: int, shared: list[np.ndarray], pack) -> pa.
     )
 
 
-def _is_hit(cell: Cell, answers: pa.Table, bits: int) -> tuple[np.ndarray, list[int]]:
-    """Which anchor positions of a cell are shared with another cell, or inside it."""
-    hashes, docs, aligned, sizes = cell.anchors()
+def _hits(cell: Cell, answers: pa.Table, bits: int) -> np.ndarray:
+    """The first words of the anchors that are shared with another cell, or inside it."""
+    first, docs, hashes, aligned = cell.anchors()
     part, short = _short(hashes, bits)
-    del hashes
-    value = (part.astype("u8") << np.uint64(8 * PROBE_BYTES)) | short  # 40 bits and the part's
+    groups = Groups((part.astype("u8") << np.uint64(8 * PROBE_BYTES)) | short)  # what was sent of a hash
     replies = [
         (np.uint64(p) << np.uint64(8 * PROBE_BYTES)) | _unpack(h)
         for p, h in zip(answers.column("part").to_pylist(), answers.column("hashes").to_pylist())
     ]
-    hit = np.isin(value, _joined(replies, "u8"))
-    order = np.argsort(value, kind="stable")
-    ranked, owner = value[order], docs[order]
-    start = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.empty(0, "i8")
-    if len(start):
-        lengths = np.diff(np.concatenate([start, [len(ranked)]]))
-        several = np.minimum.reduceat(owner, start) < np.maximum.reduceat(owner, start)
-        indexed = np.logical_or.reduceat(aligned[order], start)
-        hit[order[np.repeat(several & indexed, lengths)]] = True
-    return hit, sizes
+    outside = _found(groups.values[0], np.sort(_joined(replies, "u8")))
+    owners = cell.ids[docs]
+    inside = groups.of(np.minimum, owners) < groups.of(np.maximum, owners)
+    return first[groups.spread(outside | inside & groups.of(np.logical_or, aligned))]
+
+
+#: Bytes of a window as sent: its first hash, half of its second, the place of its doc_id.
+_ROW = np.dtype([("first", "<u8"), ("second", "<u4"), ("owner", "<u4")])
 
+_WINDOWS = "part bigint, cell bigint, windows binary, owners binary"
 
-_WINDOWS = "part bigint, cell bigint, hashes binary, least binary"
+
+def _windows(cell: Cell, first: np.ndarray) -> list[np.ndarray]:
+    """96 bits of hash, in two arrays, of the windows that start at ``first``."""
+    low = _rolled(cell.words, cell.window, _BASES[0])[first]
+    return [low, (_rolled(cell.words, cell.window, _BASES[1])[first] >> np.uint64(32)).astype("u4")]
 
 
 def send_windows(key: tuple, table: pa.Table, answers: pa.Table, window: int, bits: int) -> pa.Table:
     """The windows around the hits of a cell by part, each once with its least doc_id."""
     cell = Cell(table, window)
-    hit, sizes = _is_hit(cell, answers, bits)
-    found, owners, at = [], [], 0
-    for of, n in enumerate(sizes):
-        own = hit[at : at + n]
-        at += n
-        full = n - (cell.window - cell.block)  # windows of the document
-        if full <= 0 or not own.any():
-            continue
-        before = np.concatenate([[0], np.cumsum(own)])
-        near = before[cell.window - cell.block + 1 :][:full] > before[:full]
-        picked = cell.windows(of)[near]
-        found.append(picked)
-        owners.append(np.full(len(picked), cell.ids[of], "i8"))
-    names = ["part", "cell", "hashes", "least"]
+    hit = np.zeros(len(cell.words) + 1, "i4")
+    hit[_hits(cell, answers, bits)] = 1
+    before = np.cumsum(hit) - hit
+    first, docs = cell.places(cell.window)
+    near = before[first + cell.window - cell.block + 1] > before[first]
+    first, docs = first[near], docs[near]
+    groups = Groups(*_windows(cell, first))
+    least = groups.of(np.minimum, cell.ids[docs])
+    rows = np.empty(len(least), _ROW)
+    rows["first"], rows["second"] = groups.values
+    part, _ = _short(rows["first"], bits)
+    columns: list[list] = [[], [], [], []]
+    for p, run in _by_part(part):
+        owners, rows["owner"][run] = np.unique(least[run], return_inverse=True)
+        for column, value in zip(columns, (p, key[0].as_py(), rows[run].tobytes(), owners.tobytes())):
+            column.append(value)
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    if not found:
-        return pa.table([pa.array([], k) for k in kinds], names=names)
-    windows, least = _least(np.concatenate(found), np.concatenate(owners))
-    part, _ = _short(windows[:, 0], bits)
-    rows = [(p, windows[run].tobytes(), least[run].tobytes()) for p, run in _by_part(part)]
-    columns = [[r[0] for r in rows], [key[0].as_py()] * len(rows), [r[1] for r in rows], [r[2] for r in rows]]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-
-def _least(windows: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows in order, with the least doc_id of each."""
-    order = np.lexsort((windows[:, 1], windows[:, 0]))
-    windows, owners = windows[order], owners[order]
-    new = np.concatenate([[True], (windows[1:] != windows[:-1]).any(axis=1)])
-    start = np.flatnonzero(new)
-    return windows[start], np.minimum.reduceat(owners, start)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "cell", "windows", "owners"])
 
 
 def answer_windows(key: tuple, table: pa.Table) -> pa.Table:
     """For each cell its windows that another cell has under a smaller doc_id."""
-    cells = table.column("cell").to_pylist()
-    windows = [np.frombuffer(x, "<u8").reshape(-1, 2) for x in table.column("hashes").to_pylist()]
-    least = [np.frombuffer(x, "<i8") for x in table.column("least").to_pylist()]
-    sizes = [len(w) for w in windows]
-    together = np.concatenate(windows)
-    order = np.lexsort((together[:, 1], together[:, 0]))
-    ranked, owner = together[order], np.concatenate(least)[order]
-    start = np.flatnonzero(np.concatenate([[True], (ranked[1:] != ranked[:-1]).any(axis=1)]))
-    lengths = np.diff(np.concatenate([start, [len(ranked)]]))
-    smaller = np.empty(len(ranked), bool)
-    smaller[order] = np.repeat(np.minimum.reduceat(owner, start), lengths) < owner
-    ends = np.cumsum(sizes)
-    shared = [w[smaller[e - n : e]] for w, n, e in zip(windows, sizes, ends)]
-    return _answers(cells, key[0].as_py(), shared, lambda w: w.tobytes())
+    sent = [np.frombuffer(x, _ROW) for x in table.column("windows").to_pylist()]
+    owners = [np.frombuffer(o, "i8")[rows["owner"]] for o, rows in zip(table.column("owners").to_pylist(), sent)]
+    rows, owner = _joined(sent, _ROW), _joined(owners, "i8")
+    groups = Groups(rows["first"], rows["second"])
+    smaller = groups.spread(groups.of(np.minimum, owner)) < owner
+    ends = np.cumsum([len(x) for x in sent])
+    shared = [x[smaller[end - len(x) : end]] for x, end in zip(sent, ends)]
+    return _answers(table.column("cell").to_pylist(), key[0].as_py(), shared, lambda x: x.tobytes())
 
 
 _KEPT = "doc_id bigint, n_words bigint, n_removed bigint, text string"
 
 
-def _pairs(windows: np.ndarray) -> np.ndarray:
-    """Rows of two numbers as one comparable value each."""
-    return np.ascontiguousarray(windows, "<u8").view([("a", "<u8"), ("b", "<u8")]).reshape(-1)
-
-
-def _removed(cell: Cell, answers: pa.Table, bits: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(doc_id, words, mask of the words that go) of each document of a cell."""
-    per_doc = [cell.windows(of) for of in range(len(cell.ids))]
-    sizes = [len(w) for w in per_doc]
-    windows = np.concatenate(per_doc) if per_doc else np.empty((0, 2), "u8")
-    del per_doc
-    owners = np.repeat(np.array(cell.ids, "i8"), sizes)
-    gone = np.zeros(len(windows), bool)
-    if len(windows):
-        order = np.argsort(windows[:, 0], kind="stable")
-        first = windows[order, 0]
-        repeated = np.zeros(len(windows), bool)
-        same = first[1:] == first[:-1]
-        repeated[order[1:][same]] = repeated[order[:-1][same]] = True
-        answered = [np.frombuffer(h, "<u8").reshape(-1, 2) for h in answers.column("hashes").to_pylist()]
-        outside = np.concatenate(answered) if answered else np.empty((0, 2), "u8")
-        maybe = np.flatnonzero(np.isin(windows[:, 0], outside[:, 0]))
-        known = set(map(tuple, outside.tolist())) if len(maybe) else set()
-        gone[maybe] = np.fromiter((tuple(w) in known for w in windows[maybe].tolist()), bool, len(maybe))
-        at = np.flatnonzero(repeated)
-        if len(at):
-            kinds, least = _least(windows[at], owners[at])
-            place = np.searchsorted(_pairs(kinds), _pairs(windows[at]))
-            gone[at] |= least[place] < owners[at]
-    begin = 0
-    for of, n in enumerate(sizes):
-        words = split_words(cell.texts[of].as_py())
-        edges = np.zeros(len(words) + 1, "i4")
-        starts = np.flatnonzero(gone[begin : begin + n])
-        begin += n
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + cell.window, -1)
-        yield cell.ids[of], words, np.cumsum(edges[:-1]) > 0
-
-
-def _remaining(table: pa.Table, answers: pa.Table, window: int, bits: int, digest: bool) -> pa.Table:
-    ids, n_words, n_removed, out = [], [], [], []
-    for own, words, mask in _removed(Cell(table, window), answers, bits):
-        kept = b" ".join([w for w, m in zip(words, mask.tolist()) if not m] if mask.any() else words)
-        ids.append(None if own == _LAST else own)
-        n_words.append(len(words))
-        n_removed.append(int(mask.sum()))
+def _removed(cell: Cell, answers: pa.Table) -> np.ndarray:
+    """Which words of a cell go."""
+    first, docs = cell.places(cell.window)
+    low, high = _windows(cell, first)
+    by_low = Groups(low)
+    known = _joined([np.frombuffer(h, _ROW) for h in answers.column("hashes").to_pylist()], _ROW)
+    # Only windows with a first hash that comes again here, or was answered, need a closer look.
+    look = np.flatnonzero(by_low.spread((by_low.counts > 1) | _found(by_low.values[0], np.sort(known["first"]))))
+    groups = Groups(
+        np.concatenate([low[look], known["first"]]), np.concatenate([high[look], known["second"]])
+    )
+    owners = np.concatenate([cell.ids[docs[look]], np.full(len(known), np.iinfo("i8").min)])  # elsewhere: smaller
+    gone = first[look[(groups.spread(groups.of(np.minimum, owners)) < owners)[: len(look)]]]
+    edges = np.zeros(len(cell.words) + 1, "i4")
+    edges[gone] += 1
+    edges[gone + cell.window] -= 1
+    return np.cumsum(edges[:-1]) > 0
+
+
+def _remaining(table: pa.Table, answers: pa.Table, window: int, digest: bool) -> pa.Table:
+    cell = Cell(table, window)
+    removed = _removed(cell, answers)
+    out, n_removed = [], []
+    for text, start, size in zip(cell.texts, cell.starts.tolist(), cell.sizes.tolist()):
+        mask, words = removed[start : start + size], split_words(text.as_py())
+        n_removed.append(int(np.count_nonzero(mask)))
+        kept = b" ".join([w for w, gone in zip(words, mask.tolist()) if not gone] if n_removed[-1] else words)
         out.append(hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "replace"))
+    ids, n_words = [None if i == _LAST else i for i in cell.ids.tolist()], cell.sizes
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
     columns = [pa.array(c, k) for c, k in zip((ids, n_words, n_removed, out), kinds)]
     return pa.table(columns, names=["doc_id", "n_words", "n_removed", "kept_sha256" if digest else "text"])
@@ -350,5 +356,5 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, digest: bool = False
     repeats = windows.groupBy("part").applyInArrow(answer_windows, _ANSWER)
     last = _KEPT.replace("text string", "kept_sha256 string") if digest else _KEPT
     return dealt.groupBy("cell").cogroup(repeats.groupBy("cell")).applyInArrow(
-        lambda k, t, a: _remaining(t, a, window, bits, digest), last
+        lambda k, t, a: _remaining(t, a, window, digest), last
     )
