@@ -253,7 +253,7 @@ _MOVES = {
 SELECT * FROM (
     SELECT *, lag(c) OVER (PARTITION BY source_file, symbol ORDER BY row_number) AS p
     FROM parsed WHERE symbol IS NOT NULL) x
-WHERE CASE WHEN p = 0 THEN c <> 0 ELSE abs((c - p) / p * 100) > 50 END""",
+WHERE CASE WHEN p = 0 THEN c <> 0 ELSE NOT isnan((c - p) / p) AND abs((c - p) / p * 100) > 50 END""",
 }
 _SCORE_KINDS = "row_count:i completeness:f validity:f consistency:f uniqueness:f quality_score:f"
 _ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in ("completeness", "validity", "consistency", "uniqueness"))
@@ -419,14 +419,14 @@ SELECT asset_id, price_date, round(r, 6) AS daily_return FROM ({_returns('histor
     "volatility_history": _volatility("history_gold", "1"),
     "detect_outliers": oracle("asset_id:i price_date:d close_price:f is_outlier:b", """
 SELECT g.asset_id, price_date, close_price,
-       COALESCE(close_price < round(q1 - 1.5 * (q3 - q1), 9) OR close_price > round(q3 + 1.5 * (q3 - q1), 9), false) AS is_outlier
+       COALESCE(CAST(close_price AS DOUBLE) < q1 - (q3 - q1) * 1.5 OR CAST(close_price AS DOUBLE) > q3 + (q3 - q1) * 1.5, false) AS is_outlier
 FROM price_gold g JOIN (
     SELECT asset_id, quantile_cont(CAST(close_price AS DOUBLE), 0.25) AS q1,
            quantile_cont(CAST(close_price AS DOUBLE), 0.75) AS q3 FROM price_gold GROUP BY asset_id) q
 ON g.asset_id = q.asset_id"""),
     "detect_outliers_overall": oracle("o_orderkey:i o_totalprice:f is_outlier:b", """
 SELECT o_orderkey, o_totalprice,
-       o_totalprice < round(q1 - 0.5 * (q3 - q1), 9) OR o_totalprice > round(q3 + 0.5 * (q3 - q1), 9) AS is_outlier
+       o_totalprice < q1 - (q3 - q1) * 0.5 OR o_totalprice > q3 + (q3 - q1) * 0.5 AS is_outlier
 FROM orders, (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM orders) q"""),
     "detect_outliers_zscore": oracle("asset_id:i price_date:d close_price:f is_outlier:b", """
 SELECT g.asset_id, price_date, close_price, COALESCE(abs(close_price - m) > 2 * s, false) AS is_outlier

@@ -46,8 +46,8 @@ def _stamp():
 
 
 def _held_assets(w):
-    """Assets seen up to mid-month count as stored."""
-    return w.asset().where("created_at < timestamp '2024-01-01 06:00:00'")
+    """Two thirds of the assets count as stored."""
+    return w.asset().where("asset_id % 3 <> 0")
 
 
 def _incoming_assets(w):
@@ -228,7 +228,7 @@ def _bulk(w):
     store = Store(w.spark, new_folder(w.spark, "house"))
     seed(store, NOW)
     folder = _write_gold_files(w)
-    bulk_load(store, folder, symbol=_folder_ticker(), min_score=0.0, now=NOW)
+    bulk_load(store, folder, symbol=_folder_ticker(), now=NOW)
     return store, folder
 
 
@@ -264,6 +264,47 @@ def _streamed(w):
     return read_published(w.spark, store.path("price_gold")).select(*_BARS)
 
 
+def _write_half_files(w):
+    """Gold bars as two CSV files per ticker, odd and even days."""
+    root = new_folder(w.spark, "halves")
+    half = F.dayofmonth("price_date") % 2
+    (
+        gold_of(w).withColumn("half", half).repartition("symbol", "half").sortWithinPartitions("symbol", "half", "price_date")
+        .select(
+            "half", "symbol", F.col("price_date").alias("Date"), F.col("open_price").alias("Open"),
+            F.col("high_price").alias("High"), F.col("low_price").alias("Low"),
+            F.col("close_price").alias("Close"), F.col("volume").alias("Volume"),
+            F.col("adj_close_price").alias("Adj Close"),
+        )
+        .write.partitionBy("half", "symbol").csv(root, header=True)
+    )
+    return root
+
+
+def _streamed_halves(w):
+    """Both files of a ticker arrive in different micro-batches."""
+    store = Store(w.spark, new_folder(w.spark, "house"))
+    seed(store, NOW)
+    query = stream_load(
+        store, _write_half_files(w) + "/*/*", new_folder(w.spark, "stream"), refresh_batch=100,
+        symbol=_folder_ticker(), min_score=0.0,
+    )
+    query.awaitTermination()
+    return read_published(w.spark, store.path("price_gold")).select(*_BARS)
+
+
+def _upserted_in_order(w):
+    """Every tick sends its asset's description; the last given value of each column counts."""
+    k = F.col("event_id")
+    sent = w.ticks().join(w.asset().select("asset_id", "symbol", "asset_type"), "asset_id").select(
+        "symbol", "asset_type", k.alias("sent"),
+        F.when(k % 3 != 0, F.concat(F.lit("Name "), (k % 17).cast("string"))).alias("company_name"),
+        F.when(k % 5 != 0, F.concat(F.lit("Sector "), (k % 13).cast("string"))).alias("sector"),
+    )
+    out = L.upsert_assets(_held_assets(w), sent, _stamp(), "sent")
+    return out.select("symbol", "asset_type", "company_name", "sector")
+
+
 def _exchange_files(w):
     root = new_folder(w.spark, "lists")
     paths = {}
@@ -346,6 +387,7 @@ QUERIES = {
         ["symbol", "asset_type"])),
     # L1
     "upsert_assets": _q(_upserted),
+    "upsert_assets_in_order": _q(_upserted_in_order),
     "assigned_ids": _q(_assigned_ids),
     "number_rows": _q(_number_rows),
     # L3, L5
@@ -358,7 +400,7 @@ QUERIES = {
         current_prices(L.upsert_prices(*_loads(w))), w.asset(), w.data_source(), w.batch_meta()
     ).select("asset_id", "price_date", "close_price", "source_name")),
     # J6, J7, J8, S1, A13, A12, L9
-    "loaded_symbols": _q(lambda w: L.loaded_symbols(w.asset(), w.price_raw().where("high_price > 100"), w.data_source(), "PURCHASE")),
+    "loaded_symbols": _q(lambda w: L.loaded_symbols(w.asset(), w.price_raw(), w.data_source(), "PURCHASE")),
     "skip_loaded": _q(lambda w: L.skip_loaded(_files(w), _held_assets(w))),
     "only_listed": _q(lambda w: L.only_listed(_files(w), w.exchange_lists().where("exchange = 'NYSE'"))),
     "missing_symbols": _q(lambda w: L.missing_symbols(_files(w), _held_assets(w))),
@@ -379,6 +421,7 @@ QUERIES = {
     "retry_failed": _q(_retried),
     # R1, R2
     "stream_load": _q(_streamed),
+    "stream_load_two_files": _q(_streamed_halves),
     # I7, I10, L12
     "read_exchange_lists": _q(lambda w: Li.read_exchange_lists(w.spark, _exchange_files(w))),
     "update_exchanges": _q(lambda w: _exchange_update(w, "stats")),
@@ -397,7 +440,7 @@ QUERIES = {
 # --- oracles ------------------------------------------------------------------------
 
 _EXTRA = {
-    "held": "SELECT * FROM asset WHERE created_at < TIMESTAMP '2024-01-01 06:00:00'",
+    "held": "SELECT * FROM asset WHERE asset_id % 3 <> 0",
     "incoming": """
 SELECT symbol, asset_type, currency,
        CASE WHEN sector = 'Energy' THEN 'Renamed ' || symbol END AS company_name,
@@ -467,7 +510,7 @@ FROM (
 SELECT source_file, count(*) AS n FROM (
     SELECT *, lag(c) OVER (PARTITION BY source_file, symbol ORDER BY row_number) AS p
     FROM file_parsed WHERE symbol IS NOT NULL) x
-WHERE CASE WHEN p = 0 THEN c <> 0 ELSE abs((c - p) / p * 100) > 50 END GROUP BY source_file""",
+WHERE CASE WHEN p = 0 THEN c <> 0 ELSE NOT isnan((c - p) / p) AND abs((c - p) / p * 100) > 50 END GROUP BY source_file""",
 }
 
 
@@ -521,7 +564,7 @@ SELECT * FROM (
 WHERE rn = 1"""),
     "loaded_symbols": _o("symbol:s", """
 SELECT DISTINCT a.symbol FROM asset a JOIN price_raw p ON a.asset_id = p.asset_id
-JOIN data_source s ON p.source_id = s.source_id WHERE s.source_name = 'PURCHASE' AND p.high_price > 100"""),
+JOIN data_source s ON p.source_id = s.source_id WHERE s.source_name = 'PURCHASE'"""),
     "skip_loaded": _o("symbol:s source_file:s", "SELECT * FROM files WHERE symbol NOT IN (SELECT symbol FROM held)"),
     "only_listed": _o("symbol:s source_file:s", """
 SELECT * FROM files WHERE symbol IN (SELECT symbol FROM exchange_lists WHERE exchange = 'NYSE')"""),
@@ -569,11 +612,21 @@ FROM file_scores s LEFT JOIN file_moves m ON s.source_file = m.source_file"""),
     "bulk_load_again": _o(
         "total_files:i successful_loads:i failed_loads:i skipped_files:i records_loaded:i gold_refreshes:i", """
 SELECT count(DISTINCT symbol) AS total_files, 0 AS successful_loads, 0 AS failed_loads,
-       count(DISTINCT symbol) AS skipped_files, 0 AS records_loaded, 1 AS gold_refreshes FROM price_gold"""),
+       count(DISTINCT symbol) AS skipped_files, 0 AS records_loaded, 0 AS gold_refreshes FROM price_gold"""),
     "retry_failed": _o("symbol:s bars:i", f"""
 SELECT symbol, count(*) AS bars FROM ({_GOOD_GOLD}) g
 WHERE symbol IN (SELECT symbol FROM exchange_lists WHERE exchange = 'TSX') GROUP BY symbol"""),
     "stream_load": _o(_BAR_KINDS, _GOOD_GOLD),
+    "stream_load_two_files": _o(_BAR_KINDS, _GOOD_GOLD),
+    "upsert_assets_in_order": _o("symbol:s asset_type:s company_name:s sector:s", """
+SELECT a.symbol, a.asset_type,
+       COALESCE(n.company_name, CASE WHEN a.asset_id % 3 <> 0 THEN a.company_name END) AS company_name,
+       COALESCE(n.sector, CASE WHEN a.asset_id % 3 <> 0 THEN a.sector END) AS sector
+FROM asset a LEFT JOIN (
+    SELECT asset_id, 'Name ' || arg_max(event_id % 17, event_id) FILTER (event_id % 3 <> 0) AS company_name,
+           'Sector ' || arg_max(event_id % 13, event_id) FILTER (event_id % 5 <> 0) AS sector
+    FROM ticks GROUP BY asset_id) n ON a.asset_id = n.asset_id
+WHERE a.asset_id % 3 <> 0 OR n.asset_id IS NOT NULL"""),
     "read_exchange_lists": _o("exchange:s symbol:s", "SELECT * FROM exchange_lists"),
     "update_exchanges": _o("total_symbols:i updated:i skipped:i stock_symbols:i coverage_pct:f", """
 SELECT *, round(updated * 100.0 / stock_symbols, 6) AS coverage_pct FROM (

@@ -4,34 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricehouse import schemas as S
-from pricehouse.operators.carry import previous_value
 from pricehouse.operators.joins import null_safe_join
 from pricehouse.operators.quantiles import exact_quantiles
 
 
-def month_chunk(day: str) -> Column:
-    """Calendar month as a growing number, to cut series along dates."""
-    return F.year(day) * 12 + F.month(day)
-
-
 def daily_returns(
-    df: DataFrame, by: Sequence[str], day: str = "price_date", price: str = "close_price",
-    chunk: Column | None = None,
+    df: DataFrame, by: Sequence[str], day: str = "price_date", price: str = "close_price"
 ) -> DataFrame:
     """Simple returns against the last known price; the first of a series is dropped.
 
     A missing price counts as unchanged. A move from zero is infinite, zero to
-    zero has no return.
+    zero has no return. A series has one row per day, which bounds its window.
     """
     value = df.select(*by, day, F.col(price).cast("double").alias("_p"))
     value = value.withColumn("_p", F.when(~F.isnan("_p"), F.col("_p")))
-    seen = previous_value(
-        value, by, [day], "_p", chunk if chunk is not None else month_chunk(day), "_prev", skip_nulls=True
-    )
+    before = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    seen = value.withColumn("_prev", F.last("_p", ignorenulls=True).over(before))
     now, prev = F.coalesce("_p", "_prev"), F.col("_prev")
     change = F.when(prev != 0, now / F.when(prev != 0, prev) - 1).when(
         now != 0, F.when(now > 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf")))
@@ -58,25 +50,28 @@ def detect_outliers(
 ) -> DataFrame:
     """Add ``is_outlier`` by interquartile range or z-score, strict inequality.
 
-    IQR bounds are rounded to nine places so that a value lying exactly on a
-    bound is not flagged by floating-point noise.
+    Values that are missing or NaN, and groups whose bounds are (as with infinite
+    quartiles), have no outliers.
     """
     by = list(by)
     v = F.col(value).cast("double")
     if method == "iqr":
         stats = exact_quantiles(df, by, value, {"_q1": 0.25, "_q3": 0.75})
-        spread = F.col("_q3") - F.col("_q1")
-        flag = (v < F.round(F.col("_q1") - threshold * spread, 9)) | (
-            v > F.round(F.col("_q3") + threshold * spread, 9)
-        )
+        spread = (F.col("_q3") - F.col("_q1")) * threshold
+        stats = stats.select(*by, (F.col("_q1") - spread).alias("_low"), (F.col("_q3") + spread).alias("_high"))
     elif method == "zscore":
         clean = F.when(~F.isnan(v), v)
-        stats = df.groupBy(*by).agg(F.avg(clean).alias("_q1"), F.stddev_samp(clean).alias("_q3"))
-        flag = F.abs(v - F.col("_q1")) > threshold * F.col("_q3")
-        flag = flag & ((F.col("_q3") > 0))
+        around = df.groupBy(*by).agg(F.avg(clean).alias("_mean"), F.stddev_samp(clean).alias("_sd"))
+        stats = around.where("_sd > 0").select(*by, "_mean", (F.col("_sd") * threshold).alias("_far"))
+    else:
+        raise ValueError(f"no such outlier method: {method}")
+    names = [c for c in stats.columns if c not in by]
+    if by:
+        judged = null_safe_join(df, stats, by)
+    else:  # one row at most: scalar subqueries
+        judged = df.withColumns({n: stats.agg(F.max(n)).scalar() for n in names})
+    if method == "iqr":
+        flag = ((v < F.col("_low")) & ~F.isnan("_low")) | ((v > F.col("_high")) & ~F.isnan("_high"))
     else:
-        raise ValueError(f"Unknown outlier detection method: {method}")
-    flagged = null_safe_join(df, stats, by)
-    return flagged.withColumn(
-        "is_outlier", F.coalesce(flag & ~F.isnan(v), F.lit(False))
-    ).drop("_q1", "_q3")
+        flag = (F.abs(v - F.col("_mean")) > F.col("_far")) & ~F.isnan("_far") & ~F.isnan("_mean")
+    return judged.withColumn("is_outlier", F.coalesce(flag & ~F.isnan(v), F.lit(False))).drop(*names)

@@ -1,10 +1,10 @@
 """Ordered look-back that does not gather a whole group into one task.
 
-A plain ``lag`` sorts all rows of a group in one task. Very large groups are
-therefore cut into chunks along their order; every chunk is summarised to its last
-value, the summaries (one row per chunk) are carried forward, and the look-back
-then runs inside the chunks. The result equals the plain window over the group,
-which ordinary groups use directly.
+A plain ``lag`` sorts all rows of a group in one task, and a file or symbol may hold
+a large part of all rows. Groups are therefore cut into chunks along their order;
+every chunk is summarised to its last value, the summaries (one row per chunk) are
+carried forward, and the look-back then runs inside the chunks. The result equals
+the plain window over the group, whatever the group's size.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricehouse.operators.skew import HOT_ROWS, split_hot
-
 
 def previous_value(
     df: DataFrame,
@@ -25,39 +23,22 @@ def previous_value(
     chunk: Column,
     name: str,
     skip_nulls: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the preceding row of the group.
 
     ``chunk`` must not decrease along ``order_by``. With ``skip_nulls`` the
-    nearest preceding value that is not NULL is taken. Groups of more than
-    ``hot_rows`` rows are worked on in chunks.
+    nearest preceding value that is not NULL is taken.
     """
     by, order_by = list(by), list(order_by)
     boxed = F.struct(F.col(value).alias("value"))
     if skip_nulls:
         boxed = F.when(F.col(value).isNotNull(), boxed)
-    ordinary, hot = split_hot(df, by, hot_rows)
-
-    before = Window.partitionBy(*by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    plain = ordinary.withColumn("_box", boxed).withColumn(
-        name, F.last("_box", ignorenulls=True).over(before)["value"]
-    )
-    chunked = _in_chunks(hot.withColumn("_chunk", chunk).withColumn("_box", boxed), by, order_by, name)
-    return plain.drop("_box").unionByName(chunked)
-
-
-def _in_chunks(cut: DataFrame, by: list[str], order_by: list[str], name: str) -> DataFrame:
-    """The look-back over rows that carry their chunk and boxed value.
-
-    A seed row per chunk brings in the last value of the chunks before it.
-    """
+    cut = df.withColumn("_chunk", chunk).withColumn("_box", boxed)
 
+    # A seed row per chunk brings in the last value of the chunks before it.
     position = F.when(F.col("_box").isNotNull(), F.struct(*order_by))
     last = cut.groupBy(*by, "_chunk").agg(F.max_by("_box", position).alias("_last"))
-    earlier = (
-        Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = last.select(
         *by, "_chunk",
         F.last("_last", ignorenulls=True).over(earlier).alias("_box"),
@@ -71,8 +52,4 @@ def _in_chunks(cut: DataFrame, by: list[str], order_by: list[str], name: str) ->
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     found = F.last("_box", ignorenulls=True).over(before)
-    return (
-        rows.withColumn(name, found["value"])
-        .where("not _seed")
-        .drop("_chunk", "_box", "_seed")
-    )
+    return rows.withColumn(name, found["value"]).where("not _seed").drop("_chunk", "_box", "_seed")

@@ -56,11 +56,15 @@ def add_with_ids(dim: DataFrame, new: DataFrame, id_column: str, keys: Sequence[
     return numbered.withColumn(id_column, next_id).drop("_n")
 
 
-def upsert_assets(asset: DataFrame, incoming: DataFrame, now: Column | None = None) -> DataFrame:
+def upsert_assets(
+    asset: DataFrame, incoming: DataFrame, now: Column | None = None, order: str | None = None
+) -> DataFrame:
     """Insert unknown (symbol, type) pairs; fill known ones with given values.
 
     Incoming company name, sector and exchange replace the stored ones where
-    they are not NULL; ``updated_at`` moves when at least one is given.
+    they are not NULL; ``updated_at`` moves when at least one is given. Of a pair
+    that comes several times, the last value given in ``order`` counts for each
+    column; without an order column, rows rank by their values.
     """
     stamp = now if now is not None else F.current_timestamp()
     key = ["symbol", "asset_type"]
@@ -69,7 +73,10 @@ def upsert_assets(asset: DataFrame, incoming: DataFrame, now: Column | None = No
     for name in [*given, "currency"]:
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    rows = rows.groupBy(*key).agg(*[F.max(c).alias(f"_{c}") for c in [*given, "currency"]])
+    place = F.struct(*([order] if order else []), *given, "currency")
+    rows = rows.groupBy(*key).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_{c}") for c in [*given, "currency"]]
+    )
 
     known = asset.join(rows, key, "left")
     touched = F.coalesce(*[F.col(f"_{c}") for c in given]).isNotNull()
@@ -211,11 +218,15 @@ def missing_report(files: DataFrame, asset: DataFrame) -> DataFrame:
     ).withColumn("success_rate", F.try_divide(F.col("loaded_symbols") * 100.0, F.col("file_symbols")))
 
 
-def load_summary(results: DataFrame, refresh_every: int = S.GOLD_REFRESH_FILES) -> DataFrame:
+def load_summary(results: DataFrame, refresh_every: int | None = None) -> DataFrame:
     """Totals of a load run from its per-file results.
 
-    ``results``: outcome in loaded / failed / skipped, records_loaded.
+    ``results``: outcome in loaded / failed / skipped, records_loaded. A bulk load
+    refreshes gold once if it loads anything; with ``refresh_every``, a run that
+    refreshes after so many loads and at its end is reported.
     """
+    n = F.col("successful_loads")
+    refreshes = F.floor(n / refresh_every) + 1 if refresh_every else F.least(n, F.lit(1)).cast("bigint")
     loaded = F.col("outcome") == "loaded"
     return results.agg(
         F.count("*").alias("total_files"),
@@ -223,7 +234,7 @@ def load_summary(results: DataFrame, refresh_every: int = S.GOLD_REFRESH_FILES)
         F.count_if(F.col("outcome") == "failed").alias("failed_loads"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped_files"),
         F.coalesce(F.sum("records_loaded"), F.lit(0)).alias("records_loaded"),
-    ).withColumn("gold_refreshes", F.floor(F.col("successful_loads") / refresh_every) + 1)
+    ).withColumn("gold_refreshes", refreshes)
 
 
 def plan_load(

@@ -16,10 +16,12 @@ from pricehouse import schemas as S
 from pricehouse.functions import parsing as P
 from pricehouse.operators.carry import previous_value
 from pricehouse.operators.joins import null_safe_join
-from pricehouse.operators.skew import HOT_ROWS
 
 KEY = ["symbol", "date_str"]
 
+#: Rows of a file that one task looks back over.
+CHUNK_ROWS = 1_000_000
+
 
 def validate_schema(df: DataFrame) -> None:
     """Raise when a required staging column is missing or there is no row."""
@@ -143,21 +145,22 @@ def _total() -> Column:
 
 
 def extreme_moves(
-    stage: DataFrame, threshold: float = S.EXTREME_MOVE_PCT, rows_per_chunk: int = HOT_ROWS
+    stage: DataFrame, threshold: float = S.EXTREME_MOVE_PCT, rows_per_chunk: int = CHUNK_ROWS
 ) -> DataFrame:
     """Rows whose close moves more than ``threshold`` percent from the row before.
 
     The row before is the previous row of the symbol in the same file. A move
-    away from zero counts, zero to zero and unknown closes do not.
+    away from zero counts; zero to zero, unknown closes and moves that are no
+    number (from one infinite close to another, say) do not.
     """
-    rows = stage.where("symbol is not null").withColumn("_close", P.to_finite("close_str"))
+    rows = P.compute_once(stage.where("symbol is not null"), {"_close": P.to_finite("close_str")})
     seen = previous_value(
         rows, ["source_file", "symbol"], ["row_number"], "_close",
-        F.floor((F.col("row_number") - 1) / rows_per_chunk), "_prev", hot_rows=rows_per_chunk,
+        F.floor((F.col("row_number") - 1) / rows_per_chunk), "_prev",
     )
     prev, now = F.col("_prev"), F.col("_close")
     pct = (now - prev) / F.when(prev != 0, prev) * 100
-    extreme = F.when(prev == 0, now != 0).otherwise(F.abs(pct) > threshold)
+    extreme = F.when(prev == 0, now != 0).otherwise((F.abs(pct) > threshold) & ~F.isnan(pct))
     return seen.where(extreme).select(*stage.columns)
 
 

@@ -1,4 +1,4 @@
-"""Exact group quantiles in bounded memory."""
+"""Exact group quantiles over sorted value counts."""
 
 from __future__ import annotations
 
@@ -8,84 +8,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricehouse.operators.joins import null_safe_join
-from pricehouse.operators.skew import HOT_ROWS, split_hot
+from pricehouse.session import materialize
 
 
-def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    hot_rows: int = HOT_ROWS,
-    accuracy: int = 10000,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """One row per group with linearly interpolated quantiles, one column each.
 
-    The built-in ``percentile`` keeps the distinct values of a group in one task's
-    memory, which is fine up to ``hot_rows`` rows. Larger groups are bracketed.
+    Values are counted with map-side combining and range-partitioned by group and
+    value, so a group of any size is spread over tasks. Counts per partition give
+    each its first rank; only partitions that hold a wanted rank are looked into.
+    NULL and NaN values are left out; a group of nothing else has no row.
     """
-    by = list(by)
-    clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
-        *by, F.col(value).cast("double").alias("_v")
+    by, names = list(by), list(probs)
+    number = F.col(value).cast("double")
+    counts = (
+        df.where(number.isNotNull() & ~F.isnan(number)).select(*by, number.alias("_v"))
+        .groupBy(*by, "_v").agg(F.count("*").alias("_c"))
     )
-    ordinary, hot = split_hot(clean, by, hot_rows)
-    held = ordinary.groupBy(*by).agg(
-        F.count("*").alias("_n"), *[F.percentile("_v", q).alias(n) for n, q in probs.items()]
+    # Written, because a partition's number must stay what it is.
+    ranged = materialize(
+        counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()), "value-counts"
     )
-    # an ungrouped aggregate gives a row even for no input
-    return held.where("_n > 0").drop("_n").unionByName(_bracketed(hot, by, probs, accuracy))
-
-
-def _bracketed(clean: DataFrame, by: list[str], probs: dict[str, float], accuracy: int) -> DataFrame:
-    """Exact quantiles of ``_v`` in bounded memory.
-
-    A mergeable sketch brackets each wanted rank (its rank error is at most
-    ``1/accuracy``), values are counted per (group, value) in parallel, and only
-    the distinct values inside the bracket are ranked. Groups so small that the
-    error bound is less than a few rows are bracketed by their range.
-    """
-    slack = 2.0 / accuracy
-    names = list(probs)
-    low = F.percentile_approx("_v", [max(0.0, probs[n] - slack) for n in names], accuracy)
-    high = F.percentile_approx("_v", [min(1.0, probs[n] + slack) for n in names], accuracy)
-    sketch = clean.groupBy(*by).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        low.alias("_low"), high.alias("_high"),
+    place = [*by, "_part"]
+    sizes = ranged.groupBy(*place).agg(F.sum("_c").alias("_n"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *place, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("_all")
     )
-    small = F.col("_n") <= 4 * accuracy
+    rank = {n: F.lit(float(probs[n])) * (F.col("_all") - 1) for n in names}
     targets = [
         F.struct(
-            F.lit(n).alias("name"),
-            F.when(small, F.col("_min")).otherwise(F.col("_low")[i]).alias("low"),
-            F.when(small, F.col("_max")).otherwise(F.col("_high")[i]).alias("high"),
-            (F.lit(float(probs[n])) * (F.col("_n") - 1)).alias("rank"),
+            F.lit(n).alias("name"), F.lit(step).alias("step"), (rank[n] - F.floor(rank[n])).alias("share"),
+            F.least(F.floor(rank[n]) + step, F.col("_all") - 1).alias("at"),
         )
-        for i, n in enumerate(names)
+        for n in names for step in (0, 1)
     ]
-    wanted = sketch.select(*by, F.explode(F.array(*targets)).alias("_t"))
-
-    counts = clean.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-    near = null_safe_join(counts, wanted, by, "inner").where("_v <= _t.high").select(
-        *by, "_v", "_c", "_t", (F.col("_v") < F.col("_t.low")).alias("_below")
-    )
-    # everything under the bracket collapses to one row per group and quantile
-    packed = near.groupBy(*by, "_t", F.when(~F.col("_below"), F.col("_v")).alias("_v")).agg(
-        F.sum("_c").alias("_c")
+    wanted = starts.select(*place, "_n", "_before", F.explode(F.array(*targets)).alias("_t")).where(
+        (F.col("_t.at") >= F.col("_before")) & (F.col("_t.at") < F.col("_before") + F.col("_n"))
     )
-    order = Window.partitionBy(*by, "_t.name").orderBy(F.asc_nulls_first("_v"))
-    ranked = packed.withColumn("_end", F.sum("_c").over(order) - 1).withColumn(
-        "_start", F.col("_end") - F.col("_c") + 1
+    # A partition's running count; the few targets in it travel with its rows.
+    looked = wanted.groupBy(*place, "_before").agg(F.collect_list("_t").alias("_targets"))
+    inside = null_safe_join(ranged, looked, place, "inner").withColumn(
+        "_end", F.col("_before") + F.sum("_c").over(Window.partitionBy(*place).orderBy("_v"))
     )
-    lower = F.floor("_t.rank")
-    ranked = ranked.where("_v is not null").withColumn("_k", lower)
-    at = F.max(F.when((F.col("_start") <= F.col("_k")) & (F.col("_k") <= F.col("_end")), F.col("_v")))
-    after = F.max(
-        F.when((F.col("_start") <= F.col("_k") + 1) & (F.col("_k") + 1 <= F.col("_end")), F.col("_v"))
+    hits = inside.select(*by, "_v", "_c", "_end", F.explode("_targets").alias("_t")).where(
+        (F.col("_t.at") < F.col("_end")) & (F.col("_t.at") >= F.col("_end") - F.col("_c"))
     )
-    found = ranked.groupBy(*by, F.col("_t.name").alias("_name"), F.col("_t.rank").alias("_rank")).agg(
-        at.alias("_a"), after.alias("_b")
-    )
-    quantile = F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * (F.col("_rank") - F.floor("_rank"))
-    return found.where("_rank is not null").groupBy(*by, F.lit(0).alias("_all")).agg(
-        *[F.max(F.when(F.col("_name") == n, quantile)).alias(n) for n in names]
-    ).drop("_all")
+    columns = []
+    for n in names:
+        low, high = [
+            F.max(F.when((F.col("_t.name") == n) & (F.col("_t.step") == step), F.col("_v"))) for step in (0, 1)
+        ]
+        share = F.max(F.when(F.col("_t.name") == n, F.col("_t.share")))
+        columns.append((low + (high - low) * share).alias(n))
+    # an ungrouped aggregate gives a row even for no input
+    found = hits.groupBy(*by).agg(F.count("*").alias("_hits"), *columns)
+    return found.where("_hits > 0").drop("_hits")

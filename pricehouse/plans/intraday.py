@@ -16,12 +16,12 @@ def with_month(df: DataFrame) -> DataFrame:
 def write_intraday(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write bars into one folder per month, created as needed.
 
-    Bars are range-clustered by asset and time inside a month, which also
-    spreads a crowded month over many tasks.
+    Bars are sorted by asset and time inside a file. Spark sizes the partitions by
+    what it measures, so a crowded month is spread over as many tasks as it needs.
     """
     order = ["price_month", "asset_id", "price_datetime"]
     (
-        with_month(df).repartitionByRange(*order).sortWithinPartitions(*order)
+        with_month(df).hint("rebalance", "price_month", "asset_id").sortWithinPartitions(*order)
         .write.mode(mode).partitionBy("price_month").parquet(path)
     )
 

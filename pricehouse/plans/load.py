@@ -146,6 +146,13 @@ def load(
     return materialize(outcome, "results")
 
 
+def symbols_held(store: Store, source: str) -> DataFrame:
+    """Symbols with at least one bar from ``source`` in a successful batch."""
+    complete = store.read("batch_meta").where("status = 'SUCCESS'").select("batch_id")
+    raw = store.read("price_raw").join(complete, "batch_id", "left_semi")
+    return L.loaded_symbols(store.read("asset"), raw, store.read("data_source"), source)
+
+
 def bulk_load(
     store: Store,
     folder: str | Sequence[str],
@@ -172,9 +179,7 @@ def bulk_load(
         files = L.only_listed(files, only)
     if skip_existing:
         if loaded is None:
-            complete = store.read("batch_meta").where("status = 'SUCCESS'").select("batch_id")
-            raw = store.read("price_raw").join(complete, "batch_id", "left_semi")
-            loaded = L.loaded_symbols(store.read("asset"), raw, store.read("data_source"), source)
+            loaded = symbols_held(store, source)
         todo = L.skip_loaded(files, loaded)
     else:
         todo = files

@@ -106,9 +106,13 @@ LATEST_COLUMNS = ["symbol", "price_date", "close_price", "volume", "asset_type",
 def latest_prices(
     gold: DataFrame, symbols: Sequence[str] | None = None, limit: int | None = 100, by: str = "symbol"
 ) -> DataFrame:
-    """The newest bar per symbol (or per ``asset_id``), one row each."""
+    """The newest bar per symbol (or per ``asset_id``), one row each.
+
+    One aggregate, combined before the shuffle; the table is read once.
+    """
+    kept = gold.where(_in_symbols(symbols)) if symbols else gold
     bar = F.struct("price_date", "asset_id", *[c for c in LATEST_COLUMNS if c != "price_date"])
-    newest = _on_latest_day(gold, symbols, by).groupBy(by).agg(F.max(bar).alias("bar"))
+    newest = kept.where(F.col(by).isNotNull()).groupBy(by).agg(F.max(bar).alias("bar"))
     rows = newest.select(*[F.col(f"bar.{c}").alias(c) for c in LATEST_COLUMNS]).orderBy("symbol")
     return rows.limit(limit) if limit is not None else rows
 

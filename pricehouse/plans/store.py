@@ -25,22 +25,35 @@ SCHEMAS = {
 }
 
 
-def publish(spark: SparkSession, path: str, rows: DataFrame) -> str:
+#: Stored bytes that one task of a price table should write about.
+TASK_BYTES = 128 << 20
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under ``path``, 0 if there is none; one metadata call."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength() if files.exists(where) else 0
+
+
+def publish(spark: SparkSession, path: str, rows: DataFrame, about_bytes: int | None = None) -> str:
     """Write ``rows`` as the new version of the table at ``path``.
 
-    Price tables are split by year and range-clustered by symbol and date, so a
-    ticker or date predicate skips most files and row groups.
+    Price tables are split by year and clustered by symbol and date, so a ticker or
+    date predicate skips most files and row groups. With ``about_bytes``, their
+    size when stored, ranges are cut to that size; otherwise Spark evens out the
+    partitions by what it measures.
     """
     created = datetime.now(timezone.utc)
     folder = f"{path}/versions/{created:%Y%m%dT%H%M%S%f}"
     if {"price_date", "symbol"} <= set(rows.columns):
         order = ["price_year", "symbol", "price_date"]
-        writer = (
-            rows.withColumn("price_year", F.year("price_date"))
-            .repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.partitionBy("price_year")
-        )
+        typed = rows.withColumn("price_year", F.year("price_date"))
+        if about_bytes is None:
+            dealt = typed.hint("rebalance", "price_year", "symbol")
+        else:
+            dealt = typed.repartitionByRange(1 + about_bytes // TASK_BYTES, *order)
+        writer = dealt.sortWithinPartitions(*order).write.partitionBy("price_year")
     else:
         writer = rows.hint("rebalance").write  # few files of even size
     writer.parquet(folder)
@@ -51,11 +64,18 @@ def publish(spark: SparkSession, path: str, rows: DataFrame) -> str:
     return folder
 
 
+def not_written(problem: AnalysisException) -> bool:
+    """Whether a read failed only because nothing was written there yet."""
+    return problem.getCondition() == "PATH_NOT_FOUND"
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest published version, None when there is none."""
     try:
         pointers = spark.read.schema("folder STRING, created_at TIMESTAMP").parquet(f"{path}/pointer")
-    except AnalysisException:
+    except AnalysisException as problem:
+        if not not_written(problem):
+            raise
         return None
     return pointers.agg(F.max_by("folder", F.struct("created_at", "folder"))).first()[0]
 
@@ -78,7 +98,7 @@ def refresh_all(spark: SparkSession, builders: dict[str, tuple[str, Callable[[],
             publish(spark, path, build())
             outcomes.append((name, True, None))
         except Exception as problem:  # one mart must not stop the others
-            outcomes.append((name, False, str(problem)[:500]))
+            outcomes.append((name, False, str(problem)))
     return spark.createDataFrame(outcomes, "mart STRING, refreshed BOOLEAN, error STRING")
 
 
@@ -101,7 +121,9 @@ class Store:
         if name == "price_raw":
             try:
                 raw = self.spark.read.parquet(self.path(name))
-            except AnalysisException:
+            except AnalysisException as problem:
+                if not not_written(problem):
+                    raise
                 return self.spark.createDataFrame([], SCHEMAS[name])
             return raw.drop("price_year")
         folder = current_version(self.spark, self.path(name))
@@ -111,8 +133,8 @@ class Store:
             raise ValueError(f"no table {name} under {self.root}")
         return self.spark.read.parquet(folder)
 
-    def write(self, name: str, rows: DataFrame) -> None:
-        publish(self.spark, self.path(name), rows)
+    def write(self, name: str, rows: DataFrame, about_bytes: int | None = None) -> None:
+        publish(self.spark, self.path(name), rows, about_bytes)
 
     def append_raw(self, rows: DataFrame) -> None:
         """Add bars to the raw table, split by year of the bar."""
@@ -132,7 +154,8 @@ class Store:
 
     def refresh_gold(self) -> None:
         """Replace the published gold table; readers keep the old one meanwhile."""
-        self.write("price_gold", self.gold())
+        # Gold is about as large as the raw bars it is picked from, or smaller.
+        self.write("price_gold", self.gold(), stored_bytes(self.spark, self.path("price_raw")))
 
 
 def seed(store: Store, now: datetime | None = None) -> None:

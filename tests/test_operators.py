@@ -8,7 +8,6 @@ from pricehouse.operators import analytics as A
 from pricehouse.operators.carry import previous_value
 from pricehouse.operators.numbering import number_rows
 from pricehouse.operators.quantiles import exact_quantiles
-from pricehouse.operators.skew import split_hot
 
 
 @pytest.fixture(scope="module")
@@ -26,21 +25,19 @@ def skewed(spark):
     return df.cache()
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1000, 10**6])
 @pytest.mark.parametrize("skip_nulls", [False, True])
-def test_previous_value_equals_a_plain_window(skewed, skip_nulls, hot_rows):
+def test_previous_value_equals_a_plain_window(skewed, skip_nulls):
     w = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     plain = F.last("v", ignorenulls=True).over(w) if skip_nulls else F.lag("v").over(Window.partitionBy("g").orderBy("n"))
-    cut = previous_value(skewed, ["g"], ["n"], "v", F.floor(F.col("n") / 37), "p", skip_nulls, hot_rows)
+    cut = previous_value(skewed, ["g"], ["n"], "v", F.floor(F.col("n") / 37), "p", skip_nulls)
     assert cut.count() == skewed.count()
     want = skewed.withColumn("p", plain)
     assert want.exceptAll(cut.select(want.columns)).isEmpty() and cut.select(want.columns).exceptAll(want).isEmpty()
 
 
-@pytest.mark.parametrize("hot_rows, accuracy", [(0, 10), (0, 100), (0, 10000), (1000, 100), (10**6, 100)])
-def test_quantiles_equal_numpy(skewed, hot_rows, accuracy):
+def test_quantiles_equal_numpy(skewed):
     probs = {"low": 0.25, "mid": 0.5, "high": 0.75, "top": 1.0, "zero": 0.0}
-    got = {r["g"]: r for r in exact_quantiles(skewed, ["g"], "v", probs, hot_rows, accuracy).collect()}
+    got = {r["g"]: r for r in exact_quantiles(skewed, ["g"], "v", probs).collect()}
     frame = skewed.toPandas()
     for g, part in frame.groupby("g", dropna=False):
         row = got[None if pd.isna(g) else g]
@@ -48,17 +45,23 @@ def test_quantiles_equal_numpy(skewed, hot_rows, accuracy):
             assert np.isclose(row[name], part["v"].quantile(q), rtol=1e-12), (g, name)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
-def test_ungrouped_quantiles(skewed, hot_rows):
-    rows = exact_quantiles(skewed, [], "v", {"q": 0.3}, hot_rows, 50).collect()
+def test_ungrouped_quantiles(skewed):
+    rows = exact_quantiles(skewed, [], "v", {"q": 0.3}).collect()
     assert len(rows) == 1 and np.isclose(rows[0]["q"], skewed.toPandas()["v"].quantile(0.3))
-    assert exact_quantiles(skewed.where("v < 0"), [], "v", {"q": 0.3}, hot_rows, 50).count() == 0
-
-
-def test_split_hot_is_a_partition(skewed):
-    cold, hot = split_hot(skewed, ["g"], 1000)
-    assert [r[0] for r in hot.select("g").distinct().collect()] == ["hot"]
-    assert cold.count() + hot.count() == skewed.count() and cold.where("g is null").count() == 2
+    assert exact_quantiles(skewed.where("v < 0"), [], "v", {"q": 0.3}).count() == 0
+
+
+@pytest.mark.parametrize("values", [
+    [1e-10, 1.1e-10, 1.2e-10, 1.3e-10, 9e-10], [1.0] + [float("inf")] * 4, [1.0, 2.0, 3.0, float("nan"), 90.0],
+    [float("nan")] * 3, [0.1, 0.2, 0.3, 0.4, 0.5, 5.0],
+])
+def test_outliers_near_the_edges_equal_pandas(spark, values):
+    column = pd.Series(values)
+    q1, q3 = column.quantile(0.25), column.quantile(0.75)
+    want = ((column < q1 - 1.5 * (q3 - q1)) | (column > q3 + 1.5 * (q3 - q1))).tolist()
+    df = spark.createDataFrame([(i, v, "g") for i, v in enumerate(values)], "i INT, v DOUBLE, g STRING")
+    for by in ([], ["g"]):
+        assert [r["is_outlier"] for r in A.detect_outliers(df, "v", by).orderBy("i").collect()] == want
 
 
 def test_ungrouped_outliers_equal_pandas(skewed):
