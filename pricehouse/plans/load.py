@@ -91,7 +91,7 @@ def load(
     rows = stage.join(accepted.select("source_file", F.col("symbol").alias("_symbol")), "source_file")
     rows = rows.withColumn("symbol", F.col("symbol") if own_rows else F.col("_symbol")).drop("_symbol")
     good, _ = L.prepare_prices(rows)
-    # The symbols are few and used several times; the staged rows are not read again.
+    # The symbols are few and used several times.
     symbols = materialize(good.select("symbol").distinct(), "symbols") if own_rows else accepted.select("symbol").distinct()
     wanted = symbols.select(
         "symbol", kind.alias("asset_type"), F.lit(exchange).alias("exchange"),
@@ -120,7 +120,15 @@ def load(
         .withColumn("price_id", L.price_id())
     )
     raw_columns = store.read("price_raw").columns
-    store.append_raw(bars.select(*raw_columns))
+    try:
+        store.append_raw(bars.select(*raw_columns))
+    except Exception as problem:
+        failed = running.select(
+            "batch_id", F.lit("FAILED").alias("status"), F.lit(str(problem)).alias("error_message"),
+            F.lit(None).cast("bigint").alias("row_count"),
+        )
+        store.write("batch_meta", L.finish_batches(store.read("batch_meta"), failed, stamp))
+        raise
 
     # Only this run's files match its sequence number; the rest of the table is skipped.
     written = store.read("price_raw").where(F.col("load_seq") == sequence)

@@ -62,13 +62,63 @@ def standardize_columns(df: DataFrame, source_file: str = "source_file") -> Data
 
 def read_lines(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv") -> DataFrame:
     """Non-blank lines with file, split offset and reading position."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(list(paths)).select(
+    # The position is assigned after the filter, so it has no gaps in a split.
+    return _all_lines(spark, paths, pattern).where(F.trim("value") != "").withColumn(
+        "position", F.monotonically_increasing_id()
+    )
+
+
+def _all_lines(spark: SparkSession, paths: Sequence[str], pattern: str) -> DataFrame:
+    return spark.read.option("pathGlobFilter", pattern).text(list(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
-    # The position is assigned after the filter, so it has no gaps in a split.
-    return lines.where(F.trim("value") != "").withColumn("position", F.monotonically_increasing_id())
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def join_quoted_lines(lines: DataFrame) -> DataFrame:
+    """Records in place of lines, where a quoted field holds line breaks.
+
+    ``lines`` are all lines, blank ones too, of files with such fields, with their
+    split and position. A line starts a record if the quotes before it in its file
+    are even in number: splits add up their quotes, so each is worked on by itself, and
+    a record that runs into the next split is known there by its starting line.
+    """
+    by_file = Window.partitionBy("source_file").orderBy("block")
+    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("quotes", _quotes(F.col("value")))
+    splits = counted.groupBy("source_file", "block").agg(F.sum("quotes").alias("n")).select(
+        F.col("source_file").alias("_file"), F.col("block").alias("_block"),
+        F.coalesce(F.sum("n").over(Window.partitionBy("source_file").orderBy("block").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    )
+    inside = Window.partitionBy("source_file", "block").orderBy("position")
+    upto = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tagged = counted.join(
+        splits, (F.col("source_file") == F.col("_file")) & (F.col("block") == F.col("_block"))
+    ).withColumn("begins", (F.col("before") + upto) % 2 == 0)
+    begun = F.struct("block", "position")
+    tagged = tagged.withColumn("own", F.last(F.when(F.col("begins"), begun), ignorenulls=True).over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    carried = tagged.groupBy("source_file", "block").agg(
+        F.max(F.when(F.col("begins"), begun)).alias("newest")
+    ).select(
+        F.col("source_file").alias("c_file"), F.col("block").alias("c_block"),
+        F.last("newest", ignorenulls=True).over(earlier).alias("carried"),
+    )
+    placed = tagged.join(
+        carried, (F.col("source_file") == F.col("c_file")) & (F.col("block") == F.col("c_block"))
+    ).withColumn("start", F.coalesce("own", "carried"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "position", "value")))
+    records = placed.groupBy("source_file", "start").agg(
+        F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value")
+    ).where(F.trim("value") != "")
+    number = F.row_number().over(Window.partitionBy("source_file", "start.block").orderBy("start.position"))
+    return records.select("value", "source_file", F.col("start.block").alias("block"), number.cast("bigint").alias("position"))
 
 
 def _with_fields(df: DataFrame, line: Column, width: int, name: str) -> DataFrame:
@@ -88,8 +138,8 @@ def stage_lines(lines: DataFrame) -> DataFrame:
         by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
     # The first line of the first split of a file is its header.
-    heads = splits.where("before = 0").select(F.col("first").alias("position"))
-    headers = lines.join(heads, "position", "left_semi").select(
+    heads = splits.where("before = 0").select("source_file", "block", F.col("first").alias("position"))
+    headers = lines.join(heads, ["source_file", "block", "position"], "left_semi").select(
         F.col("source_file").alias("header_file"), "value"
     )
     headers = materialize(headers, "headers")
@@ -132,7 +182,18 @@ def stage_lines(lines: DataFrame) -> DataFrame:
 def stage_csv(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*.csv") -> DataFrame:
     """CSV files as text rows with ``source_file`` and 1-based ``row_number``.
 
-    ``paths`` are files, folders or globs; only names matching ``pattern`` count. A file without data rows gives none.
+    ``paths`` are files, folders or globs; only names matching ``pattern`` count. A file
+    without data rows gives none. Quoted fields may hold line breaks; files in which a
+    line has an odd number of quotes are put together from their lines first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return stage_lines(materialize(read_lines(spark, paths, pattern), "lines"))
+    lines = materialize(read_lines(spark, paths, pattern), "lines")
+    broken = materialize(
+        lines.where(_quotes(F.col("value")) % 2 == 1).select("source_file").distinct(), "broken-files"
+    )
+    if broken.isEmpty():
+        return stage_lines(lines)
+    again = _all_lines(spark, paths, pattern).withColumn("position", F.monotonically_increasing_id())
+    records = join_quoted_lines(again.join(broken, "source_file", "left_semi"))
+    whole = lines.join(broken, "source_file", "left_anti").select("value", "source_file", "block", "position")
+    return stage_lines(whole.unionByName(materialize(records, "records")))

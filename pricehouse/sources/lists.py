@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricehouse import schemas as S
 
+_LOG = logging.getLogger(__name__)
+
 
 def read_exchange_list(spark: SparkSession, exchange: str, path: str) -> DataFrame:
     """(exchange, symbol) from one tab-separated list with a header.
@@ -26,8 +30,16 @@ def read_exchange_list(spark: SparkSession, exchange: str, path: str) -> DataFra
 
 
 def read_exchange_lists(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """All lists together; a symbol appears once per exchange."""
-    parts = [read_exchange_list(spark, exchange, path) for exchange, path in paths.items()]
+    """All lists together; a symbol appears once per exchange.
+
+    A list that cannot be read is logged and counts as empty.
+    """
+    parts = [spark.createDataFrame([], "exchange STRING, symbol STRING")]
+    for exchange, path in paths.items():
+        try:
+            parts.append(read_exchange_list(spark, exchange, path))
+        except (AnalysisException, IndexError) as problem:  # no such path, or no column in it
+            _LOG.error("list of %s left out: %s", exchange, problem)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -70,3 +70,33 @@ def test_standardize_columns_takes_first_alias(spark):
     df = spark.createDataFrame([("a", "b", "c", "/d/BTC-USD.csv")], "Time STRING, date STRING, ` PRICE ` STRING, source_file STRING")
     row = standardize_columns(df).first()
     assert (row["date_str"], row["close_str"], row["symbol"], row["open_str"]) == ("b", "c", "BTC", None)
+
+
+def test_quoted_line_breaks_stay_in_their_field(spark, tmp_path):
+    write(tmp_path, "Q.csv", 'Date,Close,"Vol\nume",Open\n2024-01-01,1,"two\n\nlines",7\n\n2024-01-02,2,x,"8"\n2024-01-03,3,"a ""quoted"" word\n",9\n')
+    write(tmp_path, "P.csv", "Date,Close\n2024-01-01,4\n2024-01-02,5\n")
+    got = rows_of(stage_csv(spark, str(tmp_path)))
+    assert {k: (v["date_str"], v["close_str"], v["open_str"]) for k, v in got.items()} == {
+        ("Q.csv", 1): ("2024-01-01", "1", "7"), ("Q.csv", 2): ("2024-01-02", "2", "8"), ("Q.csv", 3): ("2024-01-03", "3", "9"),
+        ("P.csv", 1): ("2024-01-01", "4", None), ("P.csv", 2): ("2024-01-02", "5", None),
+    }
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path):
+    body = "".join(f'2024-01-01,{i},"note\n{"x" * (i % 90)}\n"\n' for i in range(1, 1501))
+    write(tmp_path, "A.csv", "Date,Close,Note\n" + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        staged = stage_csv(spark, str(tmp_path))
+        assert staged.count() == 1500 and staged.where("cast(close_str as bigint) <> row_number").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_unreadable_exchange_list_counts_as_empty(spark, tmp_path):
+    path = write(tmp_path, "n.txt", "Symbol\tName\nabc\tx\n")
+    from pricehouse.sources.lists import read_exchange_lists
+
+    got = read_exchange_lists(spark, {"NYSE": path, "AMEX": str(tmp_path / "absent")}).collect()
+    assert [tuple(r) for r in got] == [("NYSE", "ABC")]
