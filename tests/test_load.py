@@ -184,3 +184,52 @@ def test_update_exchanges(spark, store, tmp_path):
     assert {r[0]: r[1] for r in after.collect()} == {"NASDAQ": 5, "NYSE": 1, "TSX": 1}
     backup = spark.read.csv(str(tmp_path / "backup" / "exchange_backup_20240201_000000"), header=True)
     assert backup.columns == ["symbol", "exchange"] and backup.count() == 7
+
+
+@pytest.mark.parametrize("refresh_batch", [1, 2, 100])
+def test_stream_load_does_not_depend_on_its_batches(spark, store, tmp_path, refresh_batch):
+    for part, start in (("x", 1), ("y", 11)):
+        (tmp_path / "two" / part).mkdir(parents=True)
+        (tmp_path / "two" / part / "aapl.csv").write_text(HEAD + bars(start, 5))
+    stream_load(store, str(tmp_path / "two" / "*"), str(tmp_path / "ckpt"), refresh_batch=refresh_batch).awaitTermination()
+    assert read_published(spark, store.path("price_gold")).count() == 10
+    (tmp_path / "two" / "y" / "msft.csv").write_text(HEAD + bars(1, 2))
+    stream_load(store, str(tmp_path / "two" / "*"), str(tmp_path / "ckpt"), refresh_batch=refresh_batch).awaitTermination()
+    assert read_published(spark, store.path("price_gold")).count() == 12
+
+
+def test_failed_append_marks_its_batches(spark, store, tmp_path, monkeypatch):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "aapl.csv").write_text(HEAD + bars(1, 3))
+
+    def die(*_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(Store, "append_raw", die)
+    with pytest.raises(RuntimeError):
+        bulk_load(store, str(tmp_path / "f"), now=T1)
+    monkeypatch.undo()
+    batch = store.read("batch_meta").collect()[0]
+    assert (batch["status"], batch["error_message"], batch["row_count"]) == ("FAILED", "disk full", 3)
+
+
+def test_only_a_missing_table_counts_as_empty(spark, store, tmp_path):
+    assert Store(spark, str(tmp_path / "new")).read("asset").count() == 0
+    broken = tmp_path / "broken" / "asset" / "pointer"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        Store(spark, str(tmp_path / "broken")).read("asset")
+
+
+def test_upsert_takes_the_last_given_value_of_each_column(spark, store):
+    from pricehouse.operators.loading import upsert_assets
+
+    sent = spark.createDataFrame(
+        [("NEW", "STOCK", "Beta Inc", "Alpha", 1), ("NEW", "STOCK", "Acme", "Zeta", 2), ("NEW", "STOCK", None, "Omega", 3)],
+        "symbol STRING, asset_type STRING, company_name STRING, sector STRING, n INT",
+    )
+    row = upsert_assets(store.read("asset"), sent, order="n").where("symbol = 'NEW'").first()
+    assert (row["company_name"], row["sector"]) == ("Acme", "Omega")
+    row = upsert_assets(store.read("asset"), sent.where("n < 3")).where("symbol = 'NEW'").first()
+    assert (row["company_name"], row["sector"]) == ("Beta Inc", "Alpha")

@@ -67,6 +67,17 @@ def test_findings(stage_rows):
     }
 
 
+def test_moves_that_are_no_number_are_not_extreme(stage_rows):
+    closes = ["1", "inf", "5", "5.1", "inf", "inf", "nan", "6"]
+    rows = [("A", f"2024-01-{i:02d}", "1", "1", "1", c, "1") for i, c in enumerate(closes, 1)]
+    finite = [float(c) for c in closes]
+    want = {
+        i + 1 for i in range(1, len(finite))
+        if abs((finite[i] - finite[i - 1]) / finite[i - 1] * 100) > 50  # false for NaN
+    }
+    assert {r["row_number"] for r in Q.extreme_moves(stage_rows(rows)).collect()} == want
+
+
 def test_report_and_log(stage_rows):
     rows = good(3) + good(1)
     report = one(Q.quality_report(stage_rows(rows)))
