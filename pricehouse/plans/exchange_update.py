@@ -22,6 +22,7 @@ def update_exchanges(
     assignment is saved first, in a timestamped folder.
     """
     moment = now or datetime.now(timezone.utc)
+    base = store.version("asset")
     asset = store.read("asset")
     mapping = materialize(E.priority_mapping(read_exchange_lists(store.spark, paths)), "mapping")
     if mapping.isEmpty():
@@ -31,5 +32,5 @@ def update_exchanges(
         raise ValueError("No valid symbol mappings found")
     backup_exchanges(asset, f"{backup_folder}/exchange_backup_{moment:%Y%m%d_%H%M%S}")
     stats = materialize(E.update_stats(asset, mapping), "stats")
-    store.write("asset", E.apply_exchanges(asset, valid, F.lit(moment)))
+    store.write("asset", E.apply_exchanges(asset, valid, F.lit(moment)), base)
     return stats, E.exchange_distribution(store.read("asset"), active_only=True)

@@ -13,7 +13,7 @@ from pricehouse.functions import parsing as P
 from pricehouse.operators import loading as L
 from pricehouse.operators import quality as Q
 from pricehouse.plans.queries import source_id
-from pricehouse.plans.store import Store
+from pricehouse.plans.store import MovedOn, Store
 from pricehouse.session import materialize
 from pricehouse.sources.csv_staging import list_files, stage_csv
 
@@ -97,14 +97,20 @@ def load(
         "symbol", kind.alias("asset_type"), F.lit(exchange).alias("exchange"),
         F.lit(company_name).alias("company_name"), F.lit(sector).alias("sector"),
     )
-    store.write("asset", L.upsert_assets(store.read("asset"), wanted, stamp))
-
+    base = store.version("asset")
+    before = store.read("asset")
+    # Gold repeats these columns, so a known asset that gets new ones touches all its years.
+    described = ["symbol", "asset_type", "currency", "exchange", "company_name", "is_active"]
+    store.write("asset", L.upsert_assets(before, wanted, stamp), base)
+    kept = before.select("asset_id", *described).exceptAll(store.read("asset").select("asset_id", *described))
+    renamed = not kept.isEmpty()
+
+    base = store.version("batch_meta")
     held = store.read("batch_meta")
-    new = L.make_batches(held, accepted, sid, stamp)
-    store.write("batch_meta", held.unionByName(new))
-    # Read back: ids are now fixed facts, not expressions that may be re-run.
-    batches = store.read("batch_meta").where((F.col("status") == "RUNNING") & (F.col("start_time") == stamp))
-    running = batches.select("batch_id", F.col("file_path").alias("source_file"))
+    # Written first: ids are then fixed facts, and name the batches of this run.
+    new = materialize(L.make_batches(held, accepted, sid, stamp), "new-batches")
+    store.write("batch_meta", held.unionByName(new), base)
+    running = new.select("batch_id", F.col("file_path").alias("source_file"))
 
     assets = store.read("asset").select("asset_id", "symbol", "asset_type")
     bars = (
@@ -127,10 +133,10 @@ def load(
             "batch_id", F.lit("FAILED").alias("status"), F.lit(str(problem)).alias("error_message"),
             F.lit(None).cast("bigint").alias("row_count"),
         )
-        store.write("batch_meta", L.finish_batches(store.read("batch_meta"), failed, stamp))
+        _finish(store, failed, stamp)
         raise
 
-    # Only this run's files match its sequence number; the rest of the table is skipped.
+    # A load has folders of its own in the raw table; no other is opened.
     written = store.read("price_raw").where(F.col("load_seq") == sequence)
     loaded = written.groupBy("batch_id").agg(F.count("*").alias("n"))
     results = running.join(loaded, "batch_id", "left").select(
@@ -138,9 +144,10 @@ def load(
         F.lit(None).cast("string").alias("error_message"),
         F.coalesce("n", F.lit(0)).alias("row_count"),
     )
-    store.write("batch_meta", L.finish_batches(store.read("batch_meta"), results, stamp))
+    _finish(store, results, stamp)
     if refresh:
-        store.refresh_gold()
+        touched = [r[0] for r in written.select(F.year("price_date")).distinct().collect()]
+        store.refresh_gold(None if renamed or not store.gold_years() else touched)
 
     counts = store.read("batch_meta").join(running.select("batch_id"), "batch_id", "left_semi")
     done = counts.select(F.col("file_path").alias("source_file"), F.col("row_count").cast("bigint").alias("_n"))
@@ -154,6 +161,18 @@ def load(
     return materialize(outcome, "results")
 
 
+def _finish(store: Store, results: DataFrame, stamp: Column, tries: int = 5) -> None:
+    """Set the final state of a run's batches; only those rows change, so a lost race is run again."""
+    for left in range(tries, 0, -1):
+        base = store.version("batch_meta")
+        try:
+            store.write("batch_meta", L.finish_batches(store.read("batch_meta"), results, stamp), base)
+            return
+        except MovedOn:
+            if left == 1:
+                raise
+
+
 def symbols_held(store: Store, source: str) -> DataFrame:
     """Symbols with at least one bar from ``source`` in a successful batch."""
     complete = store.read("batch_meta").where("status = 'SUCCESS'").select("batch_id")

@@ -2,17 +2,20 @@
 
 Replaceable tables (dimensions, gold, marts) are published as snapshots: the
 rows go to a folder of their own and a one-row pointer naming it is appended
-last, so readers always see a complete version. The raw price table only grows.
+last, so readers always see a complete version. A price table may replace some years
+only; its pointer names the folder of each year. The raw price table only grows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from pricehouse import schemas as S
 from pricehouse.plans.gold import build_gold, current_prices
@@ -36,16 +39,35 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(where).getLength() if files.exists(where) else 0
 
 
-def publish(spark: SparkSession, path: str, rows: DataFrame, about_bytes: int | None = None) -> str:
+class MovedOn(RuntimeError):
+    """Another writer published a table after it was read."""
+
+
+_POINTER = "folder STRING, created_at TIMESTAMP, years ARRAY<STRUCT<price_year: INT, folder: STRING>>, columns STRING"
+
+
+def publish(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    about_bytes: int | None = None,
+    years: Sequence[int] | None = None,
+    base: str | None = None,
+) -> str:
     """Write ``rows`` as the new version of the table at ``path``.
 
     Price tables are split by year and clustered by symbol and date, so a ticker or
     date predicate skips most files and row groups. With ``about_bytes``, their
     size when stored, ranges are cut to that size; otherwise Spark evens out the
-    partitions by what it measures.
+    partitions by what it measures. With ``years``, ``rows`` replace those years and
+    the new version takes the folders of all others from the one before. With
+    ``base``, the folder of the version that was read, publishing over another
+    version raises :class:`MovedOn`.
     """
     created = datetime.now(timezone.utc)
-    folder = f"{path}/versions/{created:%Y%m%dT%H%M%S%f}"
+    version = f"version={created:%Y%m%dT%H%M%S%f}"
+    folder = f"{path}/versions/{version}"
+    parts: list[tuple[int, str]] = []
     if {"price_date", "symbol"} <= set(rows.columns):
         order = ["price_year", "symbol", "price_date"]
         typed = rows.withColumn("price_year", F.year("price_date"))
@@ -53,38 +75,65 @@ def publish(spark: SparkSession, path: str, rows: DataFrame, about_bytes: int |
             dealt = typed.hint("rebalance", "price_year", "symbol")
         else:
             dealt = typed.repartitionByRange(1 + about_bytes // TASK_BYTES, *order)
-        writer = dealt.sortWithinPartitions(*order).write.partitionBy("price_year")
+        dealt.sortWithinPartitions(*order).write.partitionBy("price_year").parquet(folder)
+        columns = typed.schema.json()
+        parts = [(int(name.split("=")[1]), f"{folder}/{name}") for name in _folders(spark, folder)]
+        if years is not None:
+            old = _pointer(spark, path)
+            parts += [(y["price_year"], y["folder"]) for y in (old["years"] if old else []) if y["price_year"] not in years]
     else:
-        writer = rows.hint("rebalance").write  # few files of even size
-    writer.parquet(folder)
-    pointer = spark.range(0, 1, 1, 1).select(
-        F.lit(folder).alias("folder"), F.lit(created).alias("created_at")
-    )
-    pointer.write.mode("append").parquet(f"{path}/pointer")
+        rows.hint("rebalance").write.parquet(folder)  # few files of even size
+        columns = rows.schema.json()
+    if base is not None and (current_version(spark, path) or "") != base:
+        raise MovedOn(f"{path} has a newer version than the one that was read")
+    pointer = spark.createDataFrame([(folder, created, parts, columns)], _POINTER)
+    pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointer")
     return folder
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The partition folders right under ``path``: one for each year."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return sorted(f.getPath().getName() for f in listed if f.isDirectory() and "=" in f.getPath().getName())
+
+
 def not_written(problem: AnalysisException) -> bool:
     """Whether a read failed only because nothing was written there yet."""
     return problem.getCondition() == "PATH_NOT_FOUND"
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest published version, None when there is none."""
+def _pointer(spark: SparkSession, path: str) -> Row | None:
     try:
-        pointers = spark.read.schema("folder STRING, created_at TIMESTAMP").parquet(f"{path}/pointer")
+        pointers = spark.read.schema(_POINTER).parquet(f"{path}/pointer")
     except AnalysisException as problem:
         if not not_written(problem):
             raise
         return None
-    return pointers.agg(F.max_by("folder", F.struct("created_at", "folder"))).first()[0]
+    return pointers.agg(F.max_by(F.struct(*pointers.columns), F.struct("created_at", "folder"))).first()[0]
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest published version, None when there is none."""
+    pointer = _pointer(spark, path)
+    return pointer["folder"] if pointer else None
+
+
+def _read(spark: SparkSession, path: str, pointer: Row) -> DataFrame:
+    schema = StructType.fromJson(json.loads(pointer["columns"]))
+    if "price_year" not in schema.fieldNames():
+        return spark.read.schema(schema).parquet(pointer["folder"])
+    if not pointer["years"]:
+        return spark.createDataFrame([], schema)
+    folders = [y["folder"] for y in pointer["years"]]
+    return spark.read.schema(schema).option("basePath", f"{path}/versions").parquet(*folders)
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
-    folder = current_version(spark, path)
-    if folder is None:
+    pointer = _pointer(spark, path)
+    if pointer is None:
         raise ValueError(f"nothing published at {path}")
-    return spark.read.parquet(folder)
+    return _read(spark, path, pointer)
 
 
 def refresh_all(spark: SparkSession, builders: dict[str, tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
@@ -119,43 +168,60 @@ class Store:
         range skip whole years.
         """
         if name == "price_raw":
-            try:
-                raw = self.spark.read.parquet(self.path(name))
-            except AnalysisException as problem:
-                if not not_written(problem):
-                    raise
-                return self.spark.createDataFrame([], SCHEMAS[name])
-            return raw.drop("price_year")
-        folder = current_version(self.spark, self.path(name))
-        if folder is None and name in SCHEMAS:
+            return self._raw().drop("price_year")
+        pointer = _pointer(self.spark, self.path(name))
+        if pointer is None and name in SCHEMAS:
             return self.spark.createDataFrame([], SCHEMAS[name])
-        if folder is None:
+        if pointer is None:
             raise ValueError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(folder)
+        return _read(self.spark, self.path(name), pointer)
+
+    def _raw(self) -> DataFrame:
+        schema = StructType.fromDDL(S.PRICE_RAW).add("price_year", IntegerType())
+        try:
+            return self.spark.read.schema(schema).parquet(self.path("price_raw"))
+        except AnalysisException as problem:
+            if not not_written(problem):
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def version(self, name: str) -> str:
+        """What :meth:`write` takes as ``base``: the version to be read now, "" before the first."""
+        return current_version(self.spark, self.path(name)) or ""
 
-    def write(self, name: str, rows: DataFrame, about_bytes: int | None = None) -> None:
-        publish(self.spark, self.path(name), rows, about_bytes)
+    def write(self, name: str, rows: DataFrame, base: str | None = None) -> None:
+        publish(self.spark, self.path(name), rows, base=base)
 
     def append_raw(self, rows: DataFrame) -> None:
-        """Add bars to the raw table, split by year of the bar."""
+        """Add bars to the raw table, split by load and year of the bar."""
         typed = rows.withColumn("price_year", F.year("price_date"))
         # One shuffle by year and asset keeps file counts low; a year or asset
         # that dominates is split by the adaptive partition rebalancing.
         typed.hint("rebalance", "price_year", "asset_id").write.mode("append").partitionBy(
-            "price_year"
+            "load_seq", "price_year"
         ).parquet(self.path("price_raw"))
 
-    def gold(self) -> DataFrame:
+    def gold(self, years: Sequence[int] | None = None) -> DataFrame:
         """Gold computed from the stored tables (not the published version)."""
+        raw = self._raw()
+        if years is not None:  # the date decides the folder, so other years are not read
+            raw = raw.where(F.col("price_year").isin([int(y) for y in years])).drop("price_year")
         return build_gold(
-            current_prices(self.read("price_raw")),
-            self.read("asset"), self.read("data_source"), self.read("batch_meta"),
+            current_prices(raw), self.read("asset"), self.read("data_source"), self.read("batch_meta"),
         )
 
-    def refresh_gold(self) -> None:
-        """Replace the published gold table; readers keep the old one meanwhile."""
+    def refresh_gold(self, years: Sequence[int] | None = None) -> None:
+        """Replace the published gold table, or those years of it; readers keep the old one meanwhile."""
         # Gold is about as large as the raw bars it is picked from, or smaller.
-        self.write("price_gold", self.gold(), stored_bytes(self.spark, self.path("price_raw")))
+        size = stored_bytes(self.spark, self.path("price_raw"))
+        if years is not None:
+            shares = max(1, len(self.gold_years()))
+            size = size * min(1.0, len(years) / shares)
+        publish(self.spark, self.path("price_gold"), self.gold(years), int(size), years)
+
+    def gold_years(self) -> list[int]:
+        pointer = _pointer(self.spark, self.path("price_gold"))
+        return [y["price_year"] for y in pointer["years"]] if pointer else []
 
 
 def seed(store: Store, now: datetime | None = None) -> None:

@@ -233,3 +233,34 @@ def test_upsert_takes_the_last_given_value_of_each_column(spark, store):
     assert (row["company_name"], row["sector"]) == ("Acme", "Omega")
     row = upsert_assets(store.read("asset"), sent.where("n < 3")).where("symbol = 'NEW'").first()
     assert (row["company_name"], row["sector"]) == ("Beta Inc", "Alpha")
+
+
+def test_second_load_leaves_other_years_as_they_are(spark, store, tmp_path):
+    for year in (2023, 2024):
+        (tmp_path / str(year)).mkdir()
+        (tmp_path / str(year) / "aapl.csv").write_text(HEAD + bars(1, 4).replace("2024-", f"{year}-"))
+    load(store, str(tmp_path / "2023"), "MANUAL_CSV", now=T1)
+    load(store, str(tmp_path / "2024"), "MANUAL_CSV", now=T2)
+    path = store.path("price_gold")
+    files = lambda: {
+        y: {f for f in read_published(spark, path).where(f"price_year = {y}").inputFiles() if f"price_year={y}" in f}
+        for y in (2023, 2024)
+    }
+    before = files()
+    (tmp_path / "2024" / "aapl.csv").write_text(HEAD + bars(3, 4, 500.0))
+    load(store, str(tmp_path / "2024"), "MANUAL_CSV", now=datetime(2024, 2, 3, tzinfo=timezone.utc))
+    after = files()
+    assert before[2023] == after[2023] and before[2024] != after[2024]
+    gold, full = read_published(spark, path), store.gold()
+    assert gold.count() == 10 and gold.select(full.columns).exceptAll(full).isEmpty()
+
+
+def test_writer_that_read_an_older_version_is_refused(spark, store):
+    from pricehouse.plans.store import MovedOn
+
+    base = store.version("asset")
+    assets = store.read("asset")
+    store.write("asset", assets.where("symbol <> 'AAPL'"), base)
+    with pytest.raises(MovedOn):
+        store.write("asset", assets, base)
+    assert store.read("asset").where("symbol = 'AAPL'").isEmpty()
