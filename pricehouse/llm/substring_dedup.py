@@ -11,7 +11,7 @@ Documents are dealt by hash into cells of about ``CELL_BYTES`` of text; all thre
 reads of a text share one shuffle of it. Between cells go packed, sorted hashes:
 
 1. A cell sends each hash part the block hashes and the probe hashes it has, once
-   each (40 bits beside the part's own). A part answers every cell with those hashes
+   each (40 bits beside the part's own, as differences). A part answers every cell with those hashes
    that are a block somewhere and are found in two cells or more. Truncated hashes may
    give false hits, which the next step removes, but never miss one.
 2. A cell sends the windows around its hits with the least doc_id it has for each. A
@@ -165,14 +165,19 @@ def _short(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return values.astype("<u8").view("u1").reshape(-1, 8)[:, :PROBE_BYTES].tobytes()
+    """Sorted short hashes as differences of four bytes, or as they are if one is too large."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    if not len(steps) or steps.max() < 1 << 32:
+        return b"d" + steps.astype("<u4").tobytes()
+    return b"w" + values.astype("<u8").tobytes()
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, "u1").reshape(-1, PROBE_BYTES)
-    wide = np.zeros((len(raw), 8), "u1")
-    wide[:, :PROBE_BYTES] = raw
-    return wide.reshape(-1).view("<u8")
+    if not blob:
+        return np.empty(0, "u8")
+    if blob[:1] == b"d":
+        return np.cumsum(np.frombuffer(blob, "<u4", offset=1), dtype="u8")
+    return np.frombuffer(blob, "<u8", offset=1)
 
 
 def _by_part(part: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -221,7 +226,7 @@ def answer_probes(key: tuple, table: pa.Table) -> pa.Table:
     wanted = groups.spread((groups.counts > 1) & groups.of(np.logical_or, is_block))
     ends = np.cumsum([len(b) + len(o) for b, o in zip(blocks, others)])
     shared = [
-        np.concatenate([b, o])[wanted[end - len(b) - len(o) : end]] for b, o, end in zip(blocks, others, ends)
+        np.sort(np.concatenate([b, o])[wanted[end - len(b) - len(o) : end]]) for b, o, end in zip(blocks, others, ends)
     ]
     return _answers(cells, key[0].as_py(), shared, _pack)
 
@@ -252,10 +257,10 @@ def _hits(cell: Cell, answers: pa.Table, bits: int) -> np.ndarray:
     return first[groups.spread(outside | inside & groups.of(np.logical_or, aligned))]
 
 
-#: Bytes of a window as sent: its first hash, half of its second, the place of its doc_id.
-_ROW = np.dtype([("first", "<u8"), ("second", "<u4"), ("owner", "<u4")])
+#: A window as sent: its first hash and half of its second.
+_ROW = np.dtype([("first", "<u8"), ("second", "<u4")])
 
-_WINDOWS = "part bigint, cell bigint, windows binary, owners binary"
+_WINDOWS = "part bigint, cell bigint, windows binary, places binary, owners binary"
 
 
 def _windows(cell: Cell, first: np.ndarray) -> list[np.ndarray]:
@@ -278,19 +283,25 @@ def send_windows(key: tuple, table: pa.Table, answers: pa.Table, window: int, bi
     rows = np.empty(len(least), _ROW)
     rows["first"], rows["second"] = groups.values
     part, _ = _short(rows["first"], bits)
-    columns: list[list] = [[], [], [], []]
+    columns: list[list] = [[], [], [], [], []]
     for p, run in _by_part(part):
-        owners, rows["owner"][run] = np.unique(least[run], return_inverse=True)
-        for column, value in zip(columns, (p, key[0].as_py(), rows[run].tobytes(), owners.tobytes())):
+        owners, places = np.unique(least[run], return_inverse=True)  # few doc_ids, and which of them
+        places = places.astype("<u2" if len(owners) <= 1 << 16 else "<u4")
+        sent = (p, key[0].as_py(), rows[run].tobytes(), places.tobytes(), owners.tobytes())
+        for column, value in zip(columns, sent):
             column.append(value)
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "cell", "windows", "owners"])
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    names = ["part", "cell", "windows", "places", "owners"]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def answer_windows(key: tuple, table: pa.Table) -> pa.Table:
     """For each cell its windows that another cell has under a smaller doc_id."""
     sent = [np.frombuffer(x, _ROW) for x in table.column("windows").to_pylist()]
-    owners = [np.frombuffer(o, "i8")[rows["owner"]] for o, rows in zip(table.column("owners").to_pylist(), sent)]
+    owners = []
+    for ids, places in zip(table.column("owners").to_pylist(), table.column("places").to_pylist()):
+        known = np.frombuffer(ids, "i8")
+        owners.append(known[np.frombuffer(places, "<u2" if len(known) <= 1 << 16 else "<u4")])
     rows, owner = _joined(sent, _ROW), _joined(owners, "i8")
     groups = Groups(rows["first"], rows["second"])
     smaller = groups.spread(groups.of(np.minimum, owner)) < owner
