@@ -179,6 +179,90 @@ SELECT doc_id, size, source_size, target,
 FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source
 """
 
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_RULE_CASES = [
+    " ".join(
+        f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}'))"
+        f" AND starts_with(path, '/{r.partition('/')[2]}') THEN '{(r, v)[pick]}'"
+        for r, v in sorted(url_filters.RULES, key=lambda x: (len(x[0]), x[0]), reverse=True)
+    )
+    for pick in (0, 1)
+]
+
+_OP3 = rf"""
+WITH RECURSIVE found AS (
+  SELECT url, unnest(list_concat(
+      list_transform(regexp_extract_all(html, '{_sql(url_filters.LINK_PATTERN)}'), lambda t: regexp_extract(t, '{_sql(url_filters.HREF_PATTERN)}', 1)),
+      list_transform(regexp_extract_all(html, '{_sql(url_filters.REFRESH_PATTERN)}'), lambda t: regexp_extract(t, '{_sql(url_filters.TARGET_PATTERN)}', 1)))) AS target
+  FROM pages WHERE html IS NOT NULL),
+absolute AS (
+  SELECT url, CASE WHEN contains(target, '://') THEN target
+      WHEN starts_with(target, '//') THEN 'x:' || target
+      WHEN starts_with(target, '/') THEN 'x://' || h || target
+      ELSE 'x://' || h || CASE WHEN f = '' THEN '/' ELSE f END || target END AS other
+  FROM (SELECT *, regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS h,
+               regexp_extract(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '(?s)^(.*/)', 1) AS f
+        FROM found WHERE target <> '') x),
+urls AS (
+  SELECT u, host, path, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || q END AS node
+  FROM (SELECT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+               regexp_extract(u, '(?s)^.*?://[^/?#]*[^?#]*([^#]*)', 1) AS q
+        FROM (SELECT url AS u FROM pages UNION SELECT other FROM absolute) x) y),
+judged AS (
+  SELECT *, CASE {_RULE_CASES[0]} END AS rule, CASE {_RULE_CASES[1]} END AS own FROM urls),
+edges AS (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM absolute l JOIN urls a ON l.url = a.u JOIN urls b ON l.other = b.u
+  WHERE a.node <> b.node),
+links AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT a AS n, a AS m FROM links UNION SELECT r.n, l.b FROM reach r JOIN links l ON r.m = l.a),
+node_verdicts AS (
+  SELECT node, CASE {_RULE_CASES[1]} END AS said
+  FROM (SELECT DISTINCT node, host, CASE WHEN path = '' THEN '/' ELSE path END AS path FROM urls WHERE node IS NOT NULL) z),
+groups AS (
+  SELECT n, min(m) AS component,
+         CASE WHEN bool_or(said = 'allow') THEN 'allow' WHEN bool_or(said = 'block') THEN 'block' END AS shared
+  FROM reach JOIN node_verdicts ON m = node GROUP BY n)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(own, shared, 'allow') AS verdict,
+       coalesce(component, node) AS component
+FROM pages LEFT JOIN judged ON url = u LEFT JOIN groups ON node = n
+"""
+
+_OP4 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM win JOIN firsts USING (k), range(13) AS t(j) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT words.doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS left_over
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(left_over, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_OP7 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10))
+                + len(regexp_extract_all(text, '<\\*\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -193,4 +277,10 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES = {"op2_quality_rules": _OP2, "op8_mixing": _OP8}
+ORACLES = {
+    "op2_quality_rules": _OP2,
+    "op3_url_filters": _OP3,
+    "op4_substring_dedup": _OP4,
+    "op7_chat_format": _OP7,
+    "op8_mixing": _OP8,
+}

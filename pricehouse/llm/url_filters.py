@@ -40,10 +40,10 @@ MOST_RULES = 1000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
-_LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+LINK_PATTERN = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+REFRESH_PATTERN = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+HREF_PATTERN = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+TARGET_PATTERN = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def _part(url: Column, number: int) -> Column:
@@ -105,8 +105,8 @@ def page_links(pages: DataFrame) -> DataFrame:
         "url",
         F.explode(
             F.concat(
-                F.transform(F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)), lambda t: F.regexp_extract(t, _HREF, 1)),
-                F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(0)), lambda t: F.regexp_extract(t, _TARGET, 1)),
+                F.transform(F.regexp_extract_all(html, F.lit(LINK_PATTERN), F.lit(0)), lambda t: F.regexp_extract(t, HREF_PATTERN, 1)),
+                F.transform(F.regexp_extract_all(html, F.lit(REFRESH_PATTERN), F.lit(0)), lambda t: F.regexp_extract(t, TARGET_PATTERN, 1)),
             )
         ).alias("target"),
     )
