@@ -28,7 +28,7 @@ class PriceClient:
 
     def prices(self, tickers: Sequence[str], start: date | str, end: date | str) -> DataFrame:
         if str(end) < str(start):
-            raise ValueError("End date must be after start date")
+            raise ValueError("the end lies before the start")
         return Q.prices(self.gold, tickers, start, end)
 
     def total_return(self, ticker: str, start: date | str, end: date | str) -> DataFrame:

@@ -26,10 +26,10 @@ def update_exchanges(
     asset = store.read("asset")
     mapping = materialize(E.priority_mapping(read_exchange_lists(store.spark, paths)), "mapping")
     if mapping.isEmpty():
-        raise ValueError("No exchange symbols loaded")
+        raise ValueError("the exchange lists hold no symbol")
     valid = E.match_symbols(mapping, asset).where("side = 'matched'").select("symbol", "exchange")
     if valid.isEmpty():
-        raise ValueError("No valid symbol mappings found")
+        raise ValueError("no listed symbol is a stored stock")
     backup_exchanges(asset, f"{backup_folder}/exchange_backup_{moment:%Y%m%d_%H%M%S}")
     stats = materialize(E.update_stats(asset, mapping), "stats")
     store.write("asset", E.apply_exchanges(asset, valid, F.lit(moment)), base)

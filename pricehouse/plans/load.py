@@ -68,10 +68,10 @@ def load(
     own_rows = symbol is None and several_symbols == "rows"
     several = (F.col("symbol_count") > 1) if symbol is None and not own_rows else F.lit(False)
     message = (
-        F.when(F.col("quality_score").isNull(), F.lit("No data in staging table"))
-        .when(F.col("quality_score") < min_score, F.lit("Quality score below threshold"))
-        .when(several, F.lit("Multiple symbols found"))
-        .when(chosen.isNull(), F.lit("No symbol found"))
+        F.when(F.col("quality_score").isNull(), F.lit("the file has no rows"))
+        .when(F.col("quality_score") < min_score, F.lit("its quality score is too low"))
+        .when(several, F.lit("it holds several symbols"))
+        .when(chosen.isNull(), F.lit("it names no symbol"))
     )
     judged = files.join(scores, "source_file", "left").select(
         "source_file", "file_size_bytes", "row_count", "quality_score",
@@ -154,7 +154,7 @@ def load(
     outcome = judged.join(done, "source_file", "left").select(
         "source_file", "symbol",
         F.when(F.col("message").isNull(), F.lit("loaded")).otherwise(F.lit("failed")).alias("outcome"),
-        F.coalesce("message", F.lit("Loaded successfully")).alias("message"),
+        F.coalesce("message", F.lit("loaded")).alias("message"),
         F.coalesce("_n", F.lit(0)).alias("records_loaded"),
         "quality_score",
     )
@@ -213,7 +213,7 @@ def bulk_load(
     # The reader needs the paths; its own file index holds the same list.
     paths = [r["path"] for r in todo.select("path").toLocalIterator()]
     skipped = files.join(todo.select("source_file"), "source_file", "left_anti").select(
-        "source_file", "symbol", F.lit("skipped").alias("outcome"), F.lit("Already loaded").alias("message"),
+        "source_file", "symbol", F.lit("skipped").alias("outcome"), F.lit("its ticker is held already").alias("message"),
         F.lit(0).cast("bigint").alias("records_loaded"), F.lit(None).cast("double").alias("quality_score"),
     )
     skipped = materialize(skipped, "skipped")

@@ -81,7 +81,7 @@ def source_id(data_source: DataFrame, name: str) -> int:
     """Id of an active source; an unknown or inactive name is an error."""
     row = active_sources(data_source).where(F.col("source_name") == name).first()
     if row is None:
-        raise ValueError(f"Data source '{name}' not found or inactive")
+        raise ValueError(f"no active source is named {name!r}")
     return row["source_id"]
 
 
@@ -160,7 +160,7 @@ def price_summary(gold: DataFrame, symbol: str, days: int = 30, as_of: date | st
     looks at all dates. No row comes back when the window is empty.
     """
     if not isinstance(days, int) or days < 1 or days > 365:
-        raise ValueError("Days must be an integer between 1 and 365")
+        raise ValueError("days: a whole number from 1 to 365")
     today = _day(as_of) if as_of else F.current_date()
     bars = gold.where(F.col("symbol") == symbol.upper())
     recent = F.col("price_date") >= F.date_sub(today, days)

@@ -89,8 +89,8 @@ def test_gate_dry_run_and_several_symbols(spark, store, tmp_path):
     files = {r["source_file"].rsplit("/", 1)[1]: r for r in load(store, str(folder), dry_run=True).collect()}
     assert {n: r["outcome"] for n, r in files.items()} == {
         "LOW.csv": "failed", "TWO.csv": "failed", "OK.csv": "valid", "NONE.csv": "failed"}
-    assert files["NONE.csv"]["message"] == "No data in staging table"
-    assert files["TWO.csv"]["message"] == "Multiple symbols found"
+    assert files["NONE.csv"]["message"] == "the file has no rows"
+    assert files["TWO.csv"]["message"] == "it holds several symbols"
     assert store.read("batch_meta").count() == 0
     done = load(store, str(folder), several_symbols="rows", now=T1)
     write_load_errors(done, str(tmp_path / "errors"))
