@@ -29,16 +29,17 @@ has a NULL component; an empty table gives an empty result.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricehouse.llm.components import components
+from pricehouse.llm.rows import keep_least, row_key
 from pricehouse.llm.text import pick, slices
 from pricehouse.session import materialize
 
@@ -81,12 +82,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def _fingerprinted(shingle: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fingerprinted(
+    shingle: int, batches: Iterable[pa.RecordBatch], kept: Sequence[str] = ("doc_id",)
+) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            found = [fingerprint(x or b"", shingle) for x in batch.column(1).to_pylist()]
+            found = [fingerprint(x or b"", shingle) for x in batch.column("text").to_pylist()]
             signed = np.array(found, "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(signed)], [*kept, "fingerprint"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -179,19 +182,19 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One row of each group of near-duplicates: that with the least doc_id; same columns.
+    """One row of each group of near-duplicates: that with the least row key; same columns.
 
-    A doc_id names one document: of rows that repeat it one stays, the first by a
-    hash of all columns. Rows without a doc_id cannot be named and stay as they are.
+    Rows are told apart by doc_id and all columns, so different texts under one doc_id,
+    and rows without a doc_id, are nodes of their own.
     """
-    firsts = near_duplicates(docs, **options).filter("doc_id = component_id").select(
-        F.col("doc_id").alias("first_id")
-    ).distinct()
-    whole = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-        F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("row_hash"),
+    keyed = docs.select(row_key(docs).alias("key"), F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    nodes = materialize(keyed.mapInArrow(
+        lambda b: _fingerprinted(options.get("shingle", SHINGLE), b, ["key", "doc_id"]),
+        "key binary, doc_id bigint, fingerprint bigint",
+    ), "row-fingerprints")
+    limits = {k: v for k, v in options.items() if k != "shingle"}
+    found = components(links(nodes.select("fingerprint").distinct(), **limits), "left", "right")
+    placed = nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
+        "key", "doc_id", F.coalesce("component", "fingerprint").alias("component")
     )
-    listed = whole.join(firsts, F.col("row.doc_id") == F.col("first_id"), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row_hash"))
-    one_each = listed.withColumn("nth", nth).filter("nth = 1").select("row.*")
-    return one_each.unionByName(docs.filter("doc_id IS NULL"))
+    return keep_least(docs, materialize(placed, "row-groups"))
