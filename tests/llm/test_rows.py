@@ -5,12 +5,12 @@ from collections import Counter
 
 import pytest
 
-from pricehouse.llm import simhash
+from pricehouse.llm import near_texts, simhash
 
 SCHEMA = "doc_id bigint, text string"
 
 
-@pytest.mark.parametrize("keep_first", [simhash.keep_first])
+@pytest.mark.parametrize("keep_first", [simhash.keep_first, near_texts.keep_first])
 def test_rows_are_told_apart_by_all_columns(workers, keep_first):
     rng = random.Random(2)
     a, b, c = (" ".join(rng.choices([f"u{i}" for i in range(500)], k=60)) for _ in range(3))
