@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns plus a randomness test battery.
 
-Patterns give the base spans. Besides, every long token that mixes letters and
+Patterns give the base spans. Besides, every long token (also the value
+of ``name=value``, and each part of a path beside the whole) that mixes letters and
 digits is tested for being a uniform random string over the alphabet inferred from
 its characters: chi-squared on the symbol counts, the number of runs about the middle of
 the alphabet, and the lag-one serial correlation. The smallest of the three
@@ -44,7 +45,9 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+#: Characters of the shortest token.
+LEAST = 20
+_TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
 
 #: Alphabets tried in this order; the first that holds all characters is taken.
 ALPHABETS = (
@@ -104,6 +107,20 @@ def randomness(token: str) -> float | None:
     return min(1.0, 3 * min(p_chi, p_runs, p_serial))
 
 
+def tokens_of(text: str) -> list[tuple[int, int]]:
+    """Long runs of token characters, cut at each '=' that is no padding, and their parts between '/'."""
+    found = set()
+    for run in _TOKEN.finditer(text):
+        body = run.group().rstrip("=")
+        for piece in re.finditer(r"[^=]+", body):
+            start, end = run.start() + piece.start(), run.start() + piece.end()
+            padded = run.end() if piece.end() == len(body) else end
+            found.add((start, padded))
+            parts = [(start + x.start(), start + x.end()) for x in re.finditer(r"[^/]+", piece.group())]
+            found.update((i, padded if j == end else j) for i, j in parts)
+    return sorted(x for x in found if x[1] - x[0] >= LEAST)
+
+
 def spans_of(text: str) -> list[tuple[int, int, int, int, int]]:
     """(start, kind, end, length class, p-value step) in order; the last two are -1 for base spans."""
     found: list[tuple[int, int, int, int, int]] = []
@@ -113,11 +130,10 @@ def spans_of(text: str) -> list[tuple[int, int, int, int, int]]:
     found += [(m.start(), 1, m.end(), -1, -1) for m in _ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), -1, -1) for m in _HEX.finditer(text)]
     base = sorted(found)
-    for m in _TOKEN.finditer(text):
-        start, end = m.span()
+    for start, end in tokens_of(text):
         if any(s < end and start < e for s, _, e, _, _ in base):
             continue
-        p = randomness(m.group())
+        p = randomness(text[start:end])
         if p is not None:
             step = LAST_STEP if p <= 0 else min(LAST_STEP, int(-math.log10(p) * STEPS))
             found.append((start, 3, end, sum(end - start > x for x in LENGTHS), step))
