@@ -2,9 +2,9 @@
 
 The nested field paths of a record (``messages[].role``), sorted and hashed, select
 a declarative mapping to canonical turns (conv_id, turn, role, text). The schema of a table of
-turns is looked up the same way. A record whose fields are not all known is looked up once
-more with its unknown fields left out, so extra columns do no harm; a record without
-a mapping is returned as such, with a NULL role.
+turns is looked up the same way. Without an exact match the largest layout whose fields are
+all there is taken, so extra columns of any name do no harm; a record without a mapping is
+returned as such, with a NULL role.
 
 Turns are formatted as a stream: sorted by conversation and turn inside their partition
 and read once, so a conversation of any length needs the memory of one turn. Each turn
@@ -40,7 +40,7 @@ class Layout:
     """Field paths of a layout, and where its turns are.
 
     ``turns`` lists (role, path) pairs of single fields; ``each`` names a list and, in
-    it, the role and text fields.
+    it, the role and text fields. Where both are given, the single fields come first.
     """
 
     paths: tuple[str, ...]
@@ -63,8 +63,16 @@ _LAYOUTS = (
     Layout(("messages[].role", "messages[].content"), each=("messages", "role", "content")),
     Layout(("conversations[].from", "conversations[].value"), each=("conversations", "from", "value")),
 )
+# Messages whose content is a list of parts, and layouts with a system text beside them.
+_LAYOUTS += (Layout(("messages[].role", "messages[].content[].text"), each=("messages", "role", "content")),)
+_LAYOUTS += tuple(
+    Layout(("system", *x.paths), (("system", "system"), *x.turns), x.each)
+    for x in _LAYOUTS
+    if (x.turns or x.each) and "system" not in x.paths and {"system", *x.paths} not in [set(y.paths) for y in _LAYOUTS]
+)
 LAYOUTS = {fingerprint(x.paths): x for x in _LAYOUTS}
-_KNOWN = {p for x in _LAYOUTS for p in x.paths}
+#: The largest first; of equal ones lists of turns, then in the order above.
+_BY_SIZE = sorted(_LAYOUTS, key=lambda x: (-len(x.paths), x.each is None))
 
 #: Role names of other layouts.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -80,7 +88,7 @@ def paths_of(value, at: str = "") -> set[str]:
 
 
 def layout_of(paths: set[str]) -> Layout | None:
-    return LAYOUTS.get(fingerprint(paths)) or LAYOUTS.get(fingerprint(paths & _KNOWN))
+    return LAYOUTS.get(fingerprint(paths)) or next((x for x in _BY_SIZE if paths.issuperset(x.paths)), None)
 
 
 def _schema_paths(kind: T.DataType, at: str = "") -> set[str]:
@@ -105,11 +113,18 @@ def table_turns(table: DataFrame) -> DataFrame:
     ids = F.col("conv_id").cast("bigint").alias("conv_id")
     if not layout.turns and not layout.each:
         return table.select(ids, F.col("turn").cast("bigint"), "role", "text")
+    lists = []
+    if layout.turns:
+        lists.append(F.array(*[F.struct(F.lit(r).alias("role"), F.col(p).cast("string").alias("text")) for r, p in layout.turns]))
     if layout.each:
         items, role, text = layout.each
-        turns = F.transform(F.col(items), lambda x: F.struct(x[role].alias("role"), x[text].alias("text")))
-    else:
-        turns = F.array(*[F.struct(F.lit(r).alias("role"), F.col(p).alias("text")) for r, p in layout.turns])
+        in_parts = f"{items}[].{text}[].text" in layout.paths
+        said = (lambda x: F.array_join(F.transform(x[text], lambda p: p["text"]), "")) if in_parts else (lambda x: x[text])
+        each = F.transform(
+            F.col(items), lambda x: F.struct(x[role].cast("string").alias("role"), said(x).cast("string").alias("text"))
+        )
+        lists.append(F.coalesce(each, F.array().cast("array<struct<role:string,text:string>>")))
+    turns = F.concat(*lists)
     spread = table.select(ids, F.posexplode(turns).alias("turn", "t"))
     known = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
     return spread.select(
@@ -128,11 +143,24 @@ def turns_of(record: str | None) -> list[tuple[str | None, str | None]] | None:
     layout = layout_of(paths_of(value))
     if layout is None:
         return None
-    text = lambda x: x if x is None or isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+    found = [(role, _said(value.get(path))) for role, path in layout.turns]
     if layout.each:
         items, role, body = layout.each
-        return [(ROLES.get(m.get(role), m.get(role)), text(m.get(body))) for m in value[items]]
-    return [(role, text(value.get(path))) for role, path in layout.turns]
+        for m in value[items]:
+            name = m.get(role) if isinstance(m, dict) else None
+            name = name if name is None or isinstance(name, str) else json.dumps(name, ensure_ascii=False)
+            found.append((ROLES.get(name, name), _said(m.get(body) if isinstance(m, dict) else m)))
+    return found if layout.turns or layout.each else [(_said(value["role"]), _said(value["text"]))]
+
+
+def _said(value) -> str | None:
+    """A text; the texts of a list of parts; anything else as JSON."""
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, list):
+        texts = [p.get("text") if isinstance(p, dict) and isinstance(p.get("text"), str) else p for p in value]
+        return "".join(t if isinstance(t, str) else json.dumps(t, ensure_ascii=False) for t in texts)
+    return json.dumps(value, ensure_ascii=False)
 
 
 def record_turns(records: DataFrame) -> DataFrame:
