@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricehouse.llm import (
     chat_format, mixing, piece_encoding, quality_rules, secret_scans, simhash, substring_dedup, token_counts, url_filters, vector_search,
 )
+from pricehouse.llm import more_queries
 from pricehouse.llm.text import let_workers_import
 from pricehouse.session import materialize, new_folder
 
@@ -274,6 +275,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_vector_search": op10_vector_search,
+    **more_queries.QUERIES,
     "pipeline": pipeline,
 }
 
@@ -283,4 +285,5 @@ ORACLES = {
     "op4_substring_dedup": _OP4,
     "op7_chat_format": _OP7,
     "op8_mixing": _OP8,
+    **more_queries.ORACLES,
 }
