@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricehouse.llm import mixing, near_texts, piece_encoding, quality_rules, queries, secret_scans
+from pricehouse.llm import mixing, piece_encoding, quality_rules, queries, secret_scans, simhash
 from pricehouse.llm.text import let_workers_import
 from pricehouse.session import materialize
 
@@ -25,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row of each group of texts linked by a five-word similarity of 0.8 or more."""
+    """The first row of each group of texts whose fingerprints are linked, as in the operator's own query."""
     let_workers_import(spark)
-    return near_texts.keep_first(docs)
+    return simhash.keep_first(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
