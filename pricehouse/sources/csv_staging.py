@@ -3,13 +3,21 @@
 All files of a load are read in one job, whatever their headers. Lines are
 written once to the shared work folder together with their position; header
 lines, column order and row numbers follow from that table, so neither a huge
-file nor a folder of a million small ones is handled as a unit.
+file nor a folder of a million small ones is handled as a unit. What comes of them is
+parsed and written once.
+
+Quotes are taken as CSV readers take them: a quote opens a field only at the field's
+start, two quotes inside it are one, and what follows the closing quote up to the next
+separator belongs to the field. Anywhere else a quote is text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,89 +68,151 @@ def standardize_columns(df: DataFrame, source_file: str = "source_file") -> Data
     return df.select(*picks, *extras)
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv") -> DataFrame:
-    """Non-blank lines with file, split offset and reading position."""
+#: Unreadable files named by their own error before the rest are looked for in one pass.
+_NAMED_FAILURES = 3
+
+
+def read_lines(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv", without: Sequence[str] = ()) -> DataFrame:
+    """Non-blank lines with file, split offset, split number and reading position."""
     # The position is assigned after the filter, so it has no gaps in a split.
-    return _all_lines(spark, paths, pattern).where(F.trim("value") != "").withColumn(
+    return _all_lines(spark, paths, pattern, without).where(F.trim("value") != "").withColumn(
         "position", F.monotonically_increasing_id()
     )
 
 
-def _all_lines(spark: SparkSession, paths: Sequence[str], pattern: str) -> DataFrame:
-    return spark.read.option("pathGlobFilter", pattern).text(list(paths)).select(
+def _all_lines(spark: SparkSession, paths: Sequence[str], pattern: str, without: Sequence[str] = ()) -> DataFrame:
+    """``without``: files to leave out; Spark drops them when it lists the folder."""
+    read = spark.read.option("pathGlobFilter", pattern).text(list(paths))
+    if without:
+        read = read.where(~F.col("_metadata.file_path").isin(list(without)))
+    return read.select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
+        _split_number(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")),
     )
 
 
-def _quotes(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+def _split_number(source_file: Column, block: Column) -> Column:
+    """A long in place of path and offset, so that lines meet their split's facts by a number."""
+    return F.xxhash64(source_file, block).alias("split")
 
 
-def join_quoted_lines(lines: DataFrame) -> DataFrame:
-    """Records in place of lines, where a quoted field holds line breaks.
+def _closes(text: Column) -> Column:
+    """Whether a text inside quotes ends its quoted part."""
+    return F.contains(F.replace(text, F.lit('""'), F.lit("")), F.lit('"'))
+
+
+def ends_open(line: Column, inside: bool) -> Column:
+    """Whether a line ends inside a quoted field, if it starts inside one or not."""
+    def after(is_open: Column, part: Column) -> Column:
+        opened = part.startswith('"') & ~_closes(F.substring(part, 2, 1 << 30))
+        return F.when(is_open, ~_closes(part)).otherwise(opened)
+
+    whole = F.when(line.startswith("\ufeff"), F.substring(line, 2, 1 << 30)).otherwise(line)
+    walked = F.aggregate(F.split(whole, ","), F.lit(inside), after)
+    return F.when(F.contains(line, F.lit('"')), walked).otherwise(F.lit(inside))
 
-    ``lines`` are all lines, blank ones too, of files with such fields, with their
-    split and position. A line starts a record if the quotes before it in its file
-    are even in number: splits add up their quotes, so each is worked on by itself, and
-    a record that runs into the next split is known there by its starting line.
+
+def _odd(n: Column) -> Column:
+    return n % 2 == 1
+
+
+def _flipped(value: Column, times: Column) -> Column:
+    return value != _odd(times)
+
+
+def with_state(lines: DataFrame) -> DataFrame:
+    """Adds ``begins`` (the line starts a record), and ``closed`` (its file ends outside quotes).
+
+    A line either sets the state (inside quotes or not), keeps it or flips it. So the state at
+    a line follows from the last one that set it and the number of flips since: a running
+    sum and a last value within a split, and the same over the splits of a file.
     """
+    marked = P.compute_once(lines, {"from_out": ends_open(F.col("value"), False), "from_in": ends_open(F.col("value"), True)})
+    inside = Window.partitionBy("split").orderBy("position")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    flips = F.sum((F.col("from_out") & ~F.col("from_in")).cast("bigint")).over(upto)
+    counted = marked.withColumn("flips", flips)
+    setter = F.when(F.col("from_out") == F.col("from_in"), F.struct(F.col("from_out").alias("to"), "flips"))
+    known = counted.withColumn("setter", F.last(setter, ignorenulls=True).over(upto))
+
+    ends = known.groupBy("source_file", "block", "split").agg(F.max_by(F.struct("setter", "flips"), "position").alias("end"))
+    since = F.col("end.flips") - F.coalesce("end.setter.flips", F.lit(0))
     by_file = Window.partitionBy("source_file").orderBy("block")
-    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    counted = lines.withColumn("quotes", _quotes(F.col("value")))
-    splits = counted.groupBy("source_file", "block").agg(F.sum("quotes").alias("n")).select(
-        F.col("source_file").alias("_file"), F.col("block").alias("_block"),
-        F.coalesce(F.sum("n").over(Window.partitionBy("source_file").orderBy("block").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    upto_file = by_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.select(
+        "source_file", "block", "split", F.col("end.setter").isNotNull().alias("sets"),
+        F.coalesce(_flipped(F.col("end.setter.to"), since), F.lit(False)).alias("to"), since.alias("since"),
+    ).withColumn("file_flips", F.sum(F.when(F.col("sets"), 0).otherwise(F.col("since"))).over(upto_file))
+    last = F.last(F.when(F.col("sets"), F.struct("to", F.col("file_flips").alias("at"))), ignorenulls=True).over(upto_file)
+    state = _flipped(F.coalesce(F.col("last.to"), F.lit(False)), F.col("file_flips") - F.coalesce("last.at", F.lit(0)))
+    ends = ends.withColumn("last", last).withColumn("after", state)
+    splits = ends.select(
+        F.col("split").alias("of_split"), F.coalesce(F.lag("after").over(by_file), F.lit(False)).alias("starts_in"),
+        F.last("after").over(by_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("ends_in"),
+    )
+    joined = known.join(splits, F.col("split") == F.col("of_split"))
+    after = F.when(
+        F.col("setter").isNotNull(), _flipped(F.col("setter.to"), F.col("flips") - F.col("setter.flips"))
+    ).otherwise(_flipped(F.col("starts_in"), F.col("flips")))
+    before = F.coalesce(F.lag("after").over(inside), F.col("starts_in"))
+    return joined.withColumn("after", after).withColumn("begins", ~before).withColumn("closed", ~F.col("ends_in")).select(
+        *lines.columns, "begins", "closed"
     )
-    inside = Window.partitionBy("source_file", "block").orderBy("position")
-    upto = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    tagged = counted.join(
-        splits, (F.col("source_file") == F.col("_file")) & (F.col("block") == F.col("_block"))
-    ).withColumn("begins", (F.col("before") + upto) % 2 == 0)
+
+
+def join_quoted_lines(lines: DataFrame) -> DataFrame:
+    """Records in place of lines, where a quoted field holds line breaks.
+
+    ``lines`` are all lines, blank ones too, of files with such fields. A record that is still
+    open at its file's end falls back to its lines, so one stray quote costs no rows. A
+    record that runs into the next split is known there by its starting line.
+    """
+    inside = Window.partitionBy("split").orderBy("position")
     begun = F.struct("block", "position")
-    tagged = tagged.withColumn("own", F.last(F.when(F.col("begins"), begun), ignorenulls=True).over(
+    tagged = with_state(lines).withColumn("own", F.last(F.when(F.col("begins"), begun), ignorenulls=True).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    carried = tagged.groupBy("source_file", "block").agg(
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("source_file")
+    carried = tagged.groupBy("source_file", "block", "split").agg(
         F.max(F.when(F.col("begins"), begun)).alias("newest")
     ).select(
-        F.col("source_file").alias("c_file"), F.col("block").alias("c_block"),
-        F.last("newest", ignorenulls=True).over(earlier).alias("carried"),
+        F.col("split").alias("of_split"), F.last("newest", ignorenulls=True).over(earlier).alias("carried"),
+        F.max("newest").over(every).alias("final"),
     )
-    placed = tagged.join(
-        carried, (F.col("source_file") == F.col("c_file")) & (F.col("block") == F.col("c_block"))
-    ).withColumn("start", F.coalesce("own", "carried"))
+    placed = tagged.join(carried, F.col("split") == F.col("of_split")).withColumn("start", F.coalesce("own", "carried"))
+    # Structs of block and position are ordered as the lines of the file are.
+    placed = placed.withColumn("start", F.when(~F.col("closed") & (F.col("start") == F.col("final")), begun).otherwise(F.col("start")))
     parts = F.array_sort(F.collect_list(F.struct("block", "position", "value")))
     records = placed.groupBy("source_file", "start").agg(
         F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value")
     ).where(F.trim("value") != "")
     number = F.row_number().over(Window.partitionBy("source_file", "start.block").orderBy("start.position"))
-    return records.select("value", "source_file", F.col("start.block").alias("block"), number.cast("bigint").alias("position"))
+    return records.select(
+        "value", "source_file", F.col("start.block").alias("block"), _split_number(F.col("source_file"), F.col("start.block")),
+        number.cast("bigint").alias("position"),
+    )
 
 
 def _with_fields(df: DataFrame, line: Column, width: int, name: str) -> DataFrame:
     """Add ``name``: the fields of a CSV line as an array; the line is parsed once."""
     fields = [f"c{i}" for i in range(width)]
-    parsed = P.compute_once(df, {"_parsed": F.from_csv(line, ", ".join(f"{f} STRING" for f in fields))})
+    parsed = P.compute_once(df, {"_parsed": F.from_csv(line, ", ".join(f"{f} STRING" for f in fields), {"escape": '"'})})
     return P.compute_once(parsed, {name: F.array(*[F.col(f"_parsed.{f}") for f in fields])}).drop("_parsed")
 
 
 def stage_lines(lines: DataFrame) -> DataFrame:
     """Staged rows from a written table of lines (see :func:`read_lines`)."""
-    splits = lines.groupBy("source_file", "block").agg(
-        F.min("position").alias("first"), F.count("*").alias("lines")
+    splits = lines.groupBy("split", "source_file", "block").agg(
+        F.min("position").alias("first"), F.count("*").alias("lines"), F.min_by("value", "position").alias("value")
     )
     by_file = Window.partitionBy("source_file").orderBy("block")
-    splits = splits.withColumn("before", F.coalesce(F.sum("lines").over(
-        by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    splits = materialize(splits.withColumn("before", F.coalesce(F.sum("lines").over(
+        by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "split-starts")
 
     # The first line of the first split of a file is its header.
-    heads = splits.where("before = 0").select("source_file", "block", F.col("first").alias("position"))
-    headers = lines.join(heads, ["source_file", "block", "position"], "left_semi").select(
-        F.col("source_file").alias("header_file"), "value"
-    )
-    headers = materialize(headers, "headers")
+    headers = splits.where("before = 0").select(F.col("source_file").alias("header_file"), "value")
     width = headers.agg(F.max(F.size(F.split("value", ",")))).first()[0]
     if width is None:
         empty = ", ".join(f"{c} STRING" for c in [*S.STAGE_COLUMNS, "source_file"])
@@ -158,42 +228,87 @@ def stage_lines(lines: DataFrame) -> DataFrame:
         "header_file", *[index_of(c) for c in S.STAGE_COLUMNS]
     )
     lookup = splits.join(layout, F.col("source_file") == F.col("header_file")).select(
-        F.col("source_file").alias("_file"), F.col("block").alias("_block"), "first", "before",
+        F.col("split").alias("of_split"), F.col("source_file").alias("file"), "first", "before",
         *[f"i_{c}" for c in S.STAGE_COLUMNS],
     )
-    lookup = materialize(lookup, "splits")  # one row per split; used by every later pass
+    lookup = materialize(lookup, "splits")  # one row per split
+    numbers = lookup.agg(F.count("*").alias("rows"), F.countDistinct("of_split").alias("known")).first()
+    if numbers["rows"] != numbers["known"]:
+        raise ValueError("two splits share a number; load the files in two parts")
 
-    rows = lines.join(
-        lookup, (F.col("source_file") == F.col("_file")) & (F.col("block") == F.col("_block"))
-    ).withColumn("row_number", F.col("before") + F.col("position") - F.col("first"))
+    rows = lines.select("value", "split", "position").join(lookup, F.col("split") == F.col("of_split")).withColumn(
+        "row_number", F.col("before") + F.col("position") - F.col("first")
+    )
     cells = _with_fields(rows.where("row_number > 0"), F.col("value"), width, "cells")
     picked = P.compute_once(cells, {f"v_{c}": F.get("cells", F.col(f"i_{c}")) for c in S.STAGE_COLUMNS})
     values = {c: P.nullify_token(f"v_{c}") for c in S.STAGE_COLUMNS}
-    values["symbol"] = F.when(F.col("i_symbol").isNull(), P.symbol_from_path("source_file")).otherwise(
+    values["symbol"] = F.when(F.col("i_symbol").isNull(), P.symbol_from_path("file")).otherwise(
         values["symbol"]
     )
     return picked.select(
         *[values[c].alias(c) for c in S.STAGE_COLUMNS],
-        "source_file",
+        F.col("file").alias("source_file"),
         F.col("row_number").cast("bigint").alias("row_number"),
     )
 
 
-def stage_csv(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*.csv") -> DataFrame:
-    """CSV files as text rows with ``source_file`` and 1-based ``row_number``.
+def _failed_file(problem: Exception) -> tuple[str, str] | None:
+    """The file that could not be read, and why, from an error of Spark's."""
+    said = str(problem)
+    found = re.search(r"Encountered error while reading file (\S+?)\.?(?: SQLSTATE|\s|$)", said)
+    if not found:
+        return None
+    causes = [c for c in re.findall(r"Caused by: ([^\n]+)", said) if "FAILED_READ_FILE" not in c and "SparkException" not in c]
+    return found[1], causes[-1] if causes else "it cannot be read"
+
+
+def readable_lines(
+    spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv"
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """The written lines of all files that can be read, and (file, message) of the others.
+
+    The first few failures cost a repeated read each and bring their own message. If there
+    are more, one tolerant pass finds all files that give no line though they hold bytes.
+    """
+    bad: dict[str, str] = {}
+    while True:
+        try:
+            return materialize(read_lines(spark, paths, pattern, list(bad)), "lines"), sorted(bad.items())
+        except (PySparkException, Py4JJavaError) as problem:
+            found = _failed_file(problem)
+            if found is None or found[0] in bad:
+                raise
+            bad[found[0]] = found[1]
+        if len(bad) == _NAMED_FAILURES:
+            files = list_files(spark, paths, pattern).where("file_size_bytes > 0").select("source_file")
+            tolerant = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True).text(list(paths))
+            read = tolerant.select(F.col("_metadata.file_path").alias("read_file")).distinct()
+            silent = files.join(read, F.col("source_file") == F.col("read_file"), "left_anti")
+            for row in silent.toLocalIterator():
+                bad.setdefault(row["source_file"], "it cannot be read")
+
+
+def stage_csv(
+    spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*.csv", unreadable: list | None = None
+) -> DataFrame:
+    """CSV files as text rows with ``source_file`` and 1-based ``row_number``, written once.
 
     ``paths`` are files, folders or globs; only names matching ``pattern`` count. A file
-    without data rows gives none. Quoted fields may hold line breaks; files in which a
-    line has an odd number of quotes are put together from their lines first.
+    without data rows gives none. Quoted fields may hold line breaks; files in which a line
+    ends inside quotes are put together from their lines first. A file that cannot be read
+    is an error, or with ``unreadable`` is left out and added to that list as (file, message).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = materialize(read_lines(spark, paths, pattern), "lines")
-    broken = materialize(
-        lines.where(_quotes(F.col("value")) % 2 == 1).select("source_file").distinct(), "broken-files"
-    )
-    if broken.isEmpty():
-        return stage_lines(lines)
-    again = _all_lines(spark, paths, pattern).withColumn("position", F.monotonically_increasing_id())
-    records = join_quoted_lines(again.join(broken, "source_file", "left_semi"))
-    whole = lines.join(broken, "source_file", "left_anti").select("value", "source_file", "block", "position")
-    return stage_lines(whole.unionByName(materialize(records, "records")))
+    if unreadable is None:
+        lines, bad = materialize(read_lines(spark, paths, pattern), "lines"), []
+    else:
+        lines, bad = readable_lines(spark, paths, pattern)
+        unreadable += bad
+    opens = ends_open(F.col("value"), False)
+    broken = materialize(lines.where(opens).select("source_file").distinct(), "broken-files")
+    if not broken.isEmpty():
+        again = _all_lines(spark, paths, pattern, [f for f, _ in bad]).withColumn("position", F.monotonically_increasing_id())
+        records = join_quoted_lines(again.join(broken, "source_file", "left_semi"))
+        whole = lines.join(broken, "source_file", "left_anti")
+        lines = whole.select("value", "source_file", "block", "split", "position").unionByName(materialize(records, "records"))
+    return materialize(stage_lines(lines), "staged")

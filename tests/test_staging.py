@@ -1,5 +1,9 @@
+import hypothesis.strategies as st
+from hypothesis import HealthCheck, given, settings
+from pyspark.sql import functions as F
+
 from pricehouse.session import materialize
-from pricehouse.sources.csv_staging import list_files, read_lines, stage_csv, stage_lines, standardize_columns
+from pricehouse.sources.csv_staging import _all_lines, list_files, read_lines, stage_csv, stage_lines, standardize_columns, with_state
 
 
 def write(folder, name, text):
@@ -100,3 +104,66 @@ def test_unreadable_exchange_list_counts_as_empty(spark, tmp_path):
 
     got = read_exchange_lists(spark, {"NYSE": path, "AMEX": str(tmp_path / "absent")}).collect()
     assert [tuple(r) for r in got] == [("NYSE", "ABC")]
+
+
+def test_quotes_open_a_field_at_its_start_only(spark, tmp_path):
+    rows = [f"2024-01-{i:02d},{i},note" for i in range(1, 11)]
+    rows[2] = '2024-01-03,3,5" x'
+    write(tmp_path, "I.csv", "Date,Close,Note\n" + "\n".join(rows) + "\n")
+    rows[4] = '2024-01-05,5,"open'
+    write(tmp_path, "U.csv", "Date,Close,Note\n" + "\n".join(rows))
+    write(tmp_path, "E.csv", 'Note,Close,Date\n"a ""b, c"" d",1,2024-01-01\n"x"" ",2,2024-01-02\n""" ""\n y",3,2024-01-03\n')
+    got = rows_of(stage_csv(spark, str(tmp_path)))
+    for name in ("I.csv", "U.csv"):
+        assert [got[name, i]["date_str"] for i in range(1, 11)] == [f"2024-01-{i:02d}" for i in range(1, 11)]
+    assert [got["E.csv", i]["close_str"] for i in (1, 2, 3)] == ["1", "2", "3"] and len(got) == 23
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.lists(st.sampled_from(['"', '""', "a", ",", "\n", " "]), max_size=14), min_size=1, max_size=12), split=st.sampled_from([25, 1000]))
+def test_line_states_equal_a_walk_over_the_letters(spark, tmp_path_factory, texts, split):
+    """Every file against a plain automaton, in one split and in many."""
+    folder = tmp_path_factory.mktemp("walk")
+    wanted = {}
+    for i, parts in enumerate(texts):
+        text = "Date,Close\n" + "".join(parts) + "\nend"
+        write(folder, f"F{i}.csv", text)
+        inside, start, begins = False, True, []
+        for line in text.split("\n"):
+            begins.append(not inside)
+            start = True
+            at = 0
+            while at < len(line):
+                c = line[at]
+                if inside and c == '"' and line[at : at + 2] == '""':
+                    at += 1
+                elif inside and c == '"':
+                    inside, start = False, False
+                elif not inside and c == '"' and start:
+                    inside = True
+                elif not inside:
+                    start = c == ","
+                at += 1
+        wanted[f"F{i}.csv"] = (begins, not inside)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        lines = materialize(_all_lines(spark, [str(folder)], "*.csv").withColumn("position", F.monotonically_increasing_id()), "all")
+        got = {}
+        for r in with_state(lines).orderBy("block", "position").collect():
+            name = r["source_file"].rsplit("/", 1)[1]
+            got.setdefault(name, ([], r["closed"]))[0].append(r["begins"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == wanted
+
+
+def test_unreadable_files_are_named_and_left_out(spark, tmp_path):
+    write(tmp_path, "A.csv", "Date,Close\n2024-01-01,1\n")
+    write(tmp_path, "empty.csv", "")
+    for i in range(5):
+        (tmp_path / f"B{i}.csv.gz").write_bytes(b"\x1f\x8bnot a gzip file")
+    bad = []
+    staged = stage_csv(spark, str(tmp_path), "*.csv*", bad)
+    assert staged.count() == 1 and sorted(f.rsplit("/", 1)[1] for f, _ in bad) == [f"B{i}.csv.gz" for i in range(5)]
+    assert all(message for _, message in bad)
