@@ -8,16 +8,17 @@ the first filled one in a fixed order of its own, so short texts keep full sketc
 
 1. Bands of five registers are the join keys: a pair of the least similarity shares none
    of the 40 with a probability of 6e-11.
-2. Each band's bucket is first compared with one centre only, the node that shares most
-   buckets. What the verified links connect is not compared again, so a large group of
-   near copies costs no pairs.
-3. In buckets that still hold several components, all pairs across components are looked at
-   inside the join condition, by sizes and by two bits of each register.
-4. The Jaccard similarity of what is left is estimated from whole registers, corrected for
-   the chance that different shingles leave equal registers. Pairs far below the
-   limit (``WIDTH`` standard errors) are dropped; the others are verified on the full sets.
-
-Nothing is capped. A link can be missed by chance alone, by steps 1, 3 and 4 together in
+2. A band's bucket has one centre, the node that shares most buckets. Each node is compared
+   with the likeliest of its centres: the similarity is estimated from the registers, corrected for
+   the chance that different shingles leave equal registers, and what is not far below
+   the limit (``WIDTH`` standard errors) is verified on the full sets. So a large group of near
+   copies is mostly one component before any two of its members are compared.
+3. Where a bucket still holds several components, its nodes are known by what tells them from
+   its centre. Two sets can only be linked if they share enough of that: with the rarest
+   of it first, a short prefix of one holds a token of a prefix of the other. Only such
+   pairs across components are verified, so copies with edits of their own never meet.
+
+Nothing is capped. A link can be missed by chance alone, by steps 1 and 2 together in
 fewer than one of 100,000 pairs that lie exactly at the limit, and fewer above it.
 
 Defined cases: a text with fewer words than a shingle is one shingle; NULL, empty and
@@ -104,19 +105,12 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return keys.view("i8")
 
 
-def lanes(sketches: np.ndarray) -> np.ndarray:
-    """Two bits of each register, as eight longs a sketch."""
-    mixed = _mixed(sketches.astype("u8") * _FACTORS[20]) >> np.uint64(62)
-    bits = np.stack([mixed & np.uint64(1), mixed >> np.uint64(1)], axis=2).astype("u1")
-    return np.packbits(bits.reshape(len(sketches), -1), axis=1, bitorder="little").view("<i8")
-
-
 def _listed(matrix: np.ndarray) -> pa.ListArray:
     step, width = matrix.shape if matrix.size else (len(matrix), 0)
     return pa.ListArray.from_arrays(pa.array(np.arange(step + 1, dtype="i4") * width), pa.array(matrix.reshape(-1)))
 
 
-_NODES = "doc_id bigint, text_md5 binary, n int, set_id binary, registers binary, keys array<bigint>, lanes array<bigint>"
+_NODES = "doc_id bigint, text_md5 binary, n int, set_id binary, registers binary, keys array<bigint>"
 
 
 def _sketched(shingle: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,16 +121,16 @@ def _sketched(shingle: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
             at = np.full(len(sets), -1)
             at[some] = np.arange(len(some))
             regs = np.array([sketch(sets[i]) for i in some], "<u2").reshape(-1, REGISTERS)
-            keys, bits = _listed(band_keys(regs)), _listed(lanes(regs))
+            keys = _listed(band_keys(regs))
             place = pa.array(at, mask=at < 0)
             ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_md5"), pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(ids, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary()).take(place),
-                    keys.take(place), bits.take(place),
+                    keys.take(place),
                 ],
-                ["doc_id", "text_md5", "n", "set_id", "registers", "keys", "lanes"],
+                ["doc_id", "text_md5", "n", "set_id", "registers", "keys"],
             )
 
 
@@ -222,16 +216,19 @@ def _similar_sizes(least: int, a: str, b: str) -> Column:
     return 100 * F.least(n, m) >= least * F.greatest(n, m)
 
 
-def _alike_lanes(least: int, a: str, b: str, n: str, m: str) -> Column:
-    """Whether two bits of each register leave a similarity of ``least`` per cent possible."""
-    apart = F.lit(0)
-    for i in range(REGISTERS // 32):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        apart += F.bit_count(x.bitwiseOR(F.call_function("shiftrightunsigned", x, F.lit(1))).bitwiseAND(F.lit(0x5555555555555555)))
-    far = 0.75 * (1 - least / 100)
-    own = REGISTERS * (1 - F.exp(-F.least(n, m) / F.lit(float(REGISTERS)))) + 1
-    error = WIDTH * REGISTERS * F.sqrt(F.lit(far * (1 - far)) * (1 / own + F.lit(1 / REGISTERS)))
-    return apart <= far * REGISTERS + error
+def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, sizes of both, tokens that only one of them has)."""
+    for batch in batches:
+        rows = []
+        for a, b in zip(batch.column("a_tokens").to_pylist(), batch.column("b_tokens").to_pylist()):
+            one, other = _unpacked(a), _unpacked(b)
+            rows.append((len(one), len(other), np.setxor1d(one, other, assume_unique=True).view("i8").tolist()))
+        kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()))
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *columns], ["a", "b", "a_n", "b_n", "apart"])
+
+
+_APART = "a binary, b binary, a_n int, b_n int, apart array<bigint>"
 
 
 class _Corpus:
@@ -244,26 +241,28 @@ class _Corpus:
         self.nodes = materialize(self.keyed.mapInArrow(lambda b: _sketched(shingle, b), _NODES), "hyperminhash-nodes")
         once = self.nodes.filter("n > 0").groupBy(F.col("set_id").alias("id")).agg(
             F.min("doc_id").alias("least_id"), F.first("n").alias("n"),
-            F.first(F.struct("doc_id", "text_md5", "registers", "keys", "lanes")).alias("one"),
+            F.first(F.struct("doc_id", "text_md5", "registers", "keys")).alias("one"),
         )
         self.sets = materialize(once.select("id", "least_id", "n", "one.*"), "hyperminhash-sets")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those estimated pairs (a, b) that are links."""
-        pairs = materialize(pairs.select("a", "b"), "hyperminhash-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-        wanted = self.sets.join(ends, F.col("id") == F.col("end"), "left_semi").select(
+    def fetch(self, members: DataFrame) -> None:
+        """Writes the full sets of all nodes that share a bucket."""
+        wanted = self.sets.join(members.select(F.col("id").alias("end")).distinct(), F.col("id") == F.col("end"), "left_semi").select(
             F.coalesce("doc_id", F.lit(0)).alias("of_row"), F.col("text_md5").alias("of_text")
         )
         rows = self.keyed.select(F.coalesce("doc_id", F.lit(0)).alias("row"), "text_md5", "text")
         texts = rows.join(wanted, (F.col("text_md5") == F.col("of_text")) & (F.col("row") == F.col("of_row")), "left_semi")
-        shingle, least = self.shingle, self.least
+        shingle = self.shingle
         # The join has dealt the rows by these columns; repeated rows are one.
-        sets = materialize(
+        self.tokens = materialize(
             texts.dropDuplicates(["row", "text_md5"]).mapInArrow(lambda b: _sets(shingle, b), "id binary, tokens binary"),
             "hyperminhash-tokens",
         )
-        near = _ends(pairs, sets, ["tokens"]).mapInArrow(lambda b: _verified(least, b), "a binary, b binary")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs (a, b) that are links, by their full sets."""
+        least = self.least
+        near = _ends(pairs.select("a", "b"), self.tokens, ["tokens"]).mapInArrow(lambda b: _verified(least, b), "a binary, b binary")
         return materialize(near, "hyperminhash-links")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
@@ -272,42 +271,78 @@ class _Corpus:
         return _ends(pairs, self.sets, ["registers", "n"]).mapInArrow(lambda b: _estimated(least, b), _PAIRS)
 
     def members(self) -> DataFrame:
-        """(key, id, n, rows): the nodes of every band key that several have."""
+        """(key, id, n, centre): the nodes of every band key that several have, with the bucket's centre."""
         keys = self.sets.select(F.explode("keys").alias("key"), "id", "n")
         counts = keys.groupBy(F.col("key").alias("of_key")).agg(F.count("*").alias("rows")).filter("rows > 1")
-        joined = keys.join(counts, F.col("key") == F.col("of_key")).select("key", "id", "n", "rows")
-        return materialize(joined, "hyperminhash-buckets")
+        shared = materialize(
+            keys.join(counts, F.col("key") == F.col("of_key")).select("key", "id", "n", "rows"), "hyperminhash-buckets"
+        )
+        weight = shared.groupBy(F.col("id").alias("of_id")).agg(F.sum("rows").alias("weight"))
+        weighed = shared.join(weight, F.col("id") == F.col("of_id"))
+        centres = weighed.groupBy(F.col("key").alias("of_key")).agg(F.max(F.struct("weight", "id")).alias("centre"))
+        joined = shared.join(centres, F.col("key") == F.col("of_key"))
+        return materialize(joined.select("key", "id", "n", F.col("centre.id").alias("centre")), "hyperminhash-members")
 
     def to_centres(self, members: DataFrame) -> DataFrame:
         """Each node with the likeliest of its buckets' centres."""
-        weight = members.groupBy(F.col("id").alias("of_id")).agg(F.sum("rows").alias("weight"))
-        weighed = members.join(weight, F.col("id") == F.col("of_id"))
-        centres = weighed.groupBy(F.col("key").alias("of_key")).agg(F.max(F.struct("weight", "id", "n")).alias("centre"))
-        pairs = weighed.select("key", "id", "n").join(centres, F.col("key") == F.col("of_key")).filter(
-            (F.col("centre.id") != F.col("id")) & _similar_sizes(self.least, "n", "centre.n")
-        ).select(F.col("centre.id").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
         best = self.likely(pairs).groupBy("b").agg(F.max(F.struct("score", "a")).alias("best"))
         return best.select(F.col("best.a").alias("a"), "b")
 
-    def across(self, members: DataFrame, placed: DataFrame) -> DataFrame:
-        """Likely pairs of one bucket that lie in different components."""
-        parts = members.select("key", "id", "n").join(placed, F.col("id") == F.col("node"), "left").select(
-            "key", "id", "n", F.coalesce("component", "id").alias("part")
+    def across(self, members: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links with centres, and likely pairs, of buckets that hold several components.
+
+        With ``d`` the number of tokens that tell a node from its centre and ``r`` the share of
+        both sizes that linked sets may differ in, two nodes with ``d1 >= d2`` share at least
+        ``(d1 + d2 - r * (n1 + n2)) / 2`` of those tokens. The bounds of ``t`` below are the least of
+        that over all partners a node can have.
+        """
+        share = (100 - self.least) / (100 + self.least)
+        parts = members.select("key", "id", "centre").join(placed, F.col("id") == F.col("node"), "left").select(
+            "key", "id", "centre", F.coalesce("component", "id").alias("part")
         )
         several = parts.groupBy(F.col("key").alias("of_key")).agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-        opened = parts.join(several, F.col("key") == F.col("of_key"), "left_semi")
-        bits = self.sets.select(F.col("id").alias("of_id"), "lanes")
-        opened = materialize(opened.join(bits, F.col("id") == F.col("of_id")).drop("of_id"), "hyperminhash-open")
-        left, right = (opened.select(*[F.col(c).alias(f"{s}_{c}") for c in opened.columns]) for s in "lr")
-        near = (
-            (F.col("l_key") == F.col("r_key"))
-            & (F.col("l_id") < F.col("r_id"))
-            & (F.col("l_part") != F.col("r_part"))
-            & _similar_sizes(self.least, "l_n", "r_n")
-            & _alike_lanes(self.least, "l_lanes", "r_lanes", "l_n", "r_n")
+        opened = parts.join(several, F.col("key") == F.col("of_key"), "left_semi").filter("id <> centre")
+        opened = materialize(opened.select(F.col("centre").alias("a"), F.col("id").alias("b"), "part").distinct(), "hyperminhash-open")
+        apart = _ends(opened.select("a", "b"), self.tokens, ["tokens"]).mapInArrow(_differences, _APART)
+        apart = materialize(apart.withColumn("d", F.size("apart")), "hyperminhash-apart")
+        linked = F.col("d") <= share * (F.col("a_n") + F.col("b_n")) + 1e-6
+        stars = materialize(apart.filter(linked).select("a", "b"), "hyperminhash-stars")
+
+        exploded = apart.select("a", "b", F.explode("apart").alias("token"))
+        often = exploded.groupBy(F.col("a").alias("of_a"), F.col("token").alias("of_token")).agg(F.count("*").alias("times"))
+        shared = exploded.join(often.filter("times > 1"), (F.col("a") == F.col("of_a")) & (F.col("token") == F.col("of_token")))
+        # Tokens of one node only come first in the order; they meet nobody, so their number is enough.
+        listed = shared.groupBy(F.col("a").alias("of_a"), F.col("b").alias("of_b")).agg(
+            F.array_sort(F.collect_list(F.struct("times", "token"))).alias("common")
+        )
+        most = F.floor(share * (F.col("b_n") * (1 + 100 / self.least)) + 1e-6)
+        as_larger = F.greatest(F.lit(1), F.col("d") - most)
+        as_smaller = F.greatest(F.lit(1), F.when(
+            linked, F.floor((F.col("d") + share * (F.col("a_n") - F.col("b_n"))) / 2 - 1e-6) + 1
+        ).otherwise(F.ceil(F.col("d") - most / 2)))
+        alone = F.col("d") - F.size("common")
+        prefixes = apart.join(listed, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b"))).select(
+            "a", "b", "b_n", "d", "common",
+            *[F.greatest(F.lit(0), F.col("d") - t + 1 - alone).cast("int").alias(name) for t, name in ((as_larger, "long"), (as_smaller, "short"))],
+        )
+        prefixes = prefixes.join(opened.select(F.col("a").alias("of_a"), F.col("b").alias("of_b"), "part"), (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")))
+        prefixes = materialize(prefixes.drop("of_a", "of_b"), "hyperminhash-prefixes")
+        sides = [
+            prefixes.filter(F.col(length) > 0).select(
+                *[F.col(c).alias(f"{side}_{c}") for c in ("a", "b", "b_n", "d", "part")],
+                F.explode(F.slice("common", F.lit(1), F.col(length))).alias(f"{side}_t"),
+            ).withColumn(f"{side}_token", F.col(f"{side}_t.token")).drop(f"{side}_t")
+            for side, length in (("l", "long"), ("s", "short"))
+        ]
+        met = (
+            (F.col("l_a") == F.col("s_a")) & (F.col("l_token") == F.col("s_token")) & (F.col("l_part") != F.col("s_part"))
+            & ((F.col("l_d") > F.col("s_d")) | (F.col("l_d") == F.col("s_d")) & (F.col("l_b") > F.col("s_b")))
+            & (F.col("l_d") - F.col("s_d") <= share * (F.col("l_b_n") + F.col("s_b_n")) + 1e-6)
+            & _similar_sizes(self.least, "l_b_n", "s_b_n")
         )
-        pairs = left.join(right, near).select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct()
-        return self.likely(pairs)
+        pairs = sides[0].join(sides[1], met).select(F.col("l_b").alias("a"), F.col("s_b").alias("b")).distinct()
+        return stars, self.likely(pairs)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -317,9 +352,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST)
     """
     corpus = _Corpus(docs, shingle, least)
     members = corpus.members()
-    stars = corpus.links(corpus.to_centres(members))
-    others = corpus.links(corpus.across(members, components(stars, "a", "b")))
-    placed = components(stars.unionByName(others), "a", "b")
+    corpus.fetch(members)
+    first = corpus.links(corpus.to_centres(members))
+    stars, others = corpus.across(members, components(first, "a", "b"))
+    placed = components(first.unionByName(stars).unionByName(corpus.links(others)), "a", "b")
     named = corpus.sets.select("id", "least_id").join(placed, F.col("id") == F.col("node"), "left").select(
         "id", "least_id", F.coalesce("component", "id").alias("component")
     )
