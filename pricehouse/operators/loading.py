@@ -39,6 +39,16 @@ def prepare_prices(stage: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.where("not accepted").select(*stage.columns)
 
 
+def rejected_rows(stage: DataFrame) -> DataFrame:
+    """Staged rows that are not accepted, with the first reason."""
+    reason = (
+        F.when(F.col("symbol").isNull(), F.lit("no symbol"))
+        .when(F.col("price_date").isNull(), F.lit("no ISO date"))
+        .otherwise(F.lit("prices missing or against the OHLC rule"))
+    )
+    return parse_prices(stage).where("not accepted").select(*stage.columns, reason.alias("reason"))
+
+
 # --- dimensions -----------------------------------------------------------------
 
 
@@ -121,9 +131,9 @@ def upsert_prices(raw: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def make_batches(
-    batch_meta: DataFrame, files: DataFrame, source_id: int, stamp: Column | None = None
+    batch_meta: DataFrame, files: DataFrame, source_id: int, stamp: Column | None = None, first: int | None = None
 ) -> DataFrame:
-    """New RUNNING batch rows, one per scored file, numbered on from the table.
+    """New RUNNING batch rows, one per scored file, numbered from ``first`` or on from the table.
 
     ``files`` gives source_file, file_size_bytes, row_count and quality_score.
     """
@@ -141,9 +151,37 @@ def make_batches(
         F.lit(None).cast("string").alias("error_message"),
         F.col("quality_score").cast("decimal(5,2)").alias("quality_score"),
     )
+    if first is not None:
+        numbered = number_rows(rows, ["file_path"], "batch_id", first - 1)
+        return numbered.withColumn("batch_id", F.col("batch_id").cast("int")).select(*batch_meta.columns)
     return add_with_ids(batch_meta, rows, "batch_id", ["file_path"]).select(*batch_meta.columns)
 
 
+def batch_events(results: DataFrame, now: Column | None = None) -> DataFrame:
+    """Events that end batches: ``results`` gives batch_id, status, error_message and row_count."""
+    stamp = now if now is not None else F.current_timestamp()
+    return results.select(
+        "batch_id", "status", "error_message", F.col("row_count").cast("int").alias("row_count"),
+        stamp.alias("end_time"), F.lit(1).alias("event"),
+    )
+
+
+def current_batches(log: DataFrame) -> DataFrame:
+    """One row per batch from its events: the last state, and of other columns the last given value.
+
+    The latest event is that with the highest number and, among those, the latest end. An
+    aggregate that combines before the shuffle; a batch has two or three events.
+    """
+    order = F.struct("event", "end_time")
+    state = ["status", "end_time", "error_message"]
+    others = [c for c in log.columns if c not in ("batch_id", "event", *state)]
+    reduced = log.groupBy("batch_id").agg(
+        F.max_by(F.struct(*state), order).alias("_state"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in others],
+    )
+    return reduced.withColumns({c: F.col(f"_state.{c}") for c in state}).select(*[c for c in log.columns if c != "event"])
+
+
 def finish_batches(batch_meta: DataFrame, results: DataFrame, now: Column | None = None) -> DataFrame:
     """Set status, end time and error of the batches in ``results``.
 

@@ -23,13 +23,31 @@ KEY = ["symbol", "date_str"]
 CHUNK_ROWS = 1_000_000
 
 
+#: What the schema check says of rows that are not there.
+NO_ROWS = "DataFrame is empty"
+
+
+def missing_columns(columns: Sequence[str]) -> str | None:
+    """What the schema check says of required staging columns that are not there."""
+    missing = [c for c in S.REQUIRED_STAGE_COLUMNS if c not in columns]
+    return f"Missing required columns: {missing}" if missing else None
+
+
 def validate_schema(df: DataFrame) -> None:
     """Raise when a required staging column is missing or there is no row."""
-    missing = [c for c in S.REQUIRED_STAGE_COLUMNS if c not in df.columns]
+    problem = missing_columns(df.columns) or (NO_ROWS if df.isEmpty() else None)
+    if problem:
+        raise ValueError(problem)
+
+
+def schema_errors(df: DataFrame, groups: DataFrame, by: str = "source_file") -> DataFrame:
+    """The schema check of each of ``groups`` (a column ``by``): ``schema_error``, NULL where it holds."""
+    missing = missing_columns(df.columns)
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
-    if df.isEmpty():
-        raise ValueError("DataFrame is empty")
+        return groups.select(by).distinct().withColumn("schema_error", F.lit(missing))
+    held = df.groupBy(F.col(by).alias("_held")).agg(F.count("*").alias("_rows"))
+    joined = groups.select(by).distinct().join(held, F.col(by) == F.col("_held"), "left")
+    return joined.select(by, F.when(F.col("_rows").isNull(), F.lit(NO_ROWS)).alias("schema_error"))
 
 
 def detect_duplicates(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -185,8 +203,12 @@ def price_findings(stage: DataFrame) -> DataFrame:
     return plain.unionByName(moves)
 
 
-def quality_report(stage: DataFrame, by: str = "source_file") -> DataFrame:
-    """One report row per file: scores, counts, findings and missing cells."""
+def quality_report(stage: DataFrame, by: str = "source_file", files: DataFrame | None = None) -> DataFrame:
+    """One report row per file: scores, counts, findings, missing cells and the schema check.
+
+    ``files`` (a column ``by``) names files that may have no row; these have a report too, with
+    all scores and counts 0 and ``schema_valid`` false.
+    """
     columns = [c for c in stage.columns if c not in (by, "row_number")]
     extra = [
         F.sum("_negative").alias("_negative"),
@@ -212,12 +234,20 @@ def quality_report(stage: DataFrame, by: str = "source_file") -> DataFrame:
         *null_counts,
     )
     moves = extreme_moves(stage).groupBy(by).agg(F.count("*").alias("extreme_values"))
+    if files is not None:
+        named = files.select(F.col(by).alias("_file")).distinct()
+        summed = named.join(summed, F.col("_file") == F.col(by), "full").withColumn(by, F.coalesce(by, "_file")).drop("_file")
+        # What has no row counts nothing, but the first and last date stay unknown.
+        summed = summed.fillna(0).withColumn("column_count", F.lit(len(stage.columns)))
+    missing = missing_columns(stage.columns)
+    error = F.lit(missing) if missing else F.when(F.col("row_count") == 0, F.lit(NO_ROWS))
     return (
         summed.join(moves, by, "left")
         .withColumn("extreme_values", F.coalesce("extreme_values", F.lit(0)))
         .withColumn("quality_score", _total())
-        .withColumn("schema_valid", F.lit(all(c in stage.columns for c in S.REQUIRED_STAGE_COLUMNS)))
-        .withColumn("duplicate_percentage", F.col("duplicate_count") / F.col("row_count") * 100)
+        .withColumn("schema_error", error.cast("string"))
+        .withColumn("schema_valid", F.col("schema_error").isNull())
+        .withColumn("duplicate_percentage", F.coalesce(F.try_divide(F.col("duplicate_count") * 100.0, F.col("row_count")), F.lit(0.0)))
     )
 
 

@@ -30,6 +30,17 @@ def current_prices(price_raw: DataFrame) -> DataFrame:
     )
 
 
+def live_prices(base: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Live bars of a base with one bar a key, and of later loads.
+
+    Only the later bars are ranked; the base loses the keys they bring. When they are few,
+    Spark broadcasts their keys and the base is not shuffled.
+    """
+    newest = current_prices(deltas).select(*base.columns)
+    replaced = newest.select(*S.PRICE_KEY)
+    return base.join(replaced, S.PRICE_KEY, "left_anti").select(*newest.columns).unionByName(newest)
+
+
 def build_gold(
     price_raw: DataFrame, asset: DataFrame, data_source: DataFrame, batch_meta: DataFrame
 ) -> DataFrame:

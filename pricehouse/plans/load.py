@@ -20,10 +20,21 @@ from pricehouse.sources.csv_staging import list_files, stage_csv
 RESULT_COLUMNS = ["source_file", "symbol", "outcome", "message", "records_loaded", "quality_score"]
 
 
-def validate_only(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """Quality report per file with ``passed``; nothing is loaded."""
-    report = Q.quality_report(stage_csv(spark, paths))
-    return report.withColumn("passed", F.col("quality_score") >= S.MIN_QUALITY_SCORE)
+def validate_only(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*.csv") -> DataFrame:
+    """Quality report per file with ``passed``; nothing is loaded.
+
+    A file without rows, or one that cannot be read, has a row with score 0, ``schema_valid``
+    false and ``schema_error``.
+    """
+    unreadable: list[tuple[str, str]] = []
+    stage = stage_csv(spark, paths, pattern, unreadable)
+    files = list_files(spark, paths, pattern).select("source_file")
+    report = Q.quality_report(stage, files=files)
+    bad = spark.createDataFrame(unreadable, "bad_file STRING, message STRING")
+    report = report.join(bad, F.col("source_file") == F.col("bad_file"), "left").withColumn(
+        "schema_error", F.coalesce("message", "schema_error")
+    ).drop("bad_file", "message")
+    return report.withColumn("passed", F.col("schema_valid") & (F.col("quality_score") >= S.MIN_QUALITY_SCORE))
 
 
 def load(
@@ -47,16 +58,20 @@ def load(
     ``symbol`` is a fixed ticker, an expression over ``source_file``, or None to
     take it from the rows. Rows of one file may then carry several symbols only
     with ``several_symbols="rows"``; by default such a file fails. Files scoring
-    under ``min_score`` fail, rows that do not parse are left out. A batch turns
+    under ``min_score`` fail, rows that do not parse go to the quarantine table. A file
+    that cannot be read fails alone, with a FAILED batch of its own. A batch turns
     SUCCESS after its rows are written, and only then do its rows reach gold, so
     a run that dies halfway leaves nothing visible.
+
+    The run has a number of its own, which names its folders in the raw table, and takes its
+    batch ids from a sequence, so runs at one time do not meet.
     """
     spark = store.spark
-    moment = now or datetime.now(timezone.utc)
-    stamp = F.lit(moment)
-    sequence = int(moment.timestamp() * 1_000_000)
+    stamp = F.lit(now or datetime.now(timezone.utc))
     files = list_files(spark, paths, pattern).select("source_file", "file_size_bytes")
-    stage = stage_csv(spark, paths, pattern)
+    unreadable: list[tuple[str, str]] = []
+    stage = stage_csv(spark, paths, pattern, unreadable)
+    bad = spark.createDataFrame(unreadable, "bad_file STRING, problem STRING")
 
     scores = Q.score_files(stage)
     if isinstance(symbol, str):
@@ -68,14 +83,15 @@ def load(
     own_rows = symbol is None and several_symbols == "rows"
     several = (F.col("symbol_count") > 1) if symbol is None and not own_rows else F.lit(False)
     message = (
-        F.when(F.col("quality_score").isNull(), F.lit("the file has no rows"))
+        F.when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(F.col("quality_score").isNull(), F.lit("the file has no rows"))
         .when(F.col("quality_score") < min_score, F.lit("its quality score is too low"))
         .when(several, F.lit("it holds several symbols"))
         .when(chosen.isNull(), F.lit("it names no symbol"))
     )
-    judged = files.join(scores, "source_file", "left").select(
+    judged = files.join(scores, "source_file", "left").join(bad, F.col("source_file") == F.col("bad_file"), "left").select(
         "source_file", "file_size_bytes", "row_count", "quality_score",
-        chosen.alias("symbol"), message.alias("message"),
+        chosen.alias("symbol"), message.alias("message"), F.col("problem").isNotNull().alias("unreadable"),
     )
     judged = materialize(judged, "judged")
     accepted = judged.where("message is null")
@@ -88,29 +104,35 @@ def load(
 
     kind = F.lit(asset_type) if isinstance(asset_type, str) else asset_type
     sid = source_id(store.read("data_source"), source)
+    sequence = store.reserve("load", 1)
     rows = stage.join(accepted.select("source_file", F.col("symbol").alias("_symbol")), "source_file")
     rows = rows.withColumn("symbol", F.col("symbol") if own_rows else F.col("_symbol")).drop("_symbol")
-    good, _ = L.prepare_prices(rows)
+    good, rejected = L.prepare_prices(rows)
     # The symbols are few and used several times.
     symbols = materialize(good.select("symbol").distinct(), "symbols") if own_rows else accepted.select("symbol").distinct()
     wanted = symbols.select(
         "symbol", kind.alias("asset_type"), F.lit(exchange).alias("exchange"),
         F.lit(company_name).alias("company_name"), F.lit(sector).alias("sector"),
     )
-    base = store.version("asset")
-    before = store.read("asset")
-    # Gold repeats these columns, so a known asset that gets new ones touches all its years.
-    described = ["symbol", "asset_type", "currency", "exchange", "company_name", "is_active"]
-    store.write("asset", L.upsert_assets(before, wanted, stamp), base)
-    kept = before.select("asset_id", *described).exceptAll(store.read("asset").select("asset_id", *described))
-    renamed = not kept.isEmpty()
+    renamed = _upsert_assets(store, wanted, stamp, any(x is not None for x in (exchange, company_name, sector)))
 
-    base = store.version("batch_meta")
-    held = store.read("batch_meta")
+    registered = judged.where("message is null or unreadable").select(
+        "source_file", "file_size_bytes", "row_count", "quality_score"
+    )
+    count = registered.count()
+    known = store.read("batch_meta")
+    first = store.reserve("batch", count, 1 + (known.agg(F.max("batch_id")).first()[0] or 0)) if count else 1
     # Written first: ids are then fixed facts, and name the batches of this run.
-    new = materialize(L.make_batches(held, accepted, sid, stamp), "new-batches")
-    store.write("batch_meta", held.unionByName(new), base)
-    running = new.select("batch_id", F.col("file_path").alias("source_file"))
+    new = materialize(L.make_batches(known.limit(0), registered, sid, stamp, first), "new-batches")
+    store.log_batches(new.withColumn("event", F.lit(0)))
+    named = new.select("batch_id", F.col("file_path").alias("source_file"))
+    nothing = F.lit(None).cast("bigint").alias("row_count")
+    if unreadable:
+        lost = named.join(bad, F.col("source_file") == F.col("bad_file"))
+        store.log_batches(L.batch_events(
+            lost.select("batch_id", F.lit("FAILED").alias("status"), F.col("problem").alias("error_message"), nothing), stamp
+        ))
+    running = named.join(bad, F.col("source_file") == F.col("bad_file"), "left_anti")
 
     assets = store.read("asset").select("asset_id", "symbol", "asset_type")
     bars = (
@@ -121,7 +143,7 @@ def load(
             "source_id": F.lit(sid).cast("int"),
             "granularity": F.lit("DAILY"),
             "created_at": stamp,
-            "load_seq": F.lit(sequence),
+            "load_seq": F.lit(sequence).cast("bigint"),
         })
         .withColumn("price_id", L.price_id())
     )
@@ -130,28 +152,27 @@ def load(
         store.append_raw(bars.select(*raw_columns))
     except Exception as problem:
         failed = running.select(
-            "batch_id", F.lit("FAILED").alias("status"), F.lit(str(problem)).alias("error_message"),
-            F.lit(None).cast("bigint").alias("row_count"),
+            "batch_id", F.lit("FAILED").alias("status"), F.lit(str(problem)).alias("error_message"), nothing
         )
-        _finish(store, failed, stamp)
+        store.log_batches(L.batch_events(failed, stamp))
         raise
 
     # A load has folders of its own in the raw table; no other is opened.
     written = store.read("price_raw").where(F.col("load_seq") == sequence)
     loaded = written.groupBy("batch_id").agg(F.count("*").alias("n"))
-    results = running.join(loaded, "batch_id", "left").select(
+    results = materialize(running.join(loaded, "batch_id", "left").select(
         "batch_id", "source_file", F.lit("SUCCESS").alias("status"),
         F.lit(None).cast("string").alias("error_message"),
         F.coalesce("n", F.lit(0)).alias("row_count"),
-    )
-    _finish(store, results, stamp)
+    ), "loaded-batches")
+    store.log_batches(L.batch_events(results, stamp))
+    _quarantine(store, sequence, rows, accepted, results, bad if unreadable else None)
     if refresh:
         touched = [r[0] for r in written.select(F.year("price_date")).distinct().collect()]
         store.refresh_gold(None if renamed or not store.gold_years() else touched)
 
-    counts = store.read("batch_meta").join(running.select("batch_id"), "batch_id", "left_semi")
-    done = counts.select(F.col("file_path").alias("source_file"), F.col("row_count").cast("bigint").alias("_n"))
-    outcome = judged.join(done, "source_file", "left").select(
+    done = results.select(F.col("source_file").alias("done_file"), F.col("row_count").alias("_n"))
+    outcome = judged.join(done, F.col("source_file") == F.col("done_file"), "left").select(
         "source_file", "symbol",
         F.when(F.col("message").isNull(), F.lit("loaded")).otherwise(F.lit("failed")).alias("outcome"),
         F.coalesce("message", F.lit("loaded")).alias("message"),
@@ -161,16 +182,45 @@ def load(
     return materialize(outcome, "results")
 
 
-def _finish(store: Store, results: DataFrame, stamp: Column, tries: int = 5) -> None:
-    """Set the final state of a run's batches; only those rows change, so a lost race is run again."""
+def _upsert_assets(store: Store, wanted: DataFrame, stamp: Column, describes: bool, tries: int = 5) -> bool:
+    """Add unknown assets, fill in descriptions; whether gold's columns of a stored asset changed.
+
+    If another run has written the assets since they were read, they are read again. A run
+    that brings nothing new writes nothing.
+    """
+    # Gold repeats these columns, so a known asset that gets new ones touches all its years.
+    described = ["symbol", "asset_type", "currency", "exchange", "company_name", "is_active"]
+    key = ["symbol", "asset_type"]
     for left in range(tries, 0, -1):
-        base = store.version("batch_meta")
+        base = store.version("asset")
+        before = store.read("asset")
+        if not describes and wanted.join(before.select(*key), key, "left_anti").isEmpty():
+            return False
         try:
-            store.write("batch_meta", L.finish_batches(store.read("batch_meta"), results, stamp), base)
-            return
+            store.write("asset", L.upsert_assets(before, wanted, stamp), base)
         except MovedOn:
             if left == 1:
                 raise
+            continue
+        kept = before.select("asset_id", *described).exceptAll(store.read("asset").select("asset_id", *described))
+        return describes and not kept.isEmpty()
+    return False
+
+
+def _quarantine(
+    store: Store, sequence: int, rows: DataFrame, accepted: DataFrame, results: DataFrame, bad: DataFrame | None
+) -> None:
+    """Keep what the run left out: records of accepted files that do not parse, unreadable files."""
+    staged = accepted.agg(F.sum("row_count")).first()[0] or 0
+    loaded = results.agg(F.sum("row_count")).first()[0] or 0
+    parts = []
+    if staged != loaded:
+        parts.append(L.rejected_rows(rows))
+    if bad is not None:
+        parts.append(bad.select(F.col("bad_file").alias("source_file"), F.col("problem").alias("reason")))
+    for part in parts:
+        missing = {c: F.lit(None).cast(t) for c, t in store.read("quarantine").dtypes if c not in part.columns}
+        store.quarantine(part.withColumns({**missing, "load_seq": F.lit(sequence).cast("bigint")}))
 
 
 def symbols_held(store: Store, source: str) -> DataFrame:
@@ -190,6 +240,7 @@ def bulk_load(
     loaded: DataFrame | None = None,
     asset_type: str | Column = "STOCK",
     symbol: Column | None = None,
+    pattern: str = "*.csv",
     **options,
 ) -> DataFrame:
     """Load a folder of one-ticker files named after their ticker.
@@ -201,7 +252,7 @@ def bulk_load(
     """
     spark = store.spark
     ticker = symbol if symbol is not None else P.symbol_from_stem("source_file", strip_usd)
-    files = list_files(spark, folder).withColumn("symbol", ticker)
+    files = list_files(spark, folder, pattern).withColumn("symbol", ticker)
     if only is not None:
         files = L.only_listed(files, only)
     if skip_existing:
@@ -219,7 +270,7 @@ def bulk_load(
     skipped = materialize(skipped, "skipped")
     if not paths:
         return skipped
-    results = load(store, paths, source, symbol=ticker, asset_type=asset_type, **options)
+    results = load(store, paths, source, symbol=ticker, asset_type=asset_type, pattern=pattern, **options)
     return results.select(*RESULT_COLUMNS).unionByName(skipped)
 
 

@@ -1,24 +1,32 @@
 """Warehouse tables on shared storage.
 
-Replaceable tables (dimensions, gold, marts) are published as snapshots: the
-rows go to a folder of their own and a one-row pointer naming it is appended
-last, so readers always see a complete version. A price table may replace some years
-only; its pointer names the folder of each year. The raw price table only grows.
+Replaceable tables (dimensions, gold, marts) are published as snapshots: the rows go to
+a folder of their own, and a numbered commit file that names it makes it the current
+version (see :mod:`pricehouse.plans.commits`), so readers always see a complete version and a
+writer that read an older one is refused. A price table may replace some years only; its
+commit names the folder of each year.
+
+Raw bars only grow: each load appends folders of its own. Compaction folds finished loads
+into a base table, one bar a key; the live bars are the base and the loads it has not folded.
+Batches are a log of events, so a load writes its own rows and none of earlier ones.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from pricehouse import schemas as S
-from pricehouse.plans.gold import build_gold, current_prices
+from pricehouse.operators import loading as L
+from pricehouse.plans.commits import Commits, reserve
+from pricehouse.plans.gold import build_gold, current_prices, live_prices
 
 SCHEMAS = {
     "asset": S.ASSET,
@@ -43,52 +51,63 @@ class MovedOn(RuntimeError):
     """Another writer published a table after it was read."""
 
 
-_POINTER = "folder STRING, created_at TIMESTAMP, years ARRAY<STRUCT<price_year: INT, folder: STRING>>, columns STRING"
-
-
 def publish(
     spark: SparkSession,
     path: str,
     rows: DataFrame,
     about_bytes: int | None = None,
     years: Sequence[int] | None = None,
-    base: str | None = None,
-) -> str:
-    """Write ``rows`` as the new version of the table at ``path``.
+    base: int | None = None,
+    facts: dict | None = None,
+    exclusive: bool = False,
+) -> int:
+    """Write ``rows`` as the new version of the table at ``path``; returns its number.
 
-    Price tables are split by year and clustered by symbol and date, so a ticker or
+    Price tables are split by year and clustered by symbol (or asset) and date, so a ticker or
     date predicate skips most files and row groups. With ``about_bytes``, their
     size when stored, ranges are cut to that size; otherwise Spark evens out the
     partitions by what it measures. With ``years``, ``rows`` replace those years and
-    the new version takes the folders of all others from the one before. With
-    ``base``, the folder of the version that was read, publishing over another
-    version raises :class:`MovedOn`.
+    the new version takes the folders of all others from the one before. ``facts`` are kept
+    with the version.
+
+    With ``base``, the number of the version that was read, :class:`MovedOn` is raised if another
+    version was published since; if ``years`` are replaced, only if it replaced one of them, or
+    with ``exclusive``.
     """
+    commits = Commits(spark, path)
+    seen = commits.latest() if base is None else base
     created = datetime.now(timezone.utc)
-    version = f"version={created:%Y%m%dT%H%M%S%f}"
-    folder = f"{path}/versions/{version}"
-    parts: list[tuple[int, str]] = []
-    if {"price_date", "symbol"} <= set(rows.columns):
-        order = ["price_year", "symbol", "price_date"]
+    folder = f"{path}/versions/version={created:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    mine: dict[str, str] = {}
+    if "price_date" in rows.columns and {"symbol", "asset_id"} & set(rows.columns):
+        order = ["price_year", "symbol" if "symbol" in rows.columns else "asset_id", "price_date"]
         typed = rows.withColumn("price_year", F.year("price_date"))
         if about_bytes is None:
-            dealt = typed.hint("rebalance", "price_year", "symbol")
+            dealt = typed.hint("rebalance", *order[:2])
         else:
             dealt = typed.repartitionByRange(1 + about_bytes // TASK_BYTES, *order)
         dealt.sortWithinPartitions(*order).write.partitionBy("price_year").parquet(folder)
         columns = typed.schema.json()
-        parts = [(int(name.split("=")[1]), f"{folder}/{name}") for name in _folders(spark, folder)]
-        if years is not None:
-            old = _pointer(spark, path)
-            parts += [(y["price_year"], y["folder"]) for y in (old["years"] if old else []) if y["price_year"] not in years]
+        mine = {name.split("=")[1]: f"{folder}/{name}" for name in _folders(spark, folder)}
     else:
         rows.hint("rebalance").write.parquet(folder)  # few files of even size
         columns = rows.schema.json()
-    if base is not None and (current_version(spark, path) or "") != base:
-        raise MovedOn(f"{path} has a newer version than the one that was read")
-    pointer = spark.createDataFrame([(folder, created, parts, columns)], _POINTER)
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointer")
-    return folder
+    before, number = commits.read(seen), seen
+    while True:
+        now = commits.read(number)
+        parts = mine
+        if years is not None:
+            own = {str(y) for y in years}
+            held, was = [(c or {}).get("years", {}) for c in (now, before)]
+            if any(held.get(y) != was.get(y) for y in own):
+                raise MovedOn(f"{path}: years that were to be replaced have newer versions")
+            parts = {**{y: f for y, f in held.items() if y not in own}, **mine}
+        content = {"folder": folder, "created_at": created.isoformat(), "years": parts, "columns": columns, "facts": facts or {}}
+        if commits.add(number + 1, content):
+            return number + 1
+        if base is not None and (years is None or exclusive):
+            raise MovedOn(f"{path} has a newer version than the one that was read")
+        number = commits.latest()
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
@@ -103,29 +122,23 @@ def not_written(problem: AnalysisException) -> bool:
     return problem.getCondition() == "PATH_NOT_FOUND"
 
 
-def _pointer(spark: SparkSession, path: str) -> Row | None:
-    try:
-        pointers = spark.read.schema(_POINTER).parquet(f"{path}/pointer")
-    except AnalysisException as problem:
-        if not not_written(problem):
-            raise
-        return None
-    return pointers.agg(F.max_by(F.struct(*pointers.columns), F.struct("created_at", "folder"))).first()[0]
+def current_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest published version, 0 when there is none."""
+    return Commits(spark, path).latest()
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest published version, None when there is none."""
-    pointer = _pointer(spark, path)
-    return pointer["folder"] if pointer else None
+def _pointer(spark: SparkSession, path: str) -> dict | None:
+    commits = Commits(spark, path)
+    return commits.read(commits.latest())
 
 
-def _read(spark: SparkSession, path: str, pointer: Row) -> DataFrame:
+def _read(spark: SparkSession, path: str, pointer: dict) -> DataFrame:
     schema = StructType.fromJson(json.loads(pointer["columns"]))
     if "price_year" not in schema.fieldNames():
         return spark.read.schema(schema).parquet(pointer["folder"])
     if not pointer["years"]:
         return spark.createDataFrame([], schema)
-    folders = [y["folder"] for y in pointer["years"]]
+    folders = list(pointer["years"].values())
     return spark.read.schema(schema).option("basePath", f"{path}/versions").parquet(*folders)
 
 
@@ -169,6 +182,10 @@ class Store:
         """
         if name == "price_raw":
             return self._raw().drop("price_year")
+        if name == "batch_meta":
+            return self._batches()
+        if name == "quarantine":
+            return self._appended("quarantine", StructType.fromDDL(S.QUARANTINE))
         pointer = _pointer(self.spark, self.path(name))
         if pointer is None and name in SCHEMAS:
             return self.spark.createDataFrame([], SCHEMAS[name])
@@ -176,22 +193,46 @@ class Store:
             raise ValueError(f"no table {name} under {self.root}")
         return _read(self.spark, self.path(name), pointer)
 
-    def _raw(self) -> DataFrame:
-        schema = StructType.fromDDL(S.PRICE_RAW).add("price_year", IntegerType())
+    def _appended(self, name: str, schema: StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(self.path("price_raw"))
+            return self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as problem:
             if not not_written(problem):
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def version(self, name: str) -> str:
-        """What :meth:`write` takes as ``base``: the version to be read now, "" before the first."""
-        return current_version(self.spark, self.path(name)) or ""
-
-    def write(self, name: str, rows: DataFrame, base: str | None = None) -> None:
+    def _raw(self) -> DataFrame:
+        return self._appended("price_raw", StructType.fromDDL(S.PRICE_RAW).add("price_year", IntegerType()))
+
+    def _batches(self) -> DataFrame:
+        """Batches as the published table and the log of later events have them."""
+        log = self._appended("batch_log", StructType.fromDDL(S.BATCH_LOG))
+        pointer = _pointer(self.spark, self.path("batch_meta"))
+        if pointer is not None:
+            held = _read(self.spark, self.path("batch_meta"), pointer)
+            log = log.unionByName(held.withColumn("event", F.lit(-1)), allowMissingColumns=True)
+        return L.current_batches(log)
+
+    def version(self, name: str) -> int:
+        """What :meth:`write` takes as ``base``: the version to be read now, 0 before the first."""
+        return current_version(self.spark, self.path(name))
+
+    def write(self, name: str, rows: DataFrame, base: int | None = None) -> None:
         publish(self.spark, self.path(name), rows, base=base)
 
+    def reserve(self, name: str, count: int, first: int = 1) -> int:
+        """The first of ``count`` numbers of a sequence that no other run gets."""
+        return reserve(self.spark, self.path(f"numbers/{name}"), count, first)
+
+    def log_batches(self, events: DataFrame) -> None:
+        """Add batch events (see ``operators.loading.batch_events``); no earlier row is rewritten."""
+        columns = [f.name for f in StructType.fromDDL(S.BATCH_LOG) if f.name in events.columns]
+        events.select(*columns).hint("coalesce", 1).write.mode("append").parquet(self.path("batch_log"))
+
+    def quarantine(self, rows: DataFrame) -> None:
+        """Add records and files that were not loaded, with the reason."""
+        rows.select(*[f.name for f in StructType.fromDDL(S.QUARANTINE)]).write.mode("append").parquet(self.path("quarantine"))
+
     def append_raw(self, rows: DataFrame) -> None:
         """Add bars to the raw table, split by load and year of the bar."""
         typed = rows.withColumn("price_year", F.year("price_date"))
@@ -201,42 +242,122 @@ class Store:
             "load_seq", "price_year"
         ).parquet(self.path("price_raw"))
 
+    def folded(self) -> list[tuple[int, int]]:
+        """Loads that the base holds, as ranges (first, last)."""
+        pointer = _pointer(self.spark, self.path("price_base"))
+        return [tuple(r) for r in pointer["facts"]["folded"]] if pointer else []
+
+    def live(self, years: Sequence[int] | None = None) -> DataFrame:
+        """The live bars: those of the base, and of the loads that it has not folded.
+
+        Loads and years are folders, so a folded load is not opened, and its replaced bars not read.
+        """
+        pointer = _pointer(self.spark, self.path("price_base"))
+        raw = self._raw()
+        wanted = None if years is None else [int(y) for y in years]
+        if wanted is not None:
+            raw = raw.where(F.col("price_year").isin(wanted))
+        if pointer is None:
+            return current_prices(raw).drop("price_year")
+        base = _read(self.spark, self.path("price_base"), pointer)
+        if wanted is not None:
+            base = base.where(F.col("price_year").isin(wanted))
+        for first, last in pointer["facts"]["folded"]:
+            raw = raw.where(~F.col("load_seq").between(first, last))
+        return live_prices(base.drop("price_year"), raw.drop("price_year"))
+
+    def compact(self, tries: int = 5) -> list[int]:
+        """Fold finished loads into the base; returns the years that were written anew.
+
+        Only the years of the folded bars are written, the base keeps its folders of all
+        others. Loads with a batch that has not ended stay as they are. Raw folders are left for the
+        storage's own expiry rules.
+        """
+        for left in range(tries, 0, -1):
+            # The log is listed before the bars: what has ended by then has all its bars there.
+            ended = self.read("batch_meta").where("status <> 'RUNNING'").select("batch_id")
+            base = self.version("price_base")
+            folded = self.folded()
+            raw = self._raw()
+            for first, last in folded:
+                raw = raw.where(~F.col("load_seq").between(first, last))
+            # One row for each load that is not folded yet, and of each the years.
+            open_loads = raw.join(ended, "batch_id", "left_anti").select("load_seq").distinct()
+            loads = raw.groupBy("load_seq").agg(F.collect_set("price_year").alias("years"))
+            found = loads.join(open_loads, "load_seq", "left_anti").collect()
+            if not found:
+                return []
+            numbers = sorted(r["load_seq"] for r in found)
+            years = sorted({int(y) for r in found for y in r["years"]})
+            added = raw.where(F.col("load_seq").isin(numbers) & F.col("price_year").isin(years)).drop("price_year")
+            pointer = _pointer(self.spark, self.path("price_base"))
+            if pointer is not None:
+                held = _read(self.spark, self.path("price_base"), pointer).where(F.col("price_year").isin(years))
+                rows = live_prices(held.drop("price_year"), added)
+            else:
+                rows = current_prices(added)
+            facts = {"folded": _ranges([*folded, *[(n, n) for n in numbers]])}
+            try:
+                # A compaction elsewhere changes what is folded, so any newer version counts.
+                publish(self.spark, self.path("price_base"), rows, None, years, base, facts, exclusive=True)
+                return years
+            except MovedOn:
+                if left == 1:
+                    raise
+        return []
+
     def gold(self, years: Sequence[int] | None = None) -> DataFrame:
         """Gold computed from the stored tables (not the published version)."""
-        raw = self._raw()
-        if years is not None:  # the date decides the folder, so other years are not read
-            raw = raw.where(F.col("price_year").isin([int(y) for y in years])).drop("price_year")
-        return build_gold(
-            current_prices(raw), self.read("asset"), self.read("data_source"), self.read("batch_meta"),
-        )
-
-    def refresh_gold(self, years: Sequence[int] | None = None) -> None:
-        """Replace the published gold table, or those years of it; readers keep the old one meanwhile."""
-        # Gold is about as large as the raw bars it is picked from, or smaller.
-        size = stored_bytes(self.spark, self.path("price_raw"))
-        if years is not None:
-            shares = max(1, len(self.gold_years()))
-            size = size * min(1.0, len(years) / shares)
-        publish(self.spark, self.path("price_gold"), self.gold(years), int(size), years)
+        return build_gold(self.live(years), self.read("asset"), self.read("data_source"), self.read("batch_meta"))
+
+    def refresh_gold(self, years: Sequence[int] | None = None, tries: int = 5) -> None:
+        """Replace the published gold table, or those years of it; readers keep the old one meanwhile.
+
+        If another run has replaced it, or one of those years, since the bars were read, they
+        are read again.
+        """
+        for left in range(tries, 0, -1):
+            base = self.version("price_gold")
+            # Gold is about as large as the raw bars it is picked from, or smaller.
+            size = stored_bytes(self.spark, self.path("price_raw"))
+            if years is not None:
+                shares = max(1, len(self.gold_years()))
+                size = size * min(1.0, len(years) / shares)
+            try:
+                publish(self.spark, self.path("price_gold"), self.gold(years), int(size), years, base)
+                return
+            except MovedOn:
+                if left == 1:
+                    raise
 
     def gold_years(self) -> list[int]:
         pointer = _pointer(self.spark, self.path("price_gold"))
-        return [y["price_year"] for y in pointer["years"]] if pointer else []
+        return [int(y) for y in pointer["years"]] if pointer else []
+
+
+def _ranges(parts: Sequence[tuple[int, int]]) -> list[list[int]]:
+    """Sorted ranges of whole numbers, joined where they touch."""
+    out: list[list[int]] = []
+    for first, last in sorted(parts):
+        if out and first <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], last)
+        else:
+            out.append([first, last])
+    return out
 
 
 def seed(store: Store, now: datetime | None = None) -> None:
     """Insert the standard data sources and sample assets that are missing."""
-    from pricehouse.operators.loading import add_with_ids
-
     spark = store.spark
     stamp = F.lit(now or datetime.now(timezone.utc))
+    bases = {name: store.version(name) for name in ("data_source", "asset")}
     known = store.read("data_source")
     rows = spark.createDataFrame(
         S.SEED_SOURCES,
         "source_name STRING, source_type STRING, base_url STRING, api_key_required BOOLEAN, rate_limit_per_minute INT",
     ).withColumns({"is_active": F.lit(True), "created_at": stamp})
     new = rows.join(known.select("source_name"), "source_name", "left_anti")
-    store.write("data_source", known.unionByName(add_with_ids(known, new, "source_id", ["source_name"]), True))
+    store.write("data_source", known.unionByName(L.add_with_ids(known, new, "source_id", ["source_name"]), True), bases["data_source"])
 
     held = store.read("asset")
     assets = spark.createDataFrame(
@@ -245,4 +366,4 @@ def seed(store: Store, now: datetime | None = None) -> None:
     ).withColumns({"is_active": F.lit(True), "created_at": stamp, "updated_at": stamp})
     key = ["symbol", "asset_type"]
     fresh = assets.join(held.select(*key), key, "left_anti")
-    store.write("asset", held.unionByName(add_with_ids(held, fresh, "asset_id", key), True))
+    store.write("asset", held.unionByName(L.add_with_ids(held, fresh, "asset_id", key), True), bases["asset"])

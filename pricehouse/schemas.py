@@ -31,6 +31,16 @@ PRICE_RAW = """
     created_at TIMESTAMP, load_seq BIGINT, row_number BIGINT
 """
 
+#: Events of batches: 0 created, 1 ended. An event gives what it changes.
+BATCH_LOG = BATCH_META + ", event INT"
+
+#: What a load left out: records that do not parse, and whole files (no row number).
+QUARANTINE = """
+    load_seq BIGINT, source_file STRING, row_number BIGINT, reason STRING, symbol STRING,
+    date_str STRING, open_str STRING, high_str STRING, low_str STRING, close_str STRING,
+    volume_str STRING, adj_close_str STRING
+"""
+
 STAGE_COLUMNS = [
     "symbol", "date_str", "open_str", "high_str", "low_str",
     "close_str", "volume_str", "adj_close_str",

@@ -139,7 +139,7 @@ def test_half_done_load_stays_invisible_and_is_repeated(spark, store, tmp_path,
     def die(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(loading, "finish_batches", die)
+    monkeypatch.setattr(loading, "batch_events", die)
     with pytest.raises(RuntimeError):
         bulk_load(store, str(folder), now=T1)
     monkeypatch.undo()
@@ -215,9 +215,9 @@ def test_failed_append_marks_its_batches(spark, store, tmp_path, monkeypatch):
 
 def test_only_a_missing_table_counts_as_empty(spark, store, tmp_path):
     assert Store(spark, str(tmp_path / "new")).read("asset").count() == 0
-    broken = tmp_path / "broken" / "asset" / "pointer"
+    broken = tmp_path / "broken" / "asset" / "commits"
     broken.mkdir(parents=True)
-    (broken / "part-0.parquet").write_text("no parquet")
+    (broken / f"{1:020d}.json").write_text("no json")
     with pytest.raises(Exception):
         Store(spark, str(tmp_path / "broken")).read("asset")
 
