@@ -361,11 +361,11 @@ UNION ALL SELECT source_file, row_number, symbol, date_str, 'close_str', close_s
         "source_file:s row_count:i column_count:i completeness:f validity:f consistency:f uniqueness:f "
         "duplicate_count:i negative_prices:i zero_volumes:i unique_symbols:i min_date:s max_date:s null_symbol:i "
         "null_date_str:i null_open_str:i null_high_str:i null_low_str:i null_close_str:i null_volume_str:i "
-        "null_adj_close_str:i extreme_values:i quality_score:f schema_valid:b duplicate_percentage:f", f"""
+        "null_adj_close_str:i extreme_values:i quality_score:f schema_valid:b schema_error:s duplicate_percentage:f", f"""
 SELECT s.source_file, s.row_count, 10 AS column_count,
        round(s.completeness, 6) AS completeness, round(s.validity, 6) AS validity,
        round(s.consistency, 6) AS consistency, round(s.uniqueness, 6) AS uniqueness, s.quality_score,
-       f.duplicate_count, p.* EXCLUDE (source_file), COALESCE(m.n, 0) AS extreme_values, true AS schema_valid,
+       f.duplicate_count, p.* EXCLUDE (source_file), COALESCE(m.n, 0) AS extreme_values, true AS schema_valid, NULL AS schema_error,
        round(f.duplicate_count / CAST(s.row_count AS DOUBLE) * 100, 6) AS duplicate_percentage
 FROM scores s
 JOIN (SELECT source_file, count(CASE WHEN copies > 1 THEN 1 END) AS duplicate_count FROM flags GROUP BY 1) f

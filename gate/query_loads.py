@@ -240,7 +240,7 @@ def _bulk_gold(w):
 def _bulk_again(w):
     """A second run over the same folder skips every file."""
     store, folder = _bulk(w)
-    again = bulk_load(store, folder, symbol=_folder_ticker(), min_score=0.0)
+    again = bulk_load(store, folder, symbol=_folder_ticker())
     return L.load_summary(again)
 
 
@@ -249,7 +249,7 @@ def _retried(w):
     store = Store(w.spark, new_folder(w.spark, "house"))
     seed(store, NOW)
     listed = w.exchange_lists().where("exchange = 'TSX'").select("symbol")
-    retry_failed(store, _write_gold_files(w), listed, symbol=_folder_ticker(), min_score=0.0, now=NOW)
+    retry_failed(store, _write_gold_files(w), listed, symbol=_folder_ticker(), now=NOW)
     return read_published(w.spark, store.path("price_gold")).groupBy("symbol").agg(F.count("*").alias("bars"))
 
 
@@ -258,7 +258,7 @@ def _streamed(w):
     seed(store, NOW)
     query = stream_load(
         store, _write_gold_files(w) + "/*", new_folder(w.spark, "stream"), refresh_batch=100,
-        symbol=_folder_ticker(), min_score=0.0,
+        symbol=_folder_ticker(),
     )
     query.awaitTermination()
     return read_published(w.spark, store.path("price_gold")).select(*_BARS)
@@ -287,7 +287,7 @@ def _streamed_halves(w):
     seed(store, NOW)
     query = stream_load(
         store, _write_half_files(w) + "/*/*", new_folder(w.spark, "stream"), refresh_batch=100,
-        symbol=_folder_ticker(), min_score=0.0,
+        symbol=_folder_ticker(),
     )
     query.awaitTermination()
     return read_published(w.spark, store.path("price_gold")).select(*_BARS)

@@ -160,9 +160,9 @@ SELECT *,
 FROM stage""",
     "exchange_lists": f"""
 SELECT DISTINCT CASE event_type WHEN 'signup' THEN 'NYSE' WHEN 'purchase' THEN 'NASDAQ'
-       WHEN 'view' THEN 'AMEX' WHEN 'click' THEN 'TSX' END AS exchange,
+       WHEN 'view' THEN 'AMEX' ELSE 'TSX' END AS exchange,
        {_SYMBOL.format(u='user_id')} AS symbol
-FROM events WHERE event_type <> 'error' AND user_id % 4 <> CASE event_type WHEN 'signup' THEN 0
+FROM events WHERE user_id % 4 <> CASE event_type WHEN 'signup' THEN 0
     WHEN 'purchase' THEN 1 WHEN 'view' THEN 2 ELSE 3 END""",
     "mapping": """
 SELECT symbol, CASE min(CASE exchange WHEN 'NYSE' THEN 0 WHEN 'NASDAQ' THEN 1 WHEN 'AMEX' THEN 2

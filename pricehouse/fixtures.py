@@ -236,14 +236,14 @@ class Warehouse:
         return rows.withColumn("row_number", F.col("_k") * 2 + F.col("_copy") + 1).drop("_k", "_copy")
 
     def exchange_lists(self) -> DataFrame:
-        """(exchange, symbol) with overlaps: one list per source, each without a quarter of the users."""
+        """(exchange, symbol) with overlaps: a list takes one kind of event or two, without a quarter of the users, so lists differ."""
         exchange = _case(
             F.col("event_type"),
-            {"signup": "NYSE", "purchase": "NASDAQ", "view": "AMEX", "click": "TSX"},
+            {"signup": "NYSE", "purchase": "NASDAQ", "view": "AMEX", "click": "TSX", "error": "TSX"},
         )
         symbol = self.symbol(F.col("user_id"))
-        left_out = _case(F.col("event_type"), {"signup": 0, "purchase": 1, "view": 2, "click": 3})
-        listed = self.table("events").where(F.col("event_type") != "error").where(F.col("user_id") % 4 != left_out)
+        left_out = _case(F.col("event_type"), {"signup": 0, "purchase": 1, "view": 2, "click": 3, "error": 3})
+        listed = self.table("events").where(F.col("user_id") % 4 != left_out)
         return listed.select(exchange.alias("exchange"), symbol.alias("symbol")).distinct()
 
     # --- longer history: suppliers as assets, line items as trades ----------

@@ -31,14 +31,17 @@ def current_prices(price_raw: DataFrame) -> DataFrame:
 
 
 def live_prices(base: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Live bars of a base with one bar a key, and of later loads.
+    """Live bars of a base with one bar a key, and of loads it does not hold.
 
-    Only the later bars are ranked; the base loses the keys they bring. When they are few,
-    Spark broadcasts their keys and the base is not shuffled.
+    Only the loads' bars, and those of the base that share a key with them, are ranked: a load that
+    was folded early may be newer than one that is not. When the keys are few, Spark
+    broadcasts them and the base is not shuffled.
     """
     newest = current_prices(deltas).select(*base.columns)
-    replaced = newest.select(*S.PRICE_KEY)
-    return base.join(replaced, S.PRICE_KEY, "left_anti").select(*newest.columns).unionByName(newest)
+    keys = newest.select(*S.PRICE_KEY)
+    rivals = base.join(keys, S.PRICE_KEY, "left_semi").select(*base.columns)
+    others = base.join(keys, S.PRICE_KEY, "left_anti").select(*base.columns)
+    return others.unionByName(current_prices(rivals.unionByName(newest)))
 
 
 def build_gold(

@@ -117,3 +117,63 @@ def recent_price_changes(gold: DataFrame, as_of: date | str, days: int = 30) ->
         )
         .orderBy(F.desc("price_date"), "symbol")
     )
+
+
+def day_factors(
+    corporate_action: DataFrame, dividend_cash: DataFrame, stock_split: DataFrame, dividend_stock: DataFrame
+) -> DataFrame:
+    """(asset_id, price_date, cash, shares): all actions of a day in one row.
+
+    ``cash`` is what a share held before is paid, ``shares`` what it has become: splits and stock
+    dividends of one day multiply, cash dividends add up.
+    """
+    actions = corporate_action.select("action_id", "asset_id", F.col("ex_date").alias("price_date"))
+    cash = dividend_cash.select("action_id", F.col("dividend_amount").cast("double").alias("cash"), F.lit(1.0).alias("shares"))
+    split = stock_split.select(
+        "action_id", F.lit(0.0).alias("cash"),
+        F.try_divide(F.col("split_ratio_to").cast("double"), F.col("split_ratio_from")).alias("shares"),
+    )
+    stock = dividend_stock.select("action_id", F.lit(0.0).alias("cash"), (1.0 + F.col("dividend_ratio").cast("double")).alias("shares"))
+    detail = cash.unionByName(split).unionByName(stock).where("cash > 0 or (shares > 0 and shares <> 1)")
+    return actions.join(detail, "action_id").groupBy("asset_id", "price_date").agg(
+        F.sum("cash").alias("cash"), F.product("shares").alias("shares")
+    )
+
+
+def adjusted_prices(
+    gold: DataFrame, corporate_action: DataFrame, dividend_cash: DataFrame, stock_split: DataFrame, dividend_stock: DataFrame
+) -> DataFrame:
+    """Gold bars adjusted back for later splits and dividends, and their total returns.
+
+    ``adjust_factor`` is the product of the factors of all ex-dates after the bar: a split or stock
+    dividend divides by the shares it makes, a cash dividend takes its part of the last close
+    before it. ``adjusted_close`` is the close times that; ``total_return`` is its change
+    against the bar before, NULL for an asset's first bar; ``wealth`` is what one unit put in at
+    the first bar has become. Actions without an earlier bar, and dividends of the last close
+    or more, change nothing.
+
+    Actions are reduced to a row a day, and bars and ex-dates are merged in the order of
+    days: a running last close, and a running product from the newest day backwards. So no bar
+    is compared with a range of actions; an asset's window is bounded by its days.
+    """
+    bars = gold.select("asset_id", "symbol", "price_date", F.col("close_price").cast("double").alias("close"))
+    days = day_factors(corporate_action, dividend_cash, stock_split, dividend_stock)
+    merged = bars.unionByName(days, allowMissingColumns=True).groupBy("asset_id", "price_date").agg(
+        F.max("symbol").alias("symbol"), F.max("close").alias("close"), F.max("cash").alias("cash"), F.max("shares").alias("shares")
+    )
+    forward = Window.partitionBy("asset_id").orderBy("price_date")
+    backward = Window.partitionBy("asset_id").orderBy(F.desc("price_date"))
+    last = F.last("close", ignorenulls=True).over(forward.rowsBetween(Window.unboundedPreceding, -1))
+    paid = F.when(F.col("cash") < F.col("last_close"), 1.0 - F.col("cash") / F.col("last_close")).otherwise(1.0)
+    factor = F.when(F.col("last_close").isNull(), 1.0).otherwise(paid / F.coalesce("shares", F.lit(1.0)))
+    placed = merged.withColumn("last_close", last).withColumn("day_factor", factor).withColumn(
+        "adjust_factor",
+        F.coalesce(F.product("day_factor").over(backward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1.0)),
+    ).where("close is not null")
+    adjusted = placed.withColumn("adjusted_close", F.col("close") * F.col("adjust_factor"))
+    first = F.first("adjusted_close").over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return adjusted.select(
+        "asset_id", "symbol", "price_date", "close", "day_factor", "adjust_factor", "adjusted_close",
+        (F.try_divide(F.col("adjusted_close"), F.lag("adjusted_close").over(forward)) - 1).alias("total_return"),
+        F.try_divide(F.col("adjusted_close"), first).alias("wealth"),
+    )

@@ -139,7 +139,8 @@ def _read(spark: SparkSession, path: str, pointer: dict) -> DataFrame:
     if not pointer["years"]:
         return spark.createDataFrame([], schema)
     folders = list(pointer["years"].values())
-    return spark.read.schema(schema).option("basePath", f"{path}/versions").parquet(*folders)
+    stored = spark.read.schema(schema).option("basePath", f"{path}/versions").parquet(*folders)
+    return stored.select(*schema.fieldNames())  # without the version, which is a folder too
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:

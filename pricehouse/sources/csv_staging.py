@@ -82,15 +82,15 @@ def read_lines(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv"
 
 def _all_lines(spark: SparkSession, paths: Sequence[str], pattern: str, without: Sequence[str] = ()) -> DataFrame:
     """``without``: files to leave out; Spark drops them when it lists the folder."""
-    read = spark.read.option("pathGlobFilter", pattern).text(list(paths))
-    if without:
-        read = read.where(~F.col("_metadata.file_path").isin(list(without)))
-    return read.select(
+    read = spark.read.option("pathGlobFilter", pattern).text(list(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
-        _split_number(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")),
     )
+    # A path has one slash after the scheme when folders are listed and up to three when files are read.
+    for file in without:
+        read = read.where(F.regexp_replace("source_file", "^([^:/]+):/+", "$1:/") != re.sub("^([^:/]+):/+", r"\1:/", file))
+    return read.withColumn("split", _split_number(F.col("source_file"), F.col("block")))
 
 
 def _split_number(source_file: Column, block: Column) -> Column:
@@ -259,7 +259,7 @@ def _failed_file(problem: Exception) -> tuple[str, str] | None:
     if not found:
         return None
     causes = [c for c in re.findall(r"Caused by: ([^\n]+)", said) if "FAILED_READ_FILE" not in c and "SparkException" not in c]
-    return found[1], causes[-1] if causes else "it cannot be read"
+    return re.sub("^file:/+", "file:/", found[1]), causes[-1] if causes else "it cannot be read"
 
 
 def readable_lines(

@@ -264,3 +264,115 @@ def test_writer_that_read_an_older_version_is_refused(spark, store):
     with pytest.raises(MovedOn):
         store.write("asset", assets, base)
     assert store.read("asset").where("symbol = 'AAPL'").isEmpty()
+
+
+def test_two_writers_between_check_and_commit(spark, store, tmp_path):
+    """The second of two writers that read one version is refused, whatever it did before its commit."""
+    from pricehouse.plans.commits import Commits, _renamed, create_once, reserve
+    from pricehouse.plans.store import MovedOn
+
+    base, assets = store.version("asset"), store.read("asset")
+    real = Commits.add
+
+    def late(self, number, content):
+        Commits.add = real
+        store.write("asset", assets.where("symbol <> 'AAPL'"), base)  # the other writer, after this one's look
+        return real(self, number, content)
+
+    Commits.add = late
+    try:
+        with pytest.raises(MovedOn):
+            store.write("asset", assets.where("symbol <> 'MSFT'"), base)
+    finally:
+        Commits.add = real
+    assert {r[0] for r in store.read("asset").select("symbol").collect()} == {r["symbol"] for r in assets.collect()} - {"AAPL"}
+    assert create_once(spark, str(tmp_path / "once"), "a") and not create_once(spark, str(tmp_path / "once"), "b")
+    assert (tmp_path / "once").read_text() == "a" and sorted(p.name for p in tmp_path.glob("*once*")) == ["once"]
+    numbers = [reserve(spark, str(tmp_path / "n"), 3, 5), reserve(spark, str(tmp_path / "n"), 2, 1), reserve(spark, str(tmp_path / "n"), 1, 50)]
+    assert numbers == [5, 8, 50]
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for name in ("x", "y"):
+        (tmp_path / name).write_text(name)
+    files = jvm.Path(str(tmp_path)).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not _renamed(spark, files, jvm.Path(f"file:{tmp_path}/x"), jvm.Path(f"file:{tmp_path}/y"))
+    assert _renamed(spark, files, jvm.Path(f"file:{tmp_path}/x"), jvm.Path(f"file:{tmp_path}/z")) and (tmp_path / "y").read_text() == "y"
+
+
+def test_year_refreshes_that_interleave(spark, store, tmp_path):
+    """Refreshes of different years both stay; one of the same year is worked out again."""
+    from pricehouse.plans.commits import Commits
+
+    for year in (2023, 2024):
+        (tmp_path / str(year)).mkdir()
+        (tmp_path / str(year) / "aapl.csv").write_text(HEAD + bars(1, 4).replace("2024-", f"{year}-"))
+        load(store, str(tmp_path / str(year)), "MANUAL_CSV", now=T1)
+    (tmp_path / "2024" / "aapl.csv").write_text(HEAD + bars(3, 4, 500.0))
+    (tmp_path / "2023" / "aapl.csv").write_text(HEAD + bars(3, 4, 700.0).replace("2024-", "2023-"))
+    for year in (2023, 2024):
+        load(store, str(tmp_path / str(year)), "MANUAL_CSV", now=T2, refresh=False)
+    real = Commits.add
+    for other in (2023, 2024):
+        before = store.version("price_gold")
+
+        def late(self, number, content):
+            Commits.add = real
+            store.refresh_gold([other])
+            return real(self, number, content)
+
+        Commits.add = late
+        try:
+            store.refresh_gold([2024])
+        finally:
+            Commits.add = real
+        assert store.version("price_gold") == before + 2
+    gold, full = read_published(spark, store.path("price_gold")), store.gold()
+    assert gold.count() == 12 and gold.select(full.columns).exceptAll(full).isEmpty()
+
+
+def test_compaction_reads_no_replaced_bar(spark, store, tmp_path):
+    (tmp_path / "c").mkdir()
+    for number in range(3):
+        (tmp_path / "c" / "aapl.csv").write_text(HEAD + bars(1, 4, 100.0 * number + 100))
+        load(store, str(tmp_path / "c"), "MANUAL_CSV", now=T1)
+    before = {tuple(r) for r in store.live().collect()}
+    assert store.compact() == [2024] and store.compact() == []
+    (tmp_path / "c" / "aapl.csv").write_text(HEAD + bars(3, 4, 900.0))
+    load(store, str(tmp_path / "c"), "MANUAL_CSV", now=T2)
+    assert store.read("price_raw").count() == 16
+    folded = list((tmp_path / "house" / "price_raw").glob("load_seq=[123]/*/*.parquet"))
+    for file in folded:
+        file.write_text("no parquet: whoever opens it fails")
+    rows = {r["price_date"].day: r["close_price"] for r in store.live().collect()}
+    assert rows == {1: 301, 2: 302, 3: 901, 4: 902, 5: 903, 6: 904} and len(before) == 4 and len(folded) == 3
+    assert store.gold().count() == 6
+    assert store.compact() == [2024] and store.folded() == [(1, 4)]
+    assert {r["price_date"].day: r["close_price"] for r in store.live().collect()} == rows
+
+
+def test_a_load_logs_its_own_batches_only(spark, store, tmp_path):
+    (tmp_path / "l").mkdir()
+    sizes = []
+    for number in range(4):
+        for name in ("aapl", "msft"):
+            (tmp_path / "l" / f"{name}.csv").write_text(HEAD + bars(1, 2))
+        load(store, str(tmp_path / "l"), "MANUAL_CSV", now=T1, refresh=False)
+        sizes.append(spark.read.parquet(store.path("batch_log")).count())
+    assert sizes == [4, 8, 12, 16] and store.version("batch_meta") == 0
+    batches = store.read("batch_meta").collect()
+    assert sorted(r["batch_id"] for r in batches) == list(range(1, 9)) and {r["status"] for r in batches} == {"SUCCESS"}
+
+
+def test_unreadable_and_unparsable_input_is_kept_apart(spark, store, tmp_path):
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "AAA.csv").write_text(HEAD + bars(1, 20) + "2024-02-01,1,9,0.5,,5,1\nlater,1,9,0.5,1,5,1\n")
+    (tmp_path / "q" / "BBB.csv.gz").write_bytes(b"this is not gzip")
+    (tmp_path / "q" / "CCC.csv").write_text(HEAD)
+    out = results(bulk_load(store, str(tmp_path / "q"), pattern="*.csv*", now=T1))
+    assert {k: v["outcome"] for k, v in out.items()} == {"AAA": "loaded", "BBB.CSV": "failed", "CCC": "failed"}
+    assert {r["status"] for r in store.read("batch_meta").where("error_message is not null").collect()} == {"FAILED"}
+    kept = store.read("quarantine").collect()
+    assert sorted((r["row_number"] or 0, r["reason"]) for r in kept) == [
+        (0, "java.io.IOException: not a gzip file"), (21, "prices missing or against the OHLC rule"), (22, "no ISO date")]
+    report = {r["source_file"].rsplit("/", 1)[1]: r for r in validate_only(spark, str(tmp_path / "q"), "*.csv*").collect()}
+    assert {n: (r["schema_valid"], r["quality_score"] > 0, r["schema_error"]) for n, r in report.items()} == {
+        "AAA.csv": (True, True, None), "BBB.csv.gz": (False, False, "java.io.IOException: not a gzip file"), "CCC.csv": (False, False, "DataFrame is empty")}

@@ -161,9 +161,11 @@ def test_line_states_equal_a_walk_over_the_letters(spark, tmp_path_factory, text
 def test_unreadable_files_are_named_and_left_out(spark, tmp_path):
     write(tmp_path, "A.csv", "Date,Close\n2024-01-01,1\n")
     write(tmp_path, "empty.csv", "")
-    for i in range(5):
-        (tmp_path / f"B{i}.csv.gz").write_bytes(b"\x1f\x8bnot a gzip file")
-    bad = []
-    staged = stage_csv(spark, str(tmp_path), "*.csv*", bad)
-    assert staged.count() == 1 and sorted(f.rsplit("/", 1)[1] for f, _ in bad) == [f"B{i}.csv.gz" for i in range(5)]
+    names = ["part=1/B.csv.gz", *[f"B{i}.csv.gz" for i in range(5)]]
+    (tmp_path / "part=1").mkdir()
+    for name in names:
+        (tmp_path / name).write_bytes(b"\x1f\x8bnot a gzip file")
+        bad = []
+        staged = stage_csv(spark, [str(tmp_path), str(tmp_path / "part=1")], "*.csv*", bad)
+        assert staged.count() == 1 and {f for f, _ in bad} == {f"file:{tmp_path}/{n}" for n in names[: names.index(name) + 1]}
     assert all(message for _, message in bad)
