@@ -7,14 +7,18 @@ the same size, the words taken stay close to the target.
 
 The running sum needs each document's rank in its source. A window over a whole
 source would put a hot source into one task, so ranks come from counts: a document
-falls into a cell (source, size class, chunk of its key's digest), cell counts give
-each cell its first rank, and a window ranks inside one cell only. Chunks grow in
-number with the rows, so a cell stays small.
-
-Defined cases: a NULL text has size 0; a NULL source is a source of its own,
-ordered last; a source without words has target 0 and is not emitted; repeated rows
-are ranked one after another; an empty table gives an empty mix. Extra columns pass
-through ``mix`` untouched.
+falls into a cell (source, size class, first bits of its digest), cell counts give
+each cell its first rank, and a window ranks inside one cell only. The order in a class is
+that of the digests, so it is the same for every number of cells; they grow in number with
+the rows, so a cell stays small. Rows alike in key, source and size are numbered
+first and enter the digest with their number, so a key that holds a large share of the rows is
+spread like any other.
+
+Defined cases: a NULL text has size 0, and a very long one counts whole; a NULL source is a source of
+its own, ordered last; a source without words has target 0 and is not emitted; ties of the
+order are broken by the digest; repeated rows are ranked one after another; an empty table
+gives an empty mix. Extra columns pass through ``mix`` untouched. Distinct sources are
+ranked in one task: some ten million of them are fine, whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricehouse.llm.text import WORD, pick
+from pricehouse.llm.rows import row_key
+from pricehouse.llm.text import WORD, column, pick
 from pricehouse.session import materialize
 
 #: Weights given to the sources in order, repeating.
@@ -113,39 +118,64 @@ def plan_mix(
     ``docs`` has the key columns, text and source. Texts are read once; what is
     kept between the steps is a written table of keys and sizes.
     """
-    named = pick(docs, [*key, *[c for c in more if c not in key], "source", "text"])
-    kept = [F.col(c).alias(f"k_{c}") for c in [*key, *[c for c in more if c not in key]]]
-    sizes = materialize(named.select(*kept, "source", size_of(F.col("text")).alias("size")), "mix-sizes")
-    chunks = 1
-    while chunks * cell_rows < sizes.count():
-        chunks *= 2
-    ident = F.concat_ws("|", *[F.coalesce(F.col(f"k_{c}").cast("string"), F.lit("-")) for c in key])
-    digest = F.md5(F.concat(F.lit(seed), F.lit("|"), ident))
-    chunk = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % chunks
+    given = [*key, *[c for c in more if c not in key]]
+    named = pick(docs, [*given, *[c for c in ("source", "text") if c not in given]])
+    kept = [column(c).alias(f"k_{c}") for c in given]
+    sizes = named.select(*kept, "source", size_of(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row_at"))
+    sizes = _numbered(materialize(sizes, "mix-sizes"), [*[f"k_{c}" for c in key], "source", "size"])
+    bits = 0
+    while cell_rows << bits < sizes.count():
+        bits += 1
+    ident = [F.coalesce(column(f"k_{c}").cast("string"), F.lit("-")) for c in key]
+    digest = F.md5(F.concat_ws("|", F.lit(seed), *ident, F.col("nth").cast("string")))
+    chunk = F.call_function("shiftright", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(32 - bits))
     placed = sizes.withColumns({"class": F.length(F.bin("size")) * 8 + _eighth(), "digest": digest, "chunk": chunk})
     cell = ["source", "class", "chunk"]
     counts = placed.groupBy(*cell).agg(F.count("*").alias("rows"))
-    earlier = (
-        Window.partitionBy("source").orderBy("class", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    firsts = counts.withColumn("first", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).drop("rows")
+    # A source has a few hundred classes; the cells of a class are a window of their own.
+    classes = counts.groupBy("source", "class").agg(F.sum("rows").alias("rows"))
+    firsts = _join(counts, _before(classes, ["source"], "class", "class_first").drop("rows"), ["source", "class"])
+    firsts = _before(firsts, ["source", "class"], "chunk", "cell_first").drop("rows")
     goals = targets(sizes, weights, share, most, seed)
     firsts = _join(firsts, goals, ["source"])
-    inside = F.row_number().over(
-        Window.partitionBy(*cell).orderBy("digest", *[F.col(f"k_{c}").asc_nulls_first() for c in key])
-    )
+    inside = F.row_number().over(Window.partitionBy(*cell).orderBy("digest"))
     ranked = _join(placed.withColumn("inside", inside), firsts, cell)
-    rank = F.col("first") + F.col("inside")
+    rank = F.col("class_first") + F.col("cell_first") + F.col("inside")
     crossed = F.floor(rank * F.col("rate") + F.col("offset")) - F.floor(
         (rank - 1) * F.col("rate") + F.col("offset")
     )
     return ranked.select(
-        *[F.col(f"k_{c}").alias(c) for c in [*key, *[c for c in more if c not in key]]],
+        *[column(f"k_{c}").alias(c) for c in given if c not in ("source", "size", "source_size", "target")],
         "source", "size", "source_size", "target",
         F.least(crossed, F.lit(most)).cast("bigint").alias("copies"),
     )
 
 
+def _before(rows: DataFrame, by: Sequence[str], order: str, name: str) -> DataFrame:
+    """Adds the rows of all smaller cells of the same group."""
+    earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(name, F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+
+
+def _numbered(rows: DataFrame, alike: Sequence[str], parts: int = 1024) -> DataFrame:
+    """Adds ``nth``: the place of a row among those alike, which are interchangeable.
+
+    Only keys of several rows are looked at. Their rows are counted in parts by their place in the
+    written table, so the rows of one key are never sorted in one task.
+    """
+    keys = [column(c) for c in alike]
+    part = F.pmod(F.xxhash64("row_at"), F.lit(parts))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    several = _join(rows.withColumn("part", part), counts, alike)
+    sums = several.groupBy(*keys, "part").agg(F.count("*").alias("rows"))
+    sums = _before(sums, [f"`{c}`" for c in alike], "part", "earlier").drop("rows")
+    within = F.row_number().over(Window.partitionBy(*keys, "part").orderBy("row_at"))
+    places = _join(several.withColumn("within", within), sums, [*alike, "part"])
+    places = materialize(places.select(F.col("row_at").alias("place"), (F.col("earlier") + F.col("within")).alias("later")), "mix-repeats")
+    joined = rows.join(places, F.col("row_at") == F.col("place"), "left")
+    return materialize(joined.withColumn("nth", F.coalesce("later", F.lit(1))).drop("place", "later", "row_at"), "mix-rows")
+
+
 def _eighth() -> Column:
     """Which eighth of its power of two a size lies in."""
     top = F.length(F.bin("size"))
@@ -157,10 +187,10 @@ def _eighth() -> Column:
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on keys that may be NULL."""
-    other = right.select(*[F.col(c).alias(f"r_{c}") if c in keys else F.col(c) for c in right.columns])
+    other = right.select(*[column(c).alias(f"r_{c}") if c in keys else column(c) for c in right.columns])
     on = None
     for c in keys:
-        test = F.col(c).eqNullSafe(F.col(f"r_{c}"))
+        test = column(c).eqNullSafe(column(f"r_{c}"))
         on = test if on is None else on & test
     return left.join(other, on).drop(*[f"r_{c}" for c in keys])
 
@@ -168,25 +198,17 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, source and others), each as often as taken; same columns.
 
-    A row is known by its doc_id and a hash of all its columns. Rows that agree in
-    both are equal; what the plan takes of them is dealt out evenly among them.
+    A row is known by a digest of all its columns. Rows with one digest are equal, so what the
+    plan takes of them is one of them, as often.
     """
-    row_key = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), row_key.alias("row_key"))
-    plan = plan_mix(
-        keyed.select("row.doc_id", "row_key", "row.source", "row.text"), ("doc_id", "row_key"), **options
-    )
-    totals = plan.groupBy("doc_id", "row_key").agg(F.sum("copies").alias("copies"), F.count("*").alias("alike"))
-    wanted = totals.filter("copies > 0").select(
-        F.coalesce("doc_id", F.lit(-1).cast("bigint")).alias("doc_key"), F.col("row_key").alias("plan_key"), "copies", "alike"
-    )
-    among = Window.partitionBy("doc_key", "row_key").orderBy(F.lit(0))
-    numbered = keyed.withColumn("doc_key", F.coalesce("row.doc_id", F.lit(-1).cast("bigint")))
-    numbered = numbered.withColumn("nth", F.row_number().over(among))
-    joined = numbered.join(
-        wanted.withColumnRenamed("doc_key", "plan_doc"),
-        (F.col("doc_key") == F.col("plan_doc")) & (F.col("row_key") == F.col("plan_key")),
-    )
-    upto = [F.floor((F.col("nth") - k) * F.col("copies") / F.col("alike")) for k in (0, 1)]
-    times = F.sequence(F.lit(1).cast("bigint"), (upto[0] - upto[1]).cast("bigint"))
-    return joined.filter(upto[0] > upto[1]).select("row", F.explode(times).alias("copy")).select("row.*")
+    keyed = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), row_key(docs).alias("key"))
+    named = keyed.select("key", F.col("row.source").alias("source"), F.col("row.text").alias("text"))
+    plan = plan_mix(named.withColumn("key", F.hex("key")), ("key",), **options)
+    totals = plan.groupBy("key").agg(F.sum("copies").alias("copies"), F.count("*").alias("alike")).filter("copies > 0")
+    wanted = materialize(totals.select(F.unhex("key").alias("wanted"), "copies", "alike"), "mix-plan")
+    on = F.col("key") == F.col("wanted")
+    single = keyed.join(wanted.filter("alike = 1"), on).select("row", "copies")
+    repeated = keyed.join(wanted.filter("alike > 1"), on).groupBy("key").agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
+    taken = single.unionByName(repeated.select("row", "copies"))
+    times = F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))
+    return taken.select("row", F.explode(times).alias("copy")).select("row.*")

@@ -167,14 +167,10 @@ r AS (
          CAST('0x' || md5('mix-1|' || coalesce('s' || source, 'n'))[1:13] AS BIGINT) / 4503599627370496.0::DOUBLE AS u
   FROM t),
 k AS (
-  SELECT *, md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS digest,
-         (SELECT CAST(pow(2, greatest(0, ceil(log2(greatest(count(*), 1) / 1048576.0)))) AS BIGINT) FROM d) AS chunks,
+  SELECT *, md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || row_number() OVER (PARTITION BY doc_id, source, size)) AS digest,
          len(bin(size)) * 8 + CASE WHEN size >= 8 THEN (size >> (len(bin(size)) - 4)) - 8 ELSE 0 END AS class
   FROM d),
-n AS (
-  SELECT *, row_number() OVER (PARTITION BY source
-              ORDER BY class, CAST('0x' || digest[1:8] AS BIGINT) % chunks, digest, doc_id NULLS FIRST) AS i
-  FROM k)
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, digest) AS i FROM k)
 SELECT doc_id, size, source_size, target,
        size * CAST(least(floor(i * rate + u) - floor((i - 1) * rate + u), 2) AS BIGINT) AS taken
 FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricehouse.llm.text import column
+
 
 def row_key(docs: DataFrame) -> Column:
     """128 bits of digest of all columns; NULLs and column borders count."""
-    said = [F.col(c).cast("string") for c in docs.columns]
+    said = [column(c).cast("string") for c in docs.columns]
     return F.unhex(F.md5(F.concat(*[F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-")) for s in said])))
 
 
@@ -33,7 +35,7 @@ def keep_least(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     several = nodes.join(least, F.col("component") == F.col("group")).groupBy("key", "best").agg(F.count("*").alias("n"))
     listed = several.select(F.col("key").alias("listed_key"), (F.col("key") == F.col("best")).alias("first"), "n")
     out = listed.filter("NOT first OR n > 1")
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), row_key(docs).alias("key"))
+    whole = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), row_key(docs).alias("key"))
     single = whole.join(out, F.col("key") == F.col("listed_key"), "left_anti").select("row.*")
     repeated = whole.join(listed.filter("first AND n > 1"), F.col("key") == F.col("listed_key"), "left_semi")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))

@@ -18,6 +18,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever letters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once.
 
@@ -44,7 +49,7 @@ def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*columns)
+    return df.select(*[column(c) for c in columns])
 
 
 def slices(batch, column: str, most: int = 8 << 20):

@@ -3,17 +3,14 @@
 import random
 from collections import Counter
 
-import pytest
-
-from pricehouse.llm import near_texts, simhash
+from pricehouse.llm import simhash
 
 SCHEMA = "doc_id bigint, text string"
 
 
-@pytest.mark.parametrize("keep_first", [simhash.keep_first, near_texts.keep_first])
-def test_rows_are_told_apart_by_all_columns(workers, keep_first):
+def test_rows_are_told_apart_by_all_columns(workers):
     rng = random.Random(2)
     a, b, c = (" ".join(rng.choices([f"u{i}" for i in range(500)], k=60)) for _ in range(3))
     rows = [(3, a), (5, a), (5, b), (5, b), (None, a), (None, c), (None, c), (None, b)]
-    got = keep_first(workers.createDataFrame(rows, SCHEMA)).collect()
+    got = simhash.keep_first(workers.createDataFrame(rows, SCHEMA)).collect()
     assert Counter(map(tuple, got)) == Counter([(3, a), (5, b), (None, c)])

@@ -335,3 +335,27 @@ def test_cut_short_commit_is_not_counted(workers, tmp_path):
     assert [tuple(r)[3:] for r in store.totals().collect()] == [(1, 5)]
     assert store.commit("lost", rows)
     assert [tuple(r)[3:] for r in store.totals().collect()] == [(2, 10)]
+
+
+@pytest.mark.parametrize("rows", [1, 7, 40])
+def test_mix_is_the_same_for_every_number_of_cells(workers, odd_docs, rows):
+    def taken(**options):
+        return Counter((r["doc_id"], r["source"], r["size"], r["copies"]) for r in mixing.plan_mix(odd_docs, **options).collect())
+
+    assert taken(cell_rows=rows) == taken()
+    mixed = [Counter(map(tuple, mixing.mix(odd_docs, **o).collect())) for o in ({}, {"cell_rows": rows})]
+    assert mixed[0] == mixed[1]
+
+
+def test_mix_spreads_rows_without_ids_and_repeated_rows(workers):
+    rows = [(None, "a b c", "s")] * 60 + [(1, "a b c", "s")] * 40 + [(None, None, "t"), (2, "x", None)]
+    df = workers.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, source string, `a.b` string")
+    plan = mixing.plan_mix(df, cell_rows=4).collect()
+    assert len(plan) == len(rows)
+    for source in ("s", None):
+        own = [r for r in plan if r["source"] == source]
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= 3
+    assert {r["copies"] for r in plan if r["doc_id"] == 1 or r["source"] == "s"} == {1, 2}
+    mixed = mixing.mix(df, cell_rows=4)
+    assert mixed.columns == df.columns
+    assert sum(1 for r in mixed.collect() if r["source"] == "s") == sum(r["copies"] for r in plan if r["source"] == "s")
