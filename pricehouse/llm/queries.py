@@ -21,16 +21,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals after all documents were added, and those that repeat an earlier text removed.
+    """Totals after all documents were added, copies removed, and German ones written anew in lower case.
 
     The removal is committed twice, as after a lost driver, and counts once.
     """
     counters = {"words-1": token_counts.words_counter(), "byte-bpe-50k": byte_bpe()}
-    counts = materialize(token_counts.count_tokens(table(spark, folder, "documents"), counters), "token-counts")
+    docs = table(spark, folder, "documents")
+    counts = materialize(token_counts.count_tokens(docs, counters), "token-counts")
     totals = token_counts.TokenTotals(spark, new_folder(spark, "token-totals"))
     totals.commit("all documents", token_counts.inserts(counts))
+    totals.fold()
     for _ in range(2):
-        totals.commit("exact copies", token_counts.deletes(token_counts.repeats(counts)))
+        totals.commit("exact copies", token_counts.repeat_deltas(counts))
+    revised = token_counts.count_tokens(docs.filter("lang = 'de'").withColumn("text", F.lower("text")), counters)
+    totals.commit("German in lower case", token_counts.revisions(counts.filter("lang = 'de'"), revised))
     return totals.totals()
 
 

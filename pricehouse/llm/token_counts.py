@@ -13,12 +13,16 @@ at a time.
 
 Defined cases: a NULL text has no tokens but counts as a document; NULL sources and
 languages are groups of their own; repeated rows count as often as they come; an
-empty batch commits and changes nothing; other columns are ignored.
+empty batch commits and changes nothing; other columns are ignored. Very long texts are
+counted whole, in one task; those with a very long run of white space, which the tokenizer's
+own splitting can't hold, are split by the same pattern elsewhere and counted piece by piece. Ties
+of repeated texts go to the least doc_id, all rows of which stay.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import lru_cache
 
@@ -50,11 +54,23 @@ def words_counter() -> Callable[[str], int]:
     return lambda text: len(text.encode("utf-8", "replace").split())
 
 
+#: White space in a row that the tokenizer's splitting is not trusted with (it fails at a million).
+LONG_SPACE = 100_000
+
+_SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d}" % LONG_SPACE)
+
+
 def byte_bpe_counter(ranks_file: str, pattern: str) -> Callable[[str], int]:
     """Counts byte-level BPE tokens; a special token's string in a text is ordinary text."""
 
     def count(text: str) -> int:
-        return len(_byte_bpe(ranks_file, pattern).encode_ordinary(text))
+        coder = _byte_bpe(ranks_file, pattern)
+        if len(text) < LONG_SPACE or not _SPACES.search(text):
+            return len(coder.encode_ordinary(text))
+        import regex
+
+        pieces = (m.group().encode("utf-8", "replace") for m in regex.finditer(pattern, text))
+        return sum(len(coder._encode_single_piece(p)) for p in pieces)
 
     return count
 
@@ -132,15 +148,49 @@ class TokenTotals:
         out.close()
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens over all committed batches."""
+    def _named(self, folder: str) -> set[str]:
         files, path = self._marker("any")
-        if not files.exists(path.getParent()):
+        where = path.getParent().getParent().suffix(f"/{folder}")
+        return {f.getPath().getName() for f in files.listStatus(where)} if files.exists(where) else set()
+
+    def fold(self) -> None:
+        """Sum up all committed batches as a base; later totals read it and newer batches only.
+
+        The base names the batches it holds, and counts once it has a marker of its own, so a fold
+        that was cut short changes nothing. Ids of folded batches stay known.
+        """
+        number = 1 + max((int(n) for n in self._named("folds")), default=0)
+        folded, parts = self._parts()
+        base = f"{self.folder}/bases/{number}"
+        roll_up(self._stored(parts)).coalesce(1).write.mode("overwrite").parquet(f"{base}/rollup")
+        names = [(n,) for n in sorted(folded | {p for p in self._named("commits") if self._whole(p)})]
+        self.spark.createDataFrame(names, "name string").coalesce(1).write.mode("overwrite").parquet(f"{base}/names")
+        files, path = self._marker("any")
+        files.create(path.getParent().getParent().suffix(f"/folds/{number}"), False).close()
+
+    def _whole(self, name: str) -> bool:
+        files, path = self._marker(name)
+        return files.getFileStatus(path).getLen() == len(name)
+
+    def _parts(self) -> tuple[set[str], list[str]]:
+        """The names of folded batches, and the folders that make up the totals."""
+        number = max((int(n) for n in self._named("folds")), default=0)
+        folded, parts = set(), []
+        if number:
+            base = f"{self.folder}/bases/{number}"
+            folded = {r[0] for r in self.spark.read.parquet(f"{base}/names").collect()}
+            parts.append(f"{base}/rollup")
+        new = sorted(n for n in self._named("commits") - folded if self._whole(n))
+        return folded, parts + [f"{self.folder}/rollups/part={n}" for n in new]
+
+    def _stored(self, parts: list[str]) -> DataFrame:
+        if not parts:
             return self.spark.createDataFrame([], _ROLLUP)
-        names = self.spark.read.text(f"{self.folder}/commits").withColumnRenamed("value", "committed")
-        stored = self.spark.read.schema(_ROLLUP + ", part string").parquet(f"{self.folder}/rollups")
-        counted = stored.join(names, F.col("part") == F.col("committed"), "left_semi")
-        summed = roll_up(counted.select(*KEYS, "n_docs", "n_tokens"))
+        return self.spark.read.schema(_ROLLUP).parquet(*parts)
+
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens over all committed batches."""
+        summed = roll_up(self._stored(self._parts()[1]))
         return summed.filter("n_docs <> 0 OR n_tokens <> 0")
 
 
@@ -159,3 +209,22 @@ def repeats(counts: DataFrame) -> DataFrame:
     return counts.join(firsts, (F.col("text_sha256") == F.col("of_text")) & (F.col("doc_id") > F.col("first_id"))).select(
         *counts.columns
     )
+
+
+def repeat_deltas(counts: DataFrame) -> DataFrame:
+    """Deltas that remove what ``repeats`` finds, from counts of the copies in place of their rows.
+
+    Rows of one text are first counted by document, then by source and language, both combined before
+    the shuffle; texts that occur once go before anything is joined.
+    """
+    group = ["text_sha256", *KEYS]
+    known = counts.filter("text_sha256 IS NOT NULL AND doc_id IS NOT NULL")
+    by_doc = known.groupBy(*group, "doc_id").agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
+    groups = by_doc.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.first("n_tokens").alias("n_tokens"), F.min(F.struct("doc_id", "n")).alias("least")
+    )
+    firsts = groups.groupBy("text_sha256").agg(F.min("least.doc_id").alias("first_id"), F.sum("n").alias("rows")).filter("rows > 1")
+    firsts = firsts.select(F.col("text_sha256").alias("of_text"), "first_id")
+    joined = groups.join(firsts, F.col("text_sha256") == F.col("of_text"))
+    gone = F.col("n") - F.when(F.col("least.doc_id") == F.col("first_id"), F.col("least.n")).otherwise(0)
+    return joined.select(*KEYS, (-gone).alias("n_docs"), (-gone * F.col("n_tokens")).alias("n_tokens")).filter("n_docs <> 0")

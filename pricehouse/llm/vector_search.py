@@ -2,7 +2,7 @@
 
 Vectors are turned by one random rotation, after which the first columns of a
 difference tell about its length. Rows lie in the lists of their nearest centroids. In
-each list a query probes, candidates are measured column block by column block, and a
+each list a query probes (more than that where they hold too few), candidates are measured column block by column block, and a
 candidate is dropped as soon as a test on the partial distance says that it is
 farther than the tenth nearest so far (at ``d`` of ``D`` columns: partial distance
 above the bound's share ``d / D``, widened by ``1 + EPSILON / sqrt(d)`` for the
@@ -18,7 +18,9 @@ Defined cases: vectors that are NULL, zero, of another length than most, or hold
 or non-finite components take no part; a vec_id names a vector: a row with a query's
 own id is no candidate of it, a repeated candidate is listed once, a repeated query is
 asked once (the least vector in array order); a NULL vec_id takes no part; equal distances go
-by smaller vec_id; fewer than ``k`` candidates give fewer rows; an empty table none.
+by smaller vec_id; fewer than ``k`` candidates in the table give fewer rows; an empty table
+none. About one row in a hundred asks and most lists are probed where vectors have no clusters, so
+work then grows with the square of the table, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -132,10 +134,14 @@ def _listed(index: Index, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
         )
 
 
-def _probed(index: Index, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _probed(index: Index, sizes: np.ndarray, k: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lists of each query: as many as fitted, and on until they hold k ids beside its own."""
     for batch in batches:
-        lists = np.argsort(_squares(_matrix(batch.column(1)), index.centroids), axis=1)[:, : index.probes]
-        column = pa.array(lists.astype("int32").tolist(), pa.list_(pa.int32()))
+        order = np.argsort(_squares(_matrix(batch.column(1)), index.centroids), axis=1)
+        held = np.cumsum(sizes[order], axis=1)
+        needed = np.maximum(index.probes, (held < k + 1).sum(1) + 1)
+        lists = [row[:n].astype("int32") for row, n in zip(order, needed.tolist())]
+        column = pa.array(lists, pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column], ["query_id", "query", "lists"])
 
 
@@ -201,8 +207,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = BLOCK
         known.mapInArrow(lambda b: _listed(index, b), "vec_id bigint, vector array<double>, list int"), "vector-lists"
     )
     once = listed.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    # Each id counts in one list only; there are at most MOST_LISTS rows.
+    ids = listed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count("*").alias("n"))
+    held = np.zeros(len(index.centroids), "int64")
+    for row in ids.collect():
+        held[row["list"]] = row["n"]
     probing = once.mapInArrow(
-        lambda b: _probed(index, b), "query_id bigint, query array<double>, lists array<int>"
+        lambda b: _probed(index, held, k, b), "query_id bigint, query array<double>, lists array<int>"
     ).select("query_id", "query", F.explode("lists").alias("list"))
     sizes = _blocks(listed.groupBy("list").agg(F.count("*").alias("n")), "n", "c_blocks", block)
     loads = _blocks(probing.groupBy("list").agg(F.count("*").alias("n")), "n", "q_blocks", block)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pricehouse.llm import chat_format, url_filters, vector_search
 from pricehouse.llm.components import components
@@ -200,3 +201,20 @@ def test_conversation_digests(workers):
         expected[conv] = (len(own), hashlib.sha256(turns.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert got == expected
     assert chat_format.digests(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_query_gets_all_it_can(workers, seed):
+    """Small tables in clusters of one to six and a large rest: no query gets fewer than ten."""
+    rng = np.random.default_rng(seed)
+    rows, number = [], iter(range(10_000))
+    for _ in range(12):
+        centre = rng.normal(size=8) * 50
+        rows += [(next(number) * 100, (centre + rng.normal(size=8) / 100).tolist()) for _ in range(rng.integers(1, 7))]
+    rows += [(next(number) * 100, rng.normal(size=8).tolist()) for _ in range(60 - len(rows))]
+    rows += [(rows[0][0], rows[5][1]), rows[3]]
+    df = workers.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = defaultdict(list)
+    for r in vector_search.search(df, F.col("vec_id") % 100 == 0).collect():
+        found[r["query_id"]].append(r["rank"])
+    assert set(found) == {r[0] for r in rows} and all(sorted(x) == list(range(1, 11)) for x in found.values())

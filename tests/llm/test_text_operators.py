@@ -359,3 +359,52 @@ def test_mix_spreads_rows_without_ids_and_repeated_rows(workers):
     mixed = mixing.mix(df, cell_rows=4)
     assert mixed.columns == df.columns
     assert sum(1 for r in mixed.collect() if r["source"] == "s") == sum(r["copies"] for r in plan if r["source"] == "s")
+
+
+def test_long_white_space_is_counted(workers):
+    bpe = queries.byte_bpe()
+    rows = [(1, "a" + " " * 1_000_000 + "b"), (2, " " * 1_000_000), (3, "x\n" * 600_000), (4, "y" + "\n" * 150_000 + " \t z"), (5, "n" * 1_200_000)]
+    assert bpe(rows[3][1]) == len(token_counts._byte_bpe(*_files()).encode_ordinary(rows[3][1]))
+    df = workers.createDataFrame([(*r, "s", "en") for r in rows], "doc_id bigint, text string, source string, lang string")
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, {"bpe": bpe}).collect()}
+    assert counts[1] == bpe("a" + " " * 90_000 + "b") + 910_000 and counts[2] > 0 and counts[3] == bpe("x\n" * 6) * 100_000
+
+
+def _files():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def test_repeats_as_counts_and_folded_batches(odd_docs, workers, tmp_path):
+    counts = token_counts.count_tokens(odd_docs, {"words-1": token_counts.words_counter()}).persist()
+    extra = counts.limit(5).withColumn("doc_id", counts.doc_id + 1)  # further copies, in other documents
+    counts = counts.unionByName(extra).unionByName(extra.withColumn("source", extra.lang)).persist()
+    as_rows = token_counts.roll_up(token_counts.deletes(token_counts.repeats(counts))).filter("n_docs <> 0")
+    as_counts = token_counts.roll_up(token_counts.repeat_deltas(counts))
+    assert Counter(map(tuple, as_rows.collect())) == Counter(map(tuple, as_counts.collect()))
+    plain, folding = (token_counts.TokenTotals(workers, f"file://{tmp_path}/{n}") for n in ("plain", "folding"))
+    for store in (plain, folding):
+        for batch in range(3):
+            assert store.commit(f"b{batch}", token_counts.inserts(counts))
+            if store is folding:
+                store.fold()
+        store.commit("gone", token_counts.repeat_deltas(counts))
+        assert not store.commit("b0", token_counts.inserts(counts))
+    assert Counter(map(tuple, plain.totals().collect())) == Counter(map(tuple, folding.totals().collect()))
+
+
+def test_op1_query(workers):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in workers.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    bpe, expected, first = queries.byte_bpe(), defaultdict(lambda: [0, 0]), {}
+    for doc, text, _, _ in rows:
+        first[text] = min(first.get(text, doc), doc)
+    for doc, text, lang, source in rows:
+        old, new = text or "", (text or "").lower() if lang == "de" else text or ""
+        for name, count in (("words-1", lambda t: len(t.encode().split())), ("byte-bpe-50k", bpe)):
+            gone = text is not None and doc > first[text]
+            expected[source, lang, name][0] += 1 - gone
+            expected[source, lang, name][1] += count(new) - (count(old) if gone else 0)
+    got = {tuple(r)[:3]: list(r)[3:] for r in queries.op1_token_counts(workers, folder).collect()}
+    assert got == {k: v for k, v in expected.items() if v != [0, 0]}
