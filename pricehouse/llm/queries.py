@@ -180,10 +180,6 @@ SELECT doc_id, size, source_size, target,
 FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source
 """
 
-def _sql(pattern: str) -> str:
-    return pattern.replace("'", "''")
-
-
 _RULE_CASES = [
     " ".join(
         f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}'))"
@@ -193,42 +189,58 @@ _RULE_CASES = [
     for pick in (0, 1)
 ]
 
+# Links, written from the description of html and of relative urls.
 _OP3 = rf"""
-WITH RECURSIVE found AS (
+WITH RECURSIVE tags AS (
   SELECT url, unnest(list_concat(
-      list_transform(regexp_extract_all(html, '{_sql(url_filters.LINK_PATTERN)}'), lambda t: regexp_extract(t, '{_sql(url_filters.HREF_PATTERN)}', 1)),
-      list_transform(regexp_extract_all(html, '{_sql(url_filters.REFRESH_PATTERN)}'), lambda t: regexp_extract(t, '{_sql(url_filters.TARGET_PATTERN)}', 1)))) AS target
+      list_transform(regexp_extract_all(html, '<link\s[^>]*>', 0, 'is'), lambda t: ['c', t]),
+      list_transform(regexp_extract_all(html, '<meta\s[^>]*>', 0, 'is'), lambda t: ['r', t]))) AS t
   FROM pages WHERE html IS NOT NULL),
+said AS (
+  SELECT url, CASE t[1] WHEN 'c' THEN regexp_extract(t[2], '\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1, 'is')
+                   ELSE regexp_extract(regexp_extract(t[2], '\scontent\s*=\s*("[^"]*"|''[^'']*''|[^>"'']+)', 1, 'is'), 'url\s*=(.*)', 1, 'is') END AS v
+  FROM tags
+  WHERE t[1] = 'c' AND regexp_matches(t[2], '\srel\s*=\s*["'']?canonical\b', 'is')
+     OR t[1] = 'r' AND regexp_matches(t[2], '\shttp-equiv\s*=\s*["'']?refresh\b', 'is')),
+found AS (
+  SELECT url, trim(replace(replace(replace(replace(replace(trim(v, ' "'''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&')) AS target
+  FROM said),
+bases AS (
+  SELECT *, regexp_extract(url, '^.*?://([^/?#]*)', 1, 's') AS h, regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS p FROM found WHERE target <> ''),
 absolute AS (
-  SELECT url, CASE WHEN contains(target, '://') THEN target
+  SELECT url, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+      WHEN regexp_matches(target, '^([A-Za-z][A-Za-z0-9+.-]*:|#)') THEN NULL
       WHEN starts_with(target, '//') THEN 'x:' || target
       WHEN starts_with(target, '/') THEN 'x://' || h || target
-      ELSE 'x://' || h || CASE WHEN f = '' THEN '/' ELSE f END || target END AS other
-  FROM (SELECT *, regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS h,
-               regexp_extract(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '(?s)^(.*/)', 1) AS f
-        FROM found WHERE target <> '') x),
+      WHEN starts_with(target, '?') THEN 'x://' || h || CASE p WHEN '' THEN '/' ELSE p END || target
+      ELSE 'x://' || h || CASE p WHEN '' THEN '/' ELSE regexp_extract(p, '^(.*/)', 1, 's') END || target END AS other
+  FROM bases),
+cut AS (
+  SELECT u, translate(regexp_extract(u, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(u, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path, regexp_extract(u, '^.*?://[^/?#]*[^?#]*([^#]*)', 1, 's') AS q
+  FROM (SELECT url AS u FROM pages UNION SELECT other FROM absolute WHERE other IS NOT NULL) x),
+steps AS (
+  SELECT *, list_reduce(list_transform(string_split(path[2:], '/'), lambda x: [x]),
+              lambda a, x: CASE x[1] WHEN '..' THEN a[:-2] WHEN '.' THEN a ELSE list_concat(a, x) END, []::VARCHAR[]) AS kept
+  FROM cut),
 urls AS (
-  SELECT u, host, path, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || q END AS node
-  FROM (SELECT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-               regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
-               regexp_extract(u, '(?s)^.*?://[^/?#]*[^?#]*([^#]*)', 1) AS q
-        FROM (SELECT url AS u FROM pages UNION SELECT other FROM absolute) x) y),
-judged AS (
-  SELECT *, CASE {_RULE_CASES[0]} END AS rule, CASE {_RULE_CASES[1]} END AS own FROM urls),
+  SELECT *, CASE WHEN host <> '' THEN host || node_path || q END AS node
+  FROM (SELECT *, CASE WHEN path = '' THEN '/' WHEN NOT regexp_matches(path, '/\.\.?(/|$)') THEN path
+               ELSE '/' || array_to_string(CASE WHEN regexp_matches(path, '/\.\.?$') THEN list_append(kept, '') ELSE kept END, '/') END AS node_path
+        FROM steps) y),
+judged AS (SELECT *, CASE {_RULE_CASES[0]} END AS rule, CASE {_RULE_CASES[1]} END AS own FROM urls),
+node_verdicts AS (
+  SELECT node, CASE {_RULE_CASES[1]} END AS said FROM (SELECT DISTINCT node, host, node_path AS path FROM urls WHERE node IS NOT NULL) z),
 edges AS (
   SELECT DISTINCT a.node AS a, b.node AS b FROM absolute l JOIN urls a ON l.url = a.u JOIN urls b ON l.other = b.u
   WHERE a.node <> b.node),
 links AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
-reach AS (SELECT a AS n, a AS m FROM links UNION SELECT r.n, l.b FROM reach r JOIN links l ON r.m = l.a),
-node_verdicts AS (
-  SELECT node, CASE {_RULE_CASES[1]} END AS said
-  FROM (SELECT DISTINCT node, host, CASE WHEN path = '' THEN '/' ELSE path END AS path FROM urls WHERE node IS NOT NULL) z),
+reach AS (SELECT node AS n, node AS m FROM node_verdicts UNION SELECT r.n, l.b FROM reach r JOIN links l ON r.m = l.a),
 groups AS (
   SELECT n, min(m) AS component,
          CASE WHEN bool_or(said = 'allow') THEN 'allow' WHEN bool_or(said = 'block') THEN 'block' END AS shared
   FROM reach JOIN node_verdicts ON m = node GROUP BY n)
-SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(own, shared, 'allow') AS verdict,
-       coalesce(component, node) AS component
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(own, shared, 'allow') AS verdict, component
 FROM pages LEFT JOIN judged ON url = u LEFT JOIN groups ON node = n
 """
 

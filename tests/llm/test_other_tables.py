@@ -95,8 +95,124 @@ def test_observed_redirects_and_empty_tables(workers):
     assert url_filters.filter_urls(pages(workers, [])).count() == 0
     kept = url_filters.keep_allowed(pages(workers))
     assert kept.columns == pages(workers).columns and {r["page_id"] for r in kept.collect()} == {1, 4, 5, 8, 9, 10, 12, 13}
-    with pytest.raises(ValueError):
-        url_filters.filter_urls(pages(workers), [("a/", "block")] * 1001)
+
+
+def plain_verdicts(rows, rules):
+    """Verdicts and components worked out with Python's own html and url libraries."""
+    from html.parser import HTMLParser
+    from urllib.parse import urljoin, urlsplit
+
+    def node(url):
+        if "://" not in (url or ""):
+            return None
+        split = urlsplit("http://" + url.split("://", 1)[1])
+        path = urlsplit(urljoin("http://h/", "http://h" + (split.path or "/"))).path
+        path = urlsplit(urljoin("http://h/", path)).path or "/"
+        return split.netloc.lower() + path + (f"?{split.query}" if "?" in url.split("#")[0] else "") if split.netloc else None
+
+    def own(host, path):
+        fits = [(len(r), r, v) for r, v in rules
+                if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
+        return max(fits)[1:] if fits else (None, None)
+
+    group = {}
+
+    def root(n):
+        group.setdefault(n, n)
+        while group[n] != n:
+            n = group[n]
+        return n
+
+    for _, url, html in rows:
+        targets = []
+
+        class Links(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                a = dict(attrs)
+                if tag == "link" and (a.get("rel") or "").lower() == "canonical":
+                    targets.append(a.get("href"))
+                if tag == "meta" and (a.get("http-equiv") or "").lower() == "refresh":
+                    targets.append((a.get("content") or "").partition("=")[2].strip("'\" "))
+
+        Links().feed(html or "")
+        if node(url):
+            root(node(url))
+            for t in filter(None, targets):
+                full = urljoin(url, t.strip())
+                if full.startswith("http") and not t.startswith("#") and node(full):
+                    group[root(node(full))] = root(node(url))
+    members = defaultdict(list)
+    for n in list(group):
+        members[root(n)].append(n)
+    shared = {}
+    for nodes in members.values():
+        said = {own(n.partition("/")[0], "/" + n.partition("/")[2].partition("?")[0])[1] for n in nodes}
+        for n in nodes:
+            shared[n] = (min(nodes), "allow" if "allow" in said else "block" if "block" in said else "allow")
+    out = []
+    for page, url, _ in rows:
+        n = node(url)
+        rest = url.split("://", 1)[1].split("#")[0].split("?")[0] if n else ""
+        host = rest.partition("/")[0]
+        path = rest[len(host):]
+        rule, verdict = own(host.lower(), path)
+        component, method = shared.get(n, (None, "allow"))
+        out.append((page, host.lower(), path, rule, verdict or method, component))
+    return sorted(out, key=str)
+
+
+LINK_CASES = [
+    ("http://a.io/x", "<link rel='canonical' href='/out?u=http://bad.net/1'>"),
+    ("http://a.io/out?u=http://bad.net/1", ""),
+    ("http://b.io/d/p?a=1&b=2", ""),
+    ("http://b.io/d/q", '<link rel="canonical" href="p?a=1&amp;b=2">'),
+    ("http://b.io/d/e/r", '<link rel=canonical href="../q">'),
+    ("http://b.io/d/e/../q", '<link href="?z=1" rel=canonical>'),
+    ("http://c.net", ""),
+    ("http://c.net/", ""),
+    ("http://d.io/s", '<link rel="canonical" href="mailto:x@c.net"><link rel="canonical" href="#top">'),
+    ("http://d.io/t", '<meta http-equiv="refresh" content="3; url=https://c.net/./u">'),
+    ("http://d.io/f", "<meta http-equiv='Refresh' content=\"0;url='//w.org/fr/'\">"),
+    ("http://d.io", '<link rel="canonical" href="&#47;t">'),
+]
+
+
+@pytest.mark.parametrize("count", [0, 3000])
+def test_linked_pages_with_hubs(workers, count):
+    import random
+
+    rng = random.Random(count)
+    rows = [(i, *case) for i, case in enumerate(LINK_CASES)]
+    hosts = [f"h{i}.io" for i in range(40)] + ["x.bad.net", "w.org", "shop.example.com"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['', 'de/', 'fr/', 'en/'])}{i}" for i in range(count)]
+    for i, url in enumerate(urls):
+        target = rng.choice(urls[:4]) if rng.random() < 0.1 else rng.choice(urls) if rng.random() < 0.3 else None
+        html = None if target is None else rng.choice([f'<link rel="canonical" href="{target}">', f"<meta http-equiv=refresh content='0; url={target}'>"])
+        rows.append((100 + i, url, html))
+    columns = ["page_id", "host", "path", "rule", "verdict", "component"]
+    got = url_filters.filter_urls(pages(workers, rows)).select(*columns).collect()
+    assert sorted(map(tuple, got), key=str) == plain_verdicts(rows, url_filters.RULES)
+    long = list(url_filters.RULES) + [(f"r{i}.example.org/{'p' * (i % 7)}", "block") for i in range(1200)] + [(f"h1.io/{i}", "block") for i in range(0, 900, 2)]
+    got = url_filters.filter_urls(pages(workers, rows), long).select(*columns).collect()
+    assert sorted(map(tuple, got), key=str) == plain_verdicts(rows, long)
+
+
+@pytest.mark.parametrize("linked", [False, True])
+def test_sql_of_linked_pages(workers, linked, tmp_path):
+    """The DuckDB statement of the query, on pages that have links."""
+    import duckdb
+
+    from pricehouse.llm import queries
+
+    rows = [(i, *case) for i, case in enumerate(LINK_CASES) if "&#47;" not in case[1]] + (PAGES[:12] if linked else [])
+    rows = [(i, url, html) for i, (_, url, html) in enumerate(rows)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    columns = ["page_id", "host", "path", "rule", "verdict", "component"]
+    got = url_filters.filter_urls(pages(workers, rows)).select(*columns).collect()
+    said = con.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES['op3_url_filters']}) x").fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(said, key=str)
 
 
 # vectors
