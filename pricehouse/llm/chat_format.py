@@ -3,8 +3,9 @@
 The nested field paths of a record (``messages[].role``), sorted and hashed, select
 a declarative mapping to canonical turns (conv_id, turn, role, text). The schema of a table of
 turns is looked up the same way. Without an exact match the largest layout whose fields are
-all there is taken, so extra columns of any name do no harm; a record without a mapping is
-returned as such, with a NULL role.
+all there is taken, if no other filled field of a record is one that layouts have texts in: a record
+that mixes two layouts is not guessed at, so no text is lost. A record without a mapping is
+returned as such, with a NULL role. A table of turns is read as one whatever other columns it has.
 
 Turns are formatted as a stream: sorted by conversation and turn inside their partition
 and read once, so a conversation of any length needs the memory of one turn. Each turn
@@ -13,7 +14,8 @@ count for the loss.
 
 Defined cases: NULL texts and roles are empty; turns without a number come first, equal
 numbers by role and text; repeated rows are turns of their own; a NULL conv_id is one
-conversation; an empty table gives an empty result.
+conversation; very long texts are turns like others, and a conversation of many turns is one
+stream in one task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -87,8 +89,23 @@ def paths_of(value, at: str = "") -> set[str]:
     return {at}
 
 
-def layout_of(paths: set[str]) -> Layout | None:
-    return LAYOUTS.get(fingerprint(paths)) or next((x for x in _BY_SIZE if paths.issuperset(x.paths)), None)
+def _fields(paths: Iterable[str]) -> set[str]:
+    """The outermost fields of paths."""
+    return {re.split(r"[.\[]", p, maxsplit=1)[0] for p in paths}
+
+
+#: Fields in which some layout has texts.
+_TEXTS = _fields(p for x in _LAYOUTS for p in x.paths) - {"conv_id", "turn"}
+
+
+def layout_of(paths: set[str], filled: set[str] | None = None) -> Layout | None:
+    """The mapping of a record or table with these fields; None where it would leave known texts out.
+
+    ``filled``: the outermost fields that are not empty, if that is known.
+    """
+    found = LAYOUTS.get(fingerprint(paths)) or next((x for x in _BY_SIZE if paths.issuperset(x.paths)), None)
+    held = _fields(paths) if filled is None else filled
+    return None if found and (held - _fields(found.paths)) & _TEXTS else found
 
 
 def _schema_paths(kind: T.DataType, at: str = "") -> set[str]:
@@ -107,7 +124,9 @@ def table_turns(table: DataFrame) -> DataFrame:
 
     Layouts other than rows of turns need a ``conv_id`` column beside their fields.
     """
-    layout = layout_of(_schema_paths(table.schema)) or layout_of(_schema_paths(table.schema) - {"conv_id"})
+    paths = _schema_paths(table.schema)
+    turns = _LAYOUTS[0]
+    layout = turns if paths.issuperset(turns.paths) else layout_of(paths) or layout_of(paths - {"conv_id"})
     if layout is None:
         raise ValueError("no mapping for these fields: " + ", ".join(sorted(_schema_paths(table.schema))))
     ids = F.col("conv_id").cast("bigint").alias("conv_id")
@@ -140,7 +159,7 @@ def turns_of(record: str | None) -> list[tuple[str | None, str | None]] | None:
         return None
     if not isinstance(value, dict):
         return None
-    layout = layout_of(paths_of(value))
+    layout = layout_of(paths_of(value), {k for k, v in value.items() if v not in (None, "", [], {})})
     if layout is None:
         return None
     found = [(role, _said(value.get(path))) for role, path in layout.turns]

@@ -17,9 +17,28 @@ def test_clashing_columns(workers, name):
 
 @pytest.mark.parametrize("name", CLASHING)
 def test_clashing_fields(name):
-    record = {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}], name: "x"}
+    """A further text of another layout would be lost, so the record has no mapping; an empty field loses nothing."""
+    said = [("user", "a"), ("assistant", "b")]
+    record = {"messages": [{"role": r, "content": t} for r, t in said]}
     head = [("system", "x")] if name == "system" else []
-    assert chat_format.turns_of(json.dumps(record)) == [*head, ("user", "a"), ("assistant", "b")]
+    assert chat_format.turns_of(json.dumps({**record, name: "x"})) == ([*head, *said] if head else None)
+    for empty in (None, ""):
+        found = chat_format.turns_of(json.dumps({**record, name: empty}))
+        assert found == ([("system", empty), *said] if name == "system" else said)
+    assert chat_format.turns_of(json.dumps({**record, "source": "web", "score": 3})) == said
+
+
+@pytest.mark.parametrize("record", [
+    {"messages": [{"role": "user", "content": "hi"}], "prompt": "p", "completion": "c"},
+    {"prompt": "p", "completion": "c", "response": "r"},
+    {"conv_id": 1, "turn": 0, "role": "user", "text": "t", "prompt": "p", "completion": "c"},
+    {"prompt": "p", "completion": "c", "input": "i"},
+    {"question": "q", "answer": "a", "messages": [{"role": "user", "content": "hi"}]},
+])
+def test_records_of_two_layouts_lose_no_text(workers, record):
+    text = json.dumps(record)
+    rows = workers.createDataFrame([(5, text)], "conv_id bigint, record string")
+    assert [tuple(r) for r in chat_format.record_turns(rows).collect()] == [(5, -1, None, text)]
 
 
 def test_system_and_parts():
