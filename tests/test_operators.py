@@ -101,3 +101,27 @@ def test_numbers_are_consecutive_and_repeatable(spark):
     assert tuple(stats) == (101, 5100, 5000)
     again = number_rows(df.repartition(3), ["k"], "n", 100)
     assert first.select("k", "n").exceptAll(again.select("k", "n")).isEmpty()
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 4}, {"limit": 40, "margin": -0.02}])
+def test_quantiles_equal_numpy_for_every_bracket(spark, options):
+    """Brackets of any size, and brackets that miss their rank, end in the exact quantile."""
+    import numpy as np
+
+    from pricehouse.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(8)
+    values = {"a": rng.normal(size=6000), "b": np.repeat(rng.normal(size=3), 900), "c": rng.normal(size=1), None: np.arange(300.0), "d": np.array([np.inf, -np.inf, 0.0, 1.0])}
+    rows = [(g, float(x)) for g, xs in values.items() for x in xs] + [("e", None), ("a", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    probs = {"q1": 0.25, "q2": 0.5, "q3": 0.75, "top": 1.0, "least": 0.0}
+    got = {r["g"]: [r[n] for n in probs] for r in exact_quantiles(df, ["g"], "x", probs, **options).collect()}
+    assert set(got) == set(values)
+    for g, xs in values.items():
+        if g != "d":
+            assert got[g] == pytest.approx(np.quantile(xs, list(probs.values())).tolist(), abs=1e-12)
+    assert got["d"][1] == 0.5 and got["d"][3] == float("inf")
+    every = np.concatenate([xs for g, xs in values.items() if g != "d"])
+    one = exact_quantiles(df.where("g is null or g <> 'd'"), [], "x", probs, **options).collect()
+    assert len(one) == 1 and [one[0][n] for n in probs] == pytest.approx(np.quantile(every, list(probs.values())).tolist(), abs=1e-12)
+    assert exact_quantiles(df.where("g = 'e'"), [], "x", probs, **options).count() == 0
