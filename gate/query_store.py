@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from gate.plain import plain
 from gate.query_checks import stage_of
 from gate.query_loads import NOW, STAMP
+from gate.query_reads import ORACLES as READ_ORACLES
 from gate.query_reads import gold_of
 from gate.tables import oracle
 from pricehouse import schemas as S
 from pricehouse.fixtures import Warehouse
 from pricehouse.operators import quality as Qc
+from pricehouse.operators.distinct_bits import day_number, number_bits
 from pricehouse.plans import marts as M
-from pricehouse.plans.gold import current_prices
+from pricehouse.plans import upkeep as U
+from pricehouse.plans.gold import build_gold, current_prices
 from pricehouse.plans.load import bulk_load
-from pricehouse.plans.store import Store, read_published, seed
+from pricehouse.plans.store import Store, publish, read_published, read_symbols, seed
 from pricehouse.session import new_folder
 from pricehouse.sources.csv_staging import stage_csv
 from pricehouse.streaming.stream_load import stream_load
@@ -152,7 +155,39 @@ def _schemas(w: Warehouse) -> DataFrame:
     )
 
 
+def _coverage(w: Warehouse) -> DataFrame:
+    """Days and assets per source, from bitmaps that ten loads have kept, and of all sources."""
+    store = Store(w.spark, new_folder(w.spark, "house"))
+    for number in range(_LOADS):
+        own = w.price_raw().where(F.col("price_id") % _LOADS == number).withColumn("load_seq", F.lit(number).cast("bigint"))
+        store.log_bits(number_bits(own, {"day": day_number(F.col("price_date")), "asset": F.col("asset_id")}, ["load_seq", "source_id"]))
+    return store.coverage(["source_id"]).unionByName(store.coverage().withColumn("source_id", F.lit(0)))
+
+
+def _maintained(w: Warehouse) -> DataFrame:
+    """The summary after batches came, one in ten failed later, and bars were replaced."""
+    late = F.col("batch_id") % 10
+    earlier = w.batch_meta().withColumn("status", F.when(late.isin(1, 2), F.lit("RUNNING")).when(late == 7, F.lit("SUCCESS")).otherwise(F.col("status")))
+    before = build_gold(w.price_raw(), w.asset(), w.data_source(), earlier)
+    after = gold_of(w)
+    removed, added = U.changed_bars(before, after)
+    stats = U.maintained_stats(U.asset_stats(before), removed, added, after)
+    return U.summary_of(w.asset(), stats)
+
+
+def _looked_up(w: Warehouse) -> DataFrame:
+    """Bars of three tickers, from the published files that can hold them."""
+    path = new_folder(w.spark, "gold")
+    publish(w.spark, path, gold_of(w))
+    tickers = ["U000000001", "U000000014-USD", "NONE"]
+    return read_symbols(w.spark, path, tickers, 2024, 2024).select("symbol", "price_date", "close_price", "volume")
+
+
 QUERIES = {
+    # A11, G4, F1
+    "coverage_by_loads": _q(_coverage),
+    "asset_summary_maintained": _q(_maintained),
+    "prices_looked_up": _q(_looked_up),
     # L4
     "compacted_prices": _q(_compacted),
     # I1, L5, I6, R1
@@ -197,6 +232,13 @@ def _o(kinds: str, sql: str) -> str:
 
 
 ORACLES = {
+    "coverage_by_loads": _o("source_id:i trading_days:i earliest_date:d latest_date:d asset_count:i", """
+SELECT source_id, count(DISTINCT price_date) AS trading_days, min(price_date) AS earliest_date, max(price_date) AS latest_date,
+       count(DISTINCT asset_id) AS asset_count FROM price_raw GROUP BY source_id
+UNION ALL SELECT 0, count(DISTINCT price_date), min(price_date), max(price_date), count(DISTINCT asset_id) FROM price_raw"""),
+    "asset_summary_maintained": READ_ORACLES["asset_summary"],
+    "prices_looked_up": _o("symbol:s price_date:d close_price:f volume:i", """
+SELECT symbol, price_date, close_price, volume FROM price_gold WHERE symbol IN ('U000000001', 'U000000014-USD', 'NONE')"""),
     "compacted_prices": _o("phase:s asset_id:i source_id:i price_date:d close_price:f load_seq:i batch_id:i", f"""
 SELECT phase, asset_id, source_id, price_date, new_close AS close_price, k AS load_seq, k AS batch_id
 FROM (SELECT p.*, k, close_price + k AS new_close,

@@ -29,10 +29,14 @@ class PriceClient:
     def prices(self, tickers: Sequence[str], start: date | str, end: date | str) -> DataFrame:
         if str(end) < str(start):
             raise ValueError("the end lies before the start")
-        return Q.prices(self.gold, tickers, start, end)
+        return Q.prices(self._bars_of(tickers, start, end), tickers, start, end)
 
     def total_return(self, ticker: str, start: date | str, end: date | str) -> DataFrame:
-        return Q.total_return(self.gold, ticker, start, end)
+        return Q.total_return(self._bars_of([ticker], start, end), ticker, start, end)
+
+    def _bars_of(self, tickers: Sequence[str], start: date | str, end: date | str) -> DataFrame:
+        """Gold from the files that can hold the tickers."""
+        return self.store.gold_of([t.upper() for t in tickers], int(str(start)[:4]), int(str(end)[:4]))
 
     def available_symbols(self, asset_type: str | None = None, exchange: str | None = None) -> DataFrame:
         return Q.available_symbols(self.asset, asset_type, exchange)

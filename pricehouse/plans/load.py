@@ -12,6 +12,7 @@ from pricehouse import schemas as S
 from pricehouse.functions import parsing as P
 from pricehouse.operators import loading as L
 from pricehouse.operators import quality as Q
+from pricehouse.operators.distinct_bits import day_number, number_bits
 from pricehouse.plans.queries import source_id
 from pricehouse.plans.store import MovedOn, Store
 from pricehouse.session import materialize
@@ -166,6 +167,8 @@ def load(
         F.coalesce("n", F.lit(0)).alias("row_count"),
     ), "loaded-batches")
     store.log_batches(L.batch_events(results, stamp))
+    covered = number_bits(written, {"day": day_number(F.col("price_date")), "asset": F.col("asset_id")}, ["load_seq", "source_id"])
+    store.log_bits(covered)
     _quarantine(store, sequence, rows, accepted, results, bad if unreadable else None)
     if refresh:
         touched = [r[0] for r in written.select(F.year("price_date")).distinct().collect()]

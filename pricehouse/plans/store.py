@@ -25,6 +25,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from pricehouse import schemas as S
 from pricehouse.operators import loading as L
+from pricehouse.operators.distinct_bits import coverage_of
 from pricehouse.plans.commits import Commits, reserve
 from pricehouse.plans.gold import build_gold, current_prices, live_prices
 
@@ -86,8 +87,13 @@ def publish(
             dealt = typed.hint("rebalance", *order[:2])
         else:
             dealt = typed.repartitionByRange(1 + about_bytes // TASK_BYTES, *order)
-        dealt.sortWithinPartitions(*order).write.partitionBy("price_year").parquet(folder)
+        writer = dealt.sortWithinPartitions(*order).write.partitionBy("price_year")
+        if "symbol" in rows.columns:
+            writer = writer.option("parquet.bloom.filter.enabled#symbol", "true")
+        writer.parquet(folder)
         columns = typed.schema.json()
+        if "symbol" in rows.columns:
+            _list_files(spark, folder, typed.schema)
         mine = {name.split("=")[1]: f"{folder}/{name}" for name in _folders(spark, folder)}
     else:
         rows.hint("rebalance").write.parquet(folder)  # few files of even size
@@ -110,6 +116,44 @@ def publish(
         number = commits.latest()
 
 
+def _manifest(folder: str) -> str:
+    """Where the list of the files under a version's folder lies."""
+    return folder.replace("/versions/version=", "/files/version=")
+
+
+def _list_files(spark: SparkSession, folder: str, schema: StructType) -> None:
+    """Write the first and last symbol of each file of a version, by year."""
+    stored = spark.read.schema(schema).parquet(folder).select("symbol", "price_year", F.col("_metadata.file_path").alias("file"))
+    files = stored.groupBy("price_year", "file").agg(F.min("symbol").alias("first"), F.max("symbol").alias("last"))
+    files.repartition("price_year").write.partitionBy("price_year").parquet(_manifest(folder))
+
+
+def read_symbols(
+    spark: SparkSession, path: str, symbols: Sequence[str], first_year: int | None = None, last_year: int | None = None
+) -> DataFrame:
+    """The published bars of a few symbols, from the files that can hold them only.
+
+    Files are clustered by symbol and the list of a version has the range of each, so a ticker is in one
+    file a year, or in neighbours if it fills several. Only their names come to the driver.
+    """
+    pointer = _pointer(spark, path)
+    if pointer is None:
+        raise ValueError(f"nothing published at {path}")
+    schema = StructType.fromJson(json.loads(pointer["columns"]))
+    years = [f for y, f in pointer["years"].items() if (first_year or int(y)) <= int(y) <= (last_year or int(y))]
+    names = []
+    if years and symbols:
+        listed = spark.read.schema("file STRING, first STRING, last STRING").parquet(*[_manifest(f) for f in years])
+        wanted = F.lit(False)
+        for symbol in symbols:
+            wanted = wanted | F.lit(symbol).between(F.col("first"), F.col("last"))
+        names = [r["file"] for r in listed.where(wanted).select("file").collect()]
+    if not names:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).option("basePath", f"{path}/versions").parquet(*names)
+    return stored.where(F.col("symbol").isin(list(symbols))).select(*schema.fieldNames())
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     """The partition folders right under ``path``: one for each year."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -331,6 +375,18 @@ class Store:
                 if left == 1:
                     raise
 
+    def gold_of(self, symbols: Sequence[str], first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+        """The published bars of a few symbols (see :func:`read_symbols`)."""
+        return read_symbols(self.spark, self.path("price_gold"), symbols, first_year, last_year)
+
+    def log_bits(self, bits: DataFrame) -> None:
+        """Keep what a load covers (see ``operators.distinct_bits``)."""
+        bits.hint("coalesce", 1).write.mode("append").parquet(self.path("coverage_log"))
+
+    def coverage(self, by: Sequence[str] = ()) -> DataFrame:
+        """Distinct days and assets, first and last day of all bars of successful batches, ``by`` source_id or in all."""
+        return coverage_of(self._appended("coverage_log", StructType.fromDDL(S.COVERAGE_LOG)), by)
+
     def gold_years(self) -> list[int]:
         pointer = _pointer(self.spark, self.path("price_gold"))
         return [int(y) for y in pointer["years"]] if pointer else []

@@ -41,6 +41,11 @@ QUARANTINE = """
     volume_str STRING, adj_close_str STRING
 """
 
+#: Days and assets that a load brought, as bitmaps.
+COVERAGE_LOG = """
+    load_seq BIGINT, source_id INT, kind STRING, bucket BIGINT, bits BINARY, least BIGINT, most BIGINT
+"""
+
 STAGE_COLUMNS = [
     "symbol", "date_str", "open_str", "high_str", "low_str",
     "close_str", "volume_str", "adj_close_str",
