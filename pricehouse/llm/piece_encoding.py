@@ -12,7 +12,8 @@ A table shared by all tasks would send every word of the corpus through two
 shuffles; one per task sends none.
 
 Defined cases: a NULL or empty text has only the begin and end ids and decodes to
-the empty text; repeated rows are encoded one by one; an empty table gives an empty
+the empty text; a very long text is encoded whole, chunk by chunk, and a very long chunk by
+the library at once; repeated rows are encoded one by one; an empty table gives an empty
 result; only doc_id and the text are read unless more columns are named.
 """
 

@@ -4,7 +4,8 @@ Every measure is a built-in expression over the words and lines of one text, so
 row is judged where it is read: no shuffle, no user function, nothing broadcast.
 
 Defined cases: a NULL text counts as empty (no words, fails the base rule); ratios
-of a text without words or lines are 0; repeated rows are judged one by one; an
+of a text without words or lines are 0; a very long text is judged whole, in memory of some
+times its size; bounds are inclusive, so a measure on one passes; repeated rows are judged one by one; an
 empty table gives an empty result; other columns are left alone by ``judge`` and
 passed on by ``keep_good``.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricehouse.functions.parsing import compute_once
-from pricehouse.llm.text import WORD, let, pick, words_of
+from pricehouse.llm.text import WORD, column, let, pick, words_of
 
 #: Frequent function words of the four languages of the corpus (fixed values).
 STOP_WORDS = (
@@ -178,8 +179,7 @@ def judge(
         F.col(f"{prefix}.{c}").alias(c)
         for c in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_repeat_words")
     ] + [F.col(f"{prefix}.lines.{c}").alias(c) for c in ("n_lines", "n_dup_lines")]
-    names = [c for c in docs.columns]
-    row = F.struct(*[F.col(c) for c in names]).alias("_row")
+    row = F.struct(*[column(c) for c in docs.columns]).alias("_row")
     wide = counted.select(row, *counts)
     wide = wide.withColumns(
         {
@@ -200,7 +200,7 @@ def judge(
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows whose text passes the base rule and every rule; same columns."""
     judged = judge(docs, rules, text)
-    return judged.filter(F.col(f"{judged.columns[-1]}.kept")).select(*docs.columns)
+    return judged.filter(F.col(f"{judged.columns[-1]}.kept")).select(*[column(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:

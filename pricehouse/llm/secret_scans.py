@@ -17,7 +17,8 @@ Texts are read once. A row with the spans and p-value steps of each document is
 written to the shared folder, so that the second step reads that and no text.
 
 Defined cases: a NULL text counts as empty and has no spans; offsets are code
-points, ends exclusive; repeated rows are scanned one by one (and weigh as often in
+points, ends exclusive; very long texts and tokens are scanned whole, in time that grows with
+their length; spans that start together are listed by kind; repeated rows are scanned one by one (and weigh as often in
 the families); an empty table gives an empty result; only the named columns are read.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -129,9 +131,16 @@ def spans_of(text: str) -> list[tuple[int, int, int, int, int]]:
         found += [(m.start(), 0, m.end(), -1, -1) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     found += [(m.start(), 1, m.end(), -1, -1) for m in _ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), -1, -1) for m in _HEX.finditer(text)]
-    base = sorted(found)
+    taken: list[list[int]] = []  # base spans, joined where they overlap
+    for start, _, end, _, _ in sorted(found):
+        if taken and start < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    ends = [e for _, e in taken]
     for start, end in tokens_of(text):
-        if any(s < end and start < e for s, _, e, _, _ in base):
+        first = bisect_right(ends, start)
+        if first < len(taken) and taken[first][0] < end:
             continue
         p = randomness(text[start:end])
         if p is not None:
@@ -231,14 +240,17 @@ def redact(docs: DataFrame, text: str = "text", level: float = LEVEL, mark: str
     """
     limits = rejected_from(materialize(scan(docs, (), text).select("spans"), "secret-steps"), level)
 
+    at = docs.columns.index(text)
+    # Columns go by number: a name with a dot in it cannot be passed to the workers.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
     def run(batches):
         for whole in batches:
-            at = whole.schema.get_field_index(text)
-            for batch in slices(whole, text):
+            for batch in slices(whole, f"c{at}"):
                 texts = [None if x is None else _masked(x, limits, mark) for x in batch.column(at).to_pylist()]
                 yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 
 
 def _masked(text: str, limits: dict[int, int], mark: str) -> str:

@@ -22,7 +22,8 @@ capped: a bucket with many distinct fingerprints is split by adaptive execution.
 
 Defined cases: a text of fewer words than a shingle is one shingle; NULL, empty and
 wordless texts have fingerprint 0, which links like any other; repeated rows share
-everything; a NULL doc_id is kept, never names a group, and a group of nothing else
+everything; a very long text is hashed whole, block by block; a bit set in exactly half of the
+shingles is 0; a NULL doc_id is kept, never names a group, and a group of nothing else
 has a NULL component; an empty table gives an empty result.
 """
 

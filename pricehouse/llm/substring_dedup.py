@@ -23,7 +23,8 @@ A passage shared by many documents is one hash for each cell, so no part is hot;
 numbers of cells and parts follow from the size of the texts.
 
 Defined cases: NULL and wordless texts have no words and the digest of the empty
-text; texts under 13 words stay whole; a NULL doc_id counts as larger than all others;
+text; texts under 13 words stay whole; a very long text is read whole and its cell is larger
+by it; rows equal in doc_id and text, or without doc_id and equal in text, share a cell, which must hold them; a NULL doc_id counts as larger than all others;
 rows with equal doc_id do not remove each other's words; an empty table gives an empty
 result; only doc_id and text are read.
 """
