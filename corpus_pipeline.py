@@ -6,7 +6,8 @@ stages but the last return the columns of their input.
 
 Defined cases are those of the operators: NULL and empty texts fail the quality rules,
 rows with one doc_id or none are told apart by all columns at the near-duplicate
-stage, a NULL source is a source of its own in the mix, and an empty table gives an empty corpus.
+stage, very long texts pass every stage whole, a NULL source is a source of its own in the mix, and an
+empty table gives an empty corpus.
 """
 
 from __future__ import annotations
