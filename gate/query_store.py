@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gate.plain import plain
 from gate.query_checks import stage_of
-from gate.query_loads import NOW, STAMP
+from gate.query_loads import _EXTRA as LOAD_TABLES
+from gate.query_loads import NOW, STAMP, _load
 from gate.query_reads import ORACLES as READ_ORACLES
 from gate.query_reads import gold_of
 from gate.tables import oracle
@@ -120,6 +121,13 @@ def _with_unreadable(w: Warehouse) -> DataFrame:
     return joined.select("symbol", "outcome", "records_loaded", "status", "has_error", F.coalesce("quarantined", F.lit(0)).alias("quarantined"))
 
 
+def _load_quality(w: Warehouse) -> DataFrame:
+    """The checks that a load has logged for its batches."""
+    store, _ = _load(w)
+    batches = store.read("batch_meta").select("batch_id", F.regexp_extract("file_path", "file=([^/]*)/", 1).alias("file"))
+    return store.read("quality_log").join(batches, "batch_id").select("file", "check_name", "check_result", "score")
+
+
 def _one_by_one(w: Warehouse) -> DataFrame:
     """Two files per exchange, one file a micro-batch: the first load must not hide the second file."""
     root = new_folder(w.spark, "exchanges")
@@ -194,6 +202,8 @@ QUERIES = {
     "stage_csv_quotes": _q(_staged_quotes),
     "load_with_unreadable_file": _q(_with_unreadable),
     "stream_load_one_by_one": _q(_one_by_one),
+    # Q12
+    "load_quality_log": _q(_load_quality),
     # Q1, Q8
     "validate_schema": _q(_schemas),
     "quality_report_empty_files": _q(lambda w: Qc.quality_report(stage_of(w), files=_all_files(w)).select(
@@ -257,6 +267,12 @@ SELECT symbol, 'loaded' AS outcome, count(CASE WHEN dayofyear(price_date) % 7 <>
        'SUCCESS' AS status, false AS has_error, count(CASE WHEN dayofyear(price_date) % 7 = 0 THEN 1 END) AS quarantined
 FROM price_gold GROUP BY symbol
 UNION ALL SELECT 'BROKEN', 'failed', 0, 'FAILED', true, 1"""),
+    "load_quality_log": oracle("file:s check_name:s check_result:s score:f", """
+SELECT source_file AS "file", check_name, CASE WHEN v >= 100 THEN 'PASS' WHEN v >= floor THEN 'WARN' ELSE 'FAIL' END AS check_result,
+       CAST(v AS DECIMAL(5,2)) AS score
+FROM file_scores, LATERAL (VALUES ('completeness', completeness, 95), ('validity', validity, 75), ('consistency', consistency, 75),
+                                  ('uniqueness', uniqueness, 99)) t(check_name, v, floor)
+WHERE quality_score >= 70""", LOAD_TABLES),
     "stream_load_one_by_one": _o("symbol:s price_date:d open_price:f high_price:f low_price:f close_price:f volume:i", """
 SELECT COALESCE(exchange, 'NONE') AS symbol, price_date, max(open_price) AS open_price, max(high_price) AS high_price,
        min(low_price) AS low_price, min(close_price) AS close_price, sum(volume) AS volume

@@ -19,6 +19,9 @@ from pricehouse.operators.joins import null_safe_join
 
 KEY = ["symbol", "date_str"]
 
+#: The parts of a score.
+SCORES = ("completeness", "validity", "consistency", "uniqueness")
+
 #: Rows of a file that one task looks back over.
 CHUNK_ROWS = 1_000_000
 

@@ -62,7 +62,7 @@ def exact_quantiles(
     group = [*by, "name"]
 
     def counted(brackets: DataFrame) -> DataFrame:
-        met = (null_safe_join(rows, brackets, by, "inner") if by else rows.crossJoin(brackets)).select(*by, "_v", F.explode("_b").alias("b"))
+        met = null_safe_join(rows, brackets, by, "inner").select(*by, "_v", F.explode("_b").alias("b"))
         place = F.when(F.col("_v") >= F.col("b.low"), F.col("_v")).alias("place")
         kept = met.where(F.col("_v") <= F.col("b.high")).select(*by, "b.name", "b.first", "b.second", "b.share", place)
         counts = kept.groupBy(*group, "first", "second", "share", "place").agg(F.count("*").alias("c"))

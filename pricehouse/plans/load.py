@@ -91,7 +91,7 @@ def load(
         .when(chosen.isNull(), F.lit("it names no symbol"))
     )
     judged = files.join(scores, "source_file", "left").join(bad, F.col("source_file") == F.col("bad_file"), "left").select(
-        "source_file", "file_size_bytes", "row_count", "quality_score",
+        "source_file", "file_size_bytes", "row_count", "quality_score", *Q.SCORES,
         chosen.alias("symbol"), message.alias("message"), F.col("problem").isNotNull().alias("unreadable"),
     )
     judged = materialize(judged, "judged")
@@ -127,6 +127,9 @@ def load(
     new = materialize(L.make_batches(known.limit(0), registered, sid, stamp, first), "new-batches")
     store.log_batches(new.withColumn("event", F.lit(0)))
     named = new.select("batch_id", F.col("file_path").alias("source_file"))
+    # The scores of the one pass that judged the files; staged rows are not read for the log.
+    scored = judged.where("row_count > 0").join(named, "source_file")
+    store.log_quality(Q.quality_log(scored, "batch_id").withColumn("checked_at", stamp))
     nothing = F.lit(None).cast("bigint").alias("row_count")
     if unreadable:
         lost = named.join(bad, F.col("source_file") == F.col("bad_file"))
@@ -264,14 +267,18 @@ def bulk_load(
         todo = L.skip_loaded(files, loaded)
     else:
         todo = files
-    # The reader needs the paths; its own file index holds the same list.
-    paths = [r["path"] for r in todo.select("path").toLocalIterator()]
-    skipped = files.join(todo.select("source_file"), "source_file", "left_anti").select(
+    found = materialize(todo.select("path", "source_file"), "files-to-load")
+    if only is None and found.count() == files.count():
+        paths = [folder] if isinstance(folder, str) else list(folder)  # nothing is skipped
+    else:
+        # The reader needs the paths; its own file index holds the same list.
+        paths = [r["path"] for r in found.select("path").toLocalIterator()]
+    skipped = files.join(found.select("source_file"), "source_file", "left_anti").select(
         "source_file", "symbol", F.lit("skipped").alias("outcome"), F.lit("its ticker is held already").alias("message"),
         F.lit(0).cast("bigint").alias("records_loaded"), F.lit(None).cast("double").alias("quality_score"),
     )
     skipped = materialize(skipped, "skipped")
-    if not paths:
+    if not paths or found.isEmpty():
         return skipped
     results = load(store, paths, source, symbol=ticker, asset_type=asset_type, pattern=pattern, **options)
     return results.select(*RESULT_COLUMNS).unionByName(skipped)

@@ -37,6 +37,9 @@ SCHEMAS = {
 }
 
 
+#: Tables that loads only add to.
+APPENDED = {"quarantine": S.QUARANTINE, "quality_log": S.QUALITY_LOG}
+
 #: Stored bytes that one task of a price table should write about.
 TASK_BYTES = 128 << 20
 
@@ -229,8 +232,8 @@ class Store:
             return self._raw().drop("price_year")
         if name == "batch_meta":
             return self._batches()
-        if name == "quarantine":
-            return self._appended("quarantine", StructType.fromDDL(S.QUARANTINE))
+        if name in APPENDED:
+            return self._appended(name, StructType.fromDDL(APPENDED[name]))
         pointer = _pointer(self.spark, self.path(name))
         if pointer is None and name in SCHEMAS:
             return self.spark.createDataFrame([], SCHEMAS[name])
@@ -379,6 +382,10 @@ class Store:
         """The published bars of a few symbols (see :func:`read_symbols`)."""
         return read_symbols(self.spark, self.path("price_gold"), symbols, first_year, last_year)
 
+    def log_quality(self, checks: DataFrame) -> None:
+        """Keep the checks of a load's batches."""
+        checks.select(*[f.name for f in StructType.fromDDL(S.QUALITY_LOG)]).hint("coalesce", 1).write.mode("append").parquet(self.path("quality_log"))
+
     def log_bits(self, bits: DataFrame) -> None:
         """Keep what a load covers (see ``operators.distinct_bits``)."""
         bits.hint("coalesce", 1).write.mode("append").parquet(self.path("coverage_log"))

@@ -41,6 +41,11 @@ QUARANTINE = """
     volume_str STRING, adj_close_str STRING
 """
 
+#: Checks of the batches of loads.
+QUALITY_LOG = """
+    batch_id INT, check_name STRING, check_result STRING, score DECIMAL(5,2), details MAP<STRING, STRING>, checked_at TIMESTAMP
+"""
+
 #: Days and assets that a load brought, as bitmaps.
 COVERAGE_LOG = """
     load_seq BIGINT, source_id INT, kind STRING, bucket BIGINT, bits BINARY, least BIGINT, most BIGINT

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from gate import query_checks, query_loads, query_reads
+from gate import query_checks, query_loads, query_reads, query_store
 
 FOLDER = "/root/testdata/sf0.001"
 # These write files and run whole loads when built.
@@ -13,8 +13,9 @@ RUN_JOBS = {
     "stage_csv", "list_files", "load_files", "load_files_gold", "validate_only", "bulk_load", "bulk_load_again",
     "retry_failed", "stream_load", "stream_load_two_files", "read_exchange_lists", "update_exchanges", "update_exchanges_after",
     "backup_exchanges", "symbol_list", "load_errors", "intraday_range", "refresh_gold", "refresh_all",
+    "coverage_by_loads", "prices_looked_up", "compacted_prices", "stage_csv_quotes", "load_with_unreadable_file", "stream_load_one_by_one", "load_quality_log",
 }
-WAREHOUSE = {n: q for g in (query_reads, query_checks, query_loads) for n, q in g.QUERIES.items()}
+WAREHOUSE = {n: q for g in (query_reads, query_checks, query_loads, query_store) for n, q in g.QUERIES.items()}
 LAZY = sorted(set(WAREHOUSE) - RUN_JOBS)
 # A window over the at most 1024 chunk sizes of an id range, or one row per partition.
 CHUNK_SIZES = {
