@@ -77,6 +77,6 @@ def test_point_queries_push_their_filter_and_prune_columns(spark, tmp_path):
 
 
 def test_every_query_has_an_oracle_and_a_unique_name():
-    groups = [query_reads.QUERIES, query_checks.QUERIES, query_loads.QUERIES]
+    groups = [query_reads.QUERIES, query_checks.QUERIES, query_loads.QUERIES, query_store.QUERIES]
     assert len(WAREHOUSE) == sum(len(g) for g in groups)
     assert set(WAREHOUSE) <= set(entry.queries()) and set(WAREHOUSE) <= set(entry.oracle_sql())
