@@ -16,10 +16,11 @@ the first filled one in a fixed order of its own, so short texts keep full sketc
 3. Where a bucket still holds several components, its nodes are known by what tells them from
    its centre. Two sets can only be linked if they share enough of that: with the rarest
    of it first, a short prefix of one holds a token of a prefix of the other. Only such
-   pairs across components are verified, so copies with edits of their own never meet.
+   pairs across components are estimated and verified, so copies with edits of their own never
+   meet. What tells a node from its centre also says exactly whether those two are linked.
 
-Nothing is capped. A link can be missed by chance alone, by steps 1 and 2 together in
-fewer than one of 100,000 pairs that lie exactly at the limit, and fewer above it.
+Nothing is capped. A link can be missed by chance alone: by step 1 as said, and by an estimate, in
+the normal approximation, in fewer than one of 100,000 pairs exactly at the limit, and fewer above it.
 
 Defined cases: a text with fewer words than a shingle is one shingle; NULL, empty and
 wordless texts have no shingles and are linked with nothing; repeated rows share
