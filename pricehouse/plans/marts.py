@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricehouse.plans.queries import in_years
@@ -140,6 +140,12 @@ def day_factors(
     )
 
 
+def _ratio(value: Column, base: Column) -> Column:
+    """``value / base`` of doubles where a ``base`` of 0 gives infinity, and NaN for 0 to 0."""
+    of_zero = F.when(value > 0, F.lit(float("inf"))).when(value < 0, F.lit(float("-inf"))).when(value == 0, F.lit(float("nan")))
+    return F.when(base == 0, of_zero).otherwise(F.try_divide(value, base))
+
+
 def adjusted_prices(
     gold: DataFrame, corporate_action: DataFrame, dividend_cash: DataFrame, stock_split: DataFrame, dividend_stock: DataFrame
 ) -> DataFrame:
@@ -149,8 +155,8 @@ def adjusted_prices(
     dividend divides by the shares it makes, a cash dividend takes its part of the last close
     before it. ``adjusted_close`` is the close times that; ``total_return`` is its change
     against the bar before, NULL for an asset's first bar; ``wealth`` is what one unit put in at
-    the first bar has become. Actions without an earlier bar, and dividends of the last close
-    or more, change nothing.
+    the first bar has become. A change from a close of 0 is infinite, from 0 to 0 NaN. Actions
+    without an earlier bar, and dividends of the last close or more, change nothing.
 
     Actions are reduced to a row a day, and bars and ex-dates are merged in the order of
     days: a running last close, and a running product from the newest day backwards. So no bar
@@ -174,6 +180,6 @@ def adjusted_prices(
     first = F.first("adjusted_close").over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return adjusted.select(
         "asset_id", "symbol", "price_date", "close", "day_factor", "adjust_factor", "adjusted_close",
-        (F.try_divide(F.col("adjusted_close"), F.lag("adjusted_close").over(forward)) - 1).alias("total_return"),
-        F.try_divide(F.col("adjusted_close"), first).alias("wealth"),
+        (_ratio(F.col("adjusted_close"), F.lag("adjusted_close").over(forward)) - 1).alias("total_return"),
+        _ratio(F.col("adjusted_close"), first).alias("wealth"),
     )
