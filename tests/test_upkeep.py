@@ -84,3 +84,19 @@ def test_a_ticker_is_read_from_one_file_a_year(spark, tmp_path):
     assert read_symbols(spark, path, ["S007"]).where("year(price_date) = 2024").count() == 1
     publish(spark, str(tmp_path / "none"), changed.limit(0))
     assert read_symbols(spark, str(tmp_path / "none"), ["S007"]).count() == 0 and read_published(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_adjusted_prices_around_a_close_of_zero(spark):
+    def table(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    bars = [(1, "A", date(2024, 1, d), c) for d, c in ((1, 0.0), (2, 0.0), (3, 8.0), (4, 4.0))]
+    gold = table(bars, "asset_id INT, symbol STRING, price_date DATE, close_price DOUBLE")
+    actions = table([(1, 1, date(2024, 1, 4))], "action_id INT, asset_id INT, ex_date DATE")
+    cash = table([], "action_id INT, dividend_amount DOUBLE")
+    split = table([(1, 2, 1)], "action_id INT, split_ratio_to INT, split_ratio_from INT")
+    stock = table([], "action_id INT, dividend_ratio DOUBLE")
+    rows = marts.adjusted_prices(gold, actions, cash, split, stock).orderBy("price_date").collect()
+    assert [r["adjusted_close"] for r in rows] == [0.0, 0.0, 4.0, 4.0]
+    first, still, up, split_day = [r["total_return"] for r in rows]
+    assert first is None and still != still and up == float("inf") and split_day == 0.0
