@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timezone
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricehouse.client import PriceClient
 from pricehouse.plans.exchange_update import update_exchanges
+from pricehouse.plans import load as load_module
 from pricehouse.plans.load import bulk_load, load, load_folder, retry_failed, validate_only
 from pricehouse.plans.store import Store, publish, read_published, refresh_all, seed
 from pricehouse.sources.lists import read_symbol_list, write_load_errors, write_symbol_list
@@ -198,6 +200,40 @@ def test_stream_load_does_not_depend_on_its_batches(spark, store, tmp_path, refr
     assert read_published(spark, store.path("price_gold")).count() == 12
 
 
+def test_stream_load_reads_a_backlog_once(spark, store, tmp_path, monkeypatch):
+    """Five files, two a refresh: staged by one job, three loads in order of arrival, three refreshes."""
+    arrived = ["z/aapl", "z/msft", "b/ibm", "a/aapl", "c/ko"]
+    for n, name in enumerate(arrived):
+        file = tmp_path / "in" / f"{name}.csv"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(HEAD + bars(1, 2, 100.0 + n) + ("2024-01-09,abc,9,8,9,5,9\n" if name == "b/ibm" else ""))
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    staged, seen = [], []
+    stage, refresh = load_module.stage_csv, Store.refresh_gold
+
+    def staging(spark, paths, *rest):
+        staged.append(len(paths))
+        return stage(spark, paths, *rest)
+
+    def refreshing(self, *args, **named):
+        refresh(self, *args, **named)
+        gold = read_published(spark, self.path("price_gold")).where("price_date = '2024-01-01'")
+        seen.append({r["symbol"]: float(r["open_price"]) for r in gold.collect()})
+
+    monkeypatch.setattr(load_module, "stage_csv", staging)
+    monkeypatch.setattr(Store, "refresh_gold", refreshing)
+    query = stream_load(store, str(tmp_path / "in" / "*"), str(tmp_path / "ckpt"), refresh_batch=2, min_score=50.0)
+    query.awaitTermination()
+    assert staged == [5]
+    first = {"AAPL": 100.0, "MSFT": 101.0}
+    assert seen == [first, {**first, "AAPL": 103.0, "IBM": 102.0}, {**first, "AAPL": 103.0, "IBM": 102.0, "KO": 104.0}]
+    loads = {r["load_seq"]: r["count"] for r in store.read("price_raw").groupBy("load_seq").count().collect()}
+    assert loads == {1: 4, 2: 4, 3: 2}
+    assert [(r["load_seq"], r["symbol"]) for r in store.read("quarantine").collect()] == [(2, "IBM")]
+    assert store.read("batch_meta").where("status = 'SUCCESS'").count() == 5
+    assert store.coverage().first()["asset_count"] == 4
+
+
 def test_failed_append_marks_its_batches(spark, store, tmp_path, monkeypatch):
     (tmp_path / "f").mkdir()
     (tmp_path / "f" / "aapl.csv").write_text(HEAD + bars(1, 3))

@@ -158,6 +158,19 @@ def test_line_states_equal_a_walk_over_the_letters(spark, tmp_path_factory, text
     assert got == wanted
 
 
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    for n in range(60):  # over 32, Spark lists them by a job
+        (tmp_path / f"f={n}").mkdir()
+        write(tmp_path, f"f={n}/A.csv", "Date,Close\n2024-01-01,1\n")
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert list_files(spark, str(tmp_path)).count() == 60
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name, None) in (None, "10000")
+
+
 def test_unreadable_files_are_named_and_left_out(spark, tmp_path):
     write(tmp_path, "A.csv", "Date,Close\n2024-01-01,1\n")
     write(tmp_path, "empty.csv", "")
