@@ -412,3 +412,98 @@ def test_unreadable_and_unparsable_input_is_kept_apart(spark, store, tmp_path):
     report = {r["source_file"].rsplit("/", 1)[1]: r for r in validate_only(spark, str(tmp_path / "q"), "*.csv*").collect()}
     assert {n: (r["schema_valid"], r["quality_score"] > 0, r["schema_error"]) for n, r in report.items()} == {
         "AAA.csv": (True, True, None), "BBB.csv.gz": (False, False, "java.io.IOException: not a gzip file"), "CCC.csv": (False, False, "DataFrame is empty")}
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, store, tmp_path):
+    (tmp_path / "many").mkdir()
+    for n in range(300):
+        (tmp_path / "many" / f"T{n:03d}.csv").write_text(HEAD + bars(1, 1))
+    tasks = []
+    from pricehouse.sources import csv_staging
+
+    kept = csv_staging.materialize
+
+    def materialize(df, label):
+        out = kept(df, label)
+        tasks.append((label, len(out.inputFiles())))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(csv_staging, "materialize", materialize)
+        staged = csv_staging.stage_csv(spark, str(tmp_path / "many"))
+    assert dict(tasks)["lines"] <= 4 and spark.conf.get("spark.sql.files.openCostInBytes", None) != str(256 << 10)
+    assert staged.count() == staged.select("source_file").distinct().count() == 300
+
+
+def test_gold_history_equals_gold_after_each_load(spark):
+    """Loads that replace each other's bars, of several sources and batches, some failed, one load from elsewhere."""
+    import random
+
+    from pricehouse import schemas as S
+    from pricehouse.plans.gold import build_gold, current_prices, gold_history
+
+    rng = random.Random(7)
+    stamp = [datetime(2024, 2, d, tzinfo=timezone.utc) for d in range(1, 9)]
+    batches = [(b, 1 + b % 3, rng.choice(stamp), rng.choice(["SUCCESS", "SUCCESS", "FAILED"]) if b < 20 else "SUCCESS") for b in range(40)]
+    rows = []
+    for i in range(900):
+        load = rng.choice([2, 3, 9, *range(4, 8)])
+        batch = rng.randrange(20) if load in (2, 3, 9) else 20 + (load - 4) * 5 + rng.randrange(5)
+        day = date(rng.choice([2023, 2024]), 12, rng.randint(1, 4))
+        rows.append((i, rng.randint(1, 12), batch, 1 + batch % 3, day, rng.choice(["DAILY"] * 9 + ["WEEKLY"]), float(i), load, rng.choice(stamp), i))
+    raw = spark.createDataFrame(
+        rows, "price_id BIGINT, asset_id INT, batch_id INT, source_id INT, price_date DATE, granularity STRING, close_price DOUBLE, "
+        "load_seq BIGINT, created_at TIMESTAMP, row_number BIGINT")
+    for c in ("open_price", "high_price", "low_price", "volume", "adj_close_price"):
+        raw = raw.withColumn(c, F.lit(1.0))
+    assets = spark.createDataFrame([(a, f"S{a}", "STOCK", "USD", "X", "N", a != 5) for a in range(1, 13)],
+                                   "asset_id INT, symbol STRING, asset_type STRING, currency STRING, exchange STRING, company_name STRING, is_active BOOLEAN")
+    sources = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "source_id INT, source_name STRING")
+    meta = spark.createDataFrame(batches, "batch_id INT, source_id INT, start_time TIMESTAMP, status STRING")
+    history = gold_history(raw, assets, sources, meta, 4, 7).persist()
+    for n in range(4, 8):
+        seen = raw.where(~F.col("load_seq").between(n + 1, 7))
+        want = build_gold(current_prices(seen), assets, sources, meta)
+        got = history.where((F.col("from_load") <= n) & (F.col("until_load").isNull() | (F.col("until_load") > n)))
+        assert sorted(map(str, got.select(*S.GOLD_COLUMNS).collect())) == sorted(map(str, want.collect())) != []
+    history.unpersist()
+
+
+def test_refreshes_of_a_backlog_share_one_history(spark, store, tmp_path, monkeypatch):
+    """Five groups over two years: the rows of all refreshes are written by one job, each version is whole."""
+    from pricehouse.plans import store as store_module
+
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "ibm.csv").write_text(HEAD + bars(1, 3, 50.0).replace("2024-", "2022-"))
+    bulk_load(store, str(tmp_path / "old"), now=T1)
+    names = ["p/aapl", "p/msft", "q/aapl", "q/ko", "r/msft"]
+    for n, name in enumerate(names):
+        file = tmp_path / "in" / f"{name}.csv"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(HEAD + bars(1 + n, 3, 100.0 * (n + 1)) + (bars(1, 1, 7.0 + n).replace("2024-", "2023-") if n % 2 == 0 else ""))
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    written, seen = [], []
+    publish_rows, refresh = store_module.publish, Store.refresh_gold
+
+    def publishing(spark, path, *args, **named):
+        written.append(path.rsplit("/", 1)[1])
+        return publish_rows(spark, path, *args, **named)
+
+    def refreshing(self, years=None, tries=5, pending=None, **named):
+        if len(seen) == 2:  # another writer publishes in between: what it did is kept, the rest is worked out anew
+            refresh(self, [2022])
+        refresh(self, years, tries, pending, **named)
+        gold = read_published(spark, self.path("price_gold"))
+        want = self.gold(None, pending)
+        assert sorted(map(str, gold.select(want.columns).collect())) == sorted(map(str, want.collect()))
+        found = self.gold_of(["AAPL", "KO"]).select(want.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.where("symbol in ('AAPL', 'KO')").collect()))
+        statuses = {r["status"] for r in self.read("batch_meta").where("batch_id > 1").collect()}
+        seen.append((gold.count(), "RUNNING" in statuses))
+
+    monkeypatch.setattr(store_module, "publish", publishing)
+    monkeypatch.setattr(Store, "refresh_gold", refreshing)
+    stream_load(store, str(tmp_path / "in" / "*"), str(tmp_path / "ckpt"), refresh_batch=1).awaitTermination()
+    assert [s[1] for s in seen] == [True, True, True, True, False] and seen[-1][0] == 19
+    # one by the other writer, two after it, one of the last group; none by the first two groups
+    assert written.count("price_gold") == 4
