@@ -1,10 +1,12 @@
 """How the registered queries build their input files and loads."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from gate.files import write_csv_files
 from gate.query_loads import _write_gold_files
 from gate.query_store import _compacted
 from pricehouse.fixtures import Warehouse
@@ -34,3 +36,24 @@ def test_compaction_builds_its_bars_once(events, monkeypatch):
     monkeypatch.setattr(Warehouse, "price_raw", lambda self: built.append(1) or price_raw(self))
     phases = {r["phase"]: r["count"] for r in _compacted(events).groupBy("phase").count().collect()}
     assert len(built) == 1 and len(phases) == 3 and len(set(phases.values())) == 1
+
+
+def test_ticker_files_are_as_sparks_own_writer_has_them(events, spark, tmp_path):
+    """The same folders and lines, without a checksum file (and the processes it costs) beside each."""
+    rows = spark.createDataFrame(
+        [("A/B", "x,y", None, 1.5), ("A/B", 'say "hi"', 2, None), ("C^=%", "", 3, 0.25), (None, "plain", 4, 1e-9)],
+        "k STRING, `a text` STRING, n INT, v DOUBLE",
+    )
+    one = rows.repartition(2, "k").sortWithinPartitions("k", "n")
+    write_csv_files(one, str(tmp_path / "mine"), ["k"])
+    one.write.partitionBy("k").csv(str(tmp_path / "theirs"), header=True)
+
+    def texts(root):
+        return {p.parent.name: p.read_text() for p in root.glob("*/part-*.csv")}
+
+    assert len(texts(tmp_path / "mine")) == 3 and texts(tmp_path / "mine") == texts(tmp_path / "theirs")
+    folder = Path(_write_gold_files(events).removeprefix("file:"))
+    found = [p for p in folder.rglob("*") if p.is_file()]
+    assert len(found) == len({p.parent for p in found}) > 200 and {p.suffix for p in found} == {".csv"}
+    write_csv_files(one.where("n < 0"), str(tmp_path / "none"), ["k"])
+    assert (tmp_path / "none").is_dir()
