@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gate.files import write_csv_files
 from gate.query_loads import _write_gold_files
-from gate.query_store import _compacted
+from gate.query_store import _compacted, _ticker_files
 from pricehouse.fixtures import Warehouse
 
 
@@ -52,8 +52,9 @@ def test_ticker_files_are_as_sparks_own_writer_has_them(events, spark, tmp_path)
         return {p.parent.name: p.read_text() for p in root.glob("*/part-*.csv")}
 
     assert len(texts(tmp_path / "mine")) == 3 and texts(tmp_path / "mine") == texts(tmp_path / "theirs")
-    folder = Path(_write_gold_files(events).removeprefix("file:"))
-    found = [p for p in folder.rglob("*") if p.is_file()]
-    assert len(found) == len({p.parent for p in found}) > 200 and {p.suffix for p in found} == {".csv"}
+    for build in (_write_gold_files, _ticker_files):
+        folder = Path(build(events).removeprefix("file:"))
+        found = [p for p in folder.rglob("*") if p.is_file()]
+        assert len(found) == len({p.parent for p in found}) > 200 and {p.suffix for p in found} == {".csv"}
     write_csv_files(one.where("n < 0"), str(tmp_path / "none"), ["k"])
     assert (tmp_path / "none").is_dir()
